@@ -95,3 +95,14 @@ def duck(text: str, **views: str) -> str:
     for k, v in views.items():
         out = out.replace("{" + k + "}", v)
     return out
+
+# run configs, one per customer: unknown city every 17th, industry lists with
+# unknown codes and repeats, district lists that are NULL / known / all unknown / mixed with repeats
+RUN_CONFIGS = """
+SELECT c_custkey AS run_id,
+ CASE WHEN c_custkey % 17 = 0 THEN '002' ELSE '001' END AS city,
+ split_part('0009;0009,0008;0017,9999;9999,0042;0008,0008', ';', CAST(c_custkey % 5 AS INT) + 1) AS industries_text,
+ CASE WHEN c_custkey % 4 = 0 THEN NULL
+      ELSE split_part('111,103;999,998;105,999,105', ';', CAST(c_custkey % 4 AS INT)) END AS districts_text
+FROM {customer}
+"""

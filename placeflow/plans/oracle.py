@@ -87,3 +87,84 @@ ORACLE["events_last_per_user"] = """
 SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn FROM events)
 WHERE rn = 1"""
+
+
+# ---------------- dimensions, requests and work items ----------------
+DIM_CTES = f"""dim_city AS ({fx.dim_sql('city')}),
+dim_district AS ({fx.dim_sql('district')}),
+dim_industry AS ({fx.dim_sql('industry')})"""
+REQ_CTE = "requests AS (" + fx.duck(fx.RUN_REQUESTS, customer="customer") + ")"
+DONE_CTE = "done AS (SELECT DISTINCT city_code, zip_code, ind_code FROM merchant_raw WHERE CAST(zip_code AS INT) % 2 = 0)"
+BATCH_ROWS_CTE = "batch_rows AS (SELECT city_code, zip_code, ind_code, count(*) AS n_rows FROM merchant_raw GROUP BY ALL)"
+KNOWN_REQ = """known AS (SELECT * FROM requests r
+  WHERE city_code IN (SELECT code FROM dim_city) AND zip_code IN (SELECT code FROM dim_district)
+    AND ind_code IN (SELECT code FROM dim_industry)),
+items AS (SELECT city_code, zip_code, ind_code, count(*) AS n_requests FROM known GROUP BY ALL)"""
+
+ORACLE["code_lookup"] = f"""WITH {DIM_CTES}, {REQ_CTE}
+SELECT r.request_id, coalesce(c.name, r.city_code) AS city, coalesce(d.name, r.zip_code) AS district,
+       coalesce(i.name, r.ind_code) AS industry
+FROM requests r LEFT JOIN dim_city c ON r.city_code = c.code LEFT JOIN dim_district d ON r.zip_code = d.code
+LEFT JOIN dim_industry i ON r.ind_code = i.code"""
+
+ORACLE["rejected_codes"] = f"""WITH {DIM_CTES}, {REQ_CTE}
+SELECT 'city' AS kind, city_code AS code, count(*) AS n_requests FROM requests WHERE city_code NOT IN (SELECT code FROM dim_city) GROUP BY city_code
+UNION ALL SELECT 'district', zip_code, count(*) FROM requests WHERE zip_code NOT IN (SELECT code FROM dim_district) GROUP BY zip_code
+UNION ALL SELECT 'industry', ind_code, count(*) FROM requests WHERE ind_code NOT IN (SELECT code FROM dim_industry) GROUP BY ind_code"""
+
+ORACLE["work_items"] = f"""WITH {MERCHANT_RAW_CTE}, {DIM_CTES}, {REQ_CTE}, {KNOWN_REQ}, {DONE_CTE}, {BATCH_ROWS_CTE}
+SELECT i.city_code, i.zip_code, i.ind_code, i.n_requests, coalesce(b.n_rows, 0) AS n_rows,
+  CASE WHEN d.city_code IS NOT NULL THEN 'done' WHEN coalesce(b.n_rows, 0) > 0 THEN 'ready' ELSE 'empty' END AS status
+FROM items i LEFT JOIN batch_rows b USING (city_code, zip_code, ind_code)
+LEFT JOIN done d USING (city_code, zip_code, ind_code)"""
+
+ORACLE["pending_work_items"] = f"""WITH {MERCHANT_RAW_CTE}, {DIM_CTES}, {REQ_CTE}, {KNOWN_REQ}, {DONE_CTE}, {BATCH_ROWS_CTE}
+SELECT i.city_code, i.zip_code, i.ind_code, i.n_requests, coalesce(b.n_rows, 0) AS n_rows,
+  CASE WHEN coalesce(b.n_rows, 0) > 0 THEN 'ready' ELSE 'empty' END AS status
+FROM items i LEFT JOIN batch_rows b USING (city_code, zip_code, ind_code)
+WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.city_code = i.city_code AND d.zip_code = i.zip_code AND d.ind_code = i.ind_code)"""
+
+ORACLE["dispatch_plan"] = f"""WITH {DIM_CTES}, {REQ_CTE}, {KNOWN_REQ}
+SELECT city_code, zip_code, string_agg(DISTINCT ind_code, ',' ORDER BY ind_code) AS industries, count(*) AS n_items
+FROM items GROUP BY city_code, zip_code"""
+
+from placeflow.dims import CITIES as _C, DISTRICTS as _D, INDUSTRIES as _I  # noqa: E402
+
+_ALL_C = "[" + ", ".join(f"'{c}'" for c, _ in _C) + "]"
+_ALL_D = "[" + ", ".join(f"'{c}'" for c, _ in _D) + "]"
+_ALL_I = "[" + ", ".join(f"'{c}'" for c, _ in _I) + "]"
+
+
+def _config_items_sql(fallback: bool) -> str:
+    req = "split(districts_text, ',')"
+    known = f"list_filter({req}, lambda x: list_contains({_ALL_D}, x))"
+    if fallback:
+        chosen = f"CASE WHEN districts_text IS NULL OR len(list_distinct({known})) = 0 THEN {_ALL_D} ELSE list_distinct({known}) END"
+    else:
+        chosen = f"CASE WHEN districts_text IS NULL THEN {_ALL_D} ELSE {known} END"
+    inds = f"list_distinct(list_filter(split(industries_text, ','), lambda x: list_contains({_ALL_I}, x)))"
+    cfg = fx.duck(fx.RUN_CONFIGS, customer="customer")
+    return f"""cfg AS ({cfg}),
+staged AS (SELECT run_id, city, {chosen} AS zips, {inds} AS inds,
+  list_contains({_ALL_C}, city) AND len({inds}) > 0 AS ok FROM cfg),
+ok_items AS (SELECT run_id, city AS city_code, zip_code, ind_code, 'success' AS run_status
+  FROM (SELECT run_id, city, unnest(zips) AS zip_code, inds FROM staged WHERE ok) s, unnest(s.inds) AS u(ind_code)),
+config_items AS (SELECT * FROM ok_items
+  UNION ALL SELECT run_id, city, NULL, NULL, 'success' FROM staged WHERE ok AND len(zips) = 0
+  UNION ALL SELECT run_id, NULL, NULL, NULL, 'failed' FROM staged WHERE NOT ok)"""
+
+
+ORACLE["run_work_items"] = f"WITH {_config_items_sql(True)}\nSELECT * FROM config_items"
+ORACLE["dispatch_work_items"] = f"WITH {_config_items_sql(False)}\nSELECT * FROM config_items"
+
+ORACLE["run_summary"] = f"""WITH {MERCHANT_RAW_CTE}, {_config_items_sql(True)}, {DONE_CTE}, {BATCH_ROWS_CTE},
+ledger AS (
+  SELECT c.*, CASE WHEN d.city_code IS NOT NULL THEN 'done' WHEN coalesce(b.n_rows, 0) > 0 THEN 'ready' ELSE 'empty' END AS status
+  FROM config_items c LEFT JOIN batch_rows b USING (city_code, zip_code, ind_code)
+  LEFT JOIN done d USING (city_code, zip_code, ind_code))
+SELECT run_id, max(run_status) AS status, count(zip_code) AS total_count,
+  count(*) FILTER (WHERE zip_code IS NOT NULL AND run_status = 'success') AS processed_count,
+  count(*) FILTER (WHERE status = 'done') AS done_count,
+  count(*) FILTER (WHERE status = 'ready') AS ready_count,
+  count(*) FILTER (WHERE zip_code IS NOT NULL AND status = 'empty') AS empty_count
+FROM ledger GROUP BY run_id"""

@@ -74,3 +74,84 @@ def events_last_per_user(spark, sf_dir):
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "ts", "event_id", "event_type", "value")
     return keep_first(ev, ["user_id"], ["ts", "event_id"], last=True).drop("ts")
 FLAGSHIP = "district_counts"
+
+
+# ---------------- dimensions, requests and work items ----------------
+from placeflow import dims  # noqa: E402
+from placeflow.operators.lookup import attach_code_names  # noqa: E402
+from placeflow.plans import work_items as wi  # noqa: E402
+
+
+def _dims(spark):
+    return dims.dim_city(spark), dims.dim_district(spark), dims.dim_industry(spark)
+
+
+def _requests(spark, sf_dir):
+    return fx.bind(spark, fx.RUN_REQUESTS, **fx.tables(spark, sf_dir, "customer"))
+
+
+def _done_batches(raw):
+    # stand-in for "final output exists": batches with an even district code
+    return raw.filter((F.col("zip_code").cast("int") % 2) == 0).select(*wi.BATCH).distinct()
+
+
+def _configs(spark, sf_dir):
+    cfg = fx.bind(spark, fx.RUN_CONFIGS, **fx.tables(spark, sf_dir, "customer"))
+    return cfg.select(
+        "run_id", "city",
+        F.split("industries_text", ",").alias("industries"),
+        F.split("districts_text", ",").alias("districts"),
+    )
+
+
+@query
+def code_lookup(spark, sf_dir):
+    c, d, i = _dims(spark)
+    named = attach_code_names(_requests(spark, sf_dir), ind_col="ind_code", city_dim=c, district_dim=d, industry_dim=i)
+    return named.select("request_id", "city", "district", "industry")
+
+
+@query
+def rejected_codes(spark, sf_dir):
+    return wi.rejected_codes(_requests(spark, sf_dir), *_dims(spark))
+
+
+def _work_items(spark, sf_dir, with_done):
+    req = wi.keep_known_codes(_requests(spark, sf_dir), *_dims(spark))
+    items = req.groupBy(*wi.BATCH).agg(F.count(F.lit(1)).alias("n_requests"))
+    raw = fx.merchant_raw(spark, sf_dir)
+    return items, wi.attach_status(items, wi.batch_row_counts(raw), _done_batches(raw) if with_done else None), raw
+
+
+@query
+def work_items(spark, sf_dir):
+    return _work_items(spark, sf_dir, True)[1]
+
+
+@query
+def pending_work_items(spark, sf_dir):
+    _, items, raw = _work_items(spark, sf_dir, False)
+    return wi.skip_finished(items, _done_batches(raw))
+
+
+@query
+def dispatch_plan(spark, sf_dir):
+    return wi.dispatch_plan(_work_items(spark, sf_dir, False)[0])
+
+
+@query
+def run_work_items(spark, sf_dir):
+    return wi.expand_run_config(_configs(spark, sf_dir))
+
+
+@query
+def dispatch_work_items(spark, sf_dir):
+    return wi.expand_run_config(_configs(spark, sf_dir), fallback_to_all_districts=False)
+
+
+@query
+def run_summary(spark, sf_dir):
+    items = wi.expand_run_config(_configs(spark, sf_dir))
+    raw = fx.merchant_raw(spark, sf_dir)
+    ledger = wi.attach_status(items, wi.batch_row_counts(raw), _done_batches(raw))
+    return wi.run_summary(ledger)
