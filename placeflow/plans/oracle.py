@@ -168,3 +168,38 @@ SELECT run_id, max(run_status) AS status, count(zip_code) AS total_count,
   count(*) FILTER (WHERE status = 'ready') AS ready_count,
   count(*) FILTER (WHERE zip_code IS NOT NULL AND status = 'empty') AS empty_count
 FROM ledger GROUP BY run_id"""
+
+
+# ---------------- geocoding ----------------
+def full_address_sql(a: str, d: str, c: str) -> str:
+    wd = f"CASE WHEN {d} <> '' AND NOT starts_with({a}, {d}) THEN {d} || {a} ELSE {a} END"
+    return f"CASE WHEN {c} <> '' AND NOT starts_with({wd}, {c}) THEN {c} || {wd} ELSE {wd} END"
+
+
+GEO_CTES = MERCHANT_CLEAN_CTES + f""",
+keyed AS (SELECT *, {full_address_sql("coalesce(address, '')", "coalesce(district, '')", "coalesce(city, '')")} AS full_address_key FROM merchant_clean),
+gazetteer AS ({fx.duck(fx.GAZETTEER, keyed='keyed')}),
+geo_cache AS ({fx.duck(fx.GEO_CACHE, gazetteer='gazetteer')}),
+resolver AS (SELECT * FROM gazetteer WHERE k % 7 <> 0),
+cache_first AS (SELECT full_address_key, lat, lng FROM (
+  SELECT *, row_number() OVER (PARTITION BY full_address_key ORDER BY gen, seq) AS rn FROM geo_cache) WHERE rn = 1),
+joined AS (SELECT k.*, c.lat, c.lng FROM keyed k LEFT JOIN cache_first c USING (full_address_key)),
+pending AS (SELECT DISTINCT full_address_key FROM joined WHERE lat IS NULL OR lng IS NULL),
+resolved AS (SELECT p.full_address_key, r.lat, r.lng FROM pending p JOIN resolver r USING (full_address_key)
+             WHERE r.lat IS NOT NULL AND r.lng IS NOT NULL),
+geocoded AS (SELECT j.* REPLACE (
+    CASE WHEN (j.lat IS NULL OR j.lng IS NULL) AND r.lat IS NOT NULL THEN r.lat ELSE j.lat END AS lat,
+    CASE WHEN (j.lat IS NULL OR j.lng IS NULL) AND r.lat IS NOT NULL THEN r.lng ELSE j.lng END AS lng)
+  FROM joined j LEFT JOIN resolved r USING (full_address_key))"""
+
+ORACLE["full_address_key"] = f"WITH {GEO_CTES}\nSELECT seq, full_address_key FROM keyed"
+ORACLE["cache_read"] = f"WITH {GEO_CTES}\nSELECT * FROM cache_first"
+ORACLE["geocode_join"] = f"WITH {GEO_CTES}\nSELECT seq, full_address_key, lat, lng FROM joined"
+ORACLE["geocode_pending"] = f"WITH {GEO_CTES}\nSELECT * FROM pending"
+ORACLE["geocode_resolve"] = f"WITH {GEO_CTES}\nSELECT seq, full_address_key, lat, lng FROM geocoded"
+ORACLE["cache_upsert"] = f"""WITH {GEO_CTES},
+both_versions AS (SELECT full_address_key, lat, lng, gen, seq FROM geo_cache
+  UNION ALL SELECT full_address_key, lat, lng, 2, 0 FROM resolved)
+SELECT full_address_key, lat, lng, gen FROM (
+  SELECT *, row_number() OVER (PARTITION BY full_address_key ORDER BY gen DESC, seq DESC, lat DESC, lng DESC) AS rn FROM both_versions)
+WHERE rn = 1"""

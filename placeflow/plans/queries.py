@@ -155,3 +155,55 @@ def run_summary(spark, sf_dir):
     raw = fx.merchant_raw(spark, sf_dir)
     ledger = wi.attach_status(items, wi.batch_row_counts(raw), _done_batches(raw))
     return wi.run_summary(ledger)
+
+
+# ---------------- geocoding ----------------
+from placeflow.operators import geocode as geo  # noqa: E402
+
+
+def _geo_inputs(spark, sf_dir):
+    mc = geo.add_full_address_key(_merchant_clean(spark, sf_dir))
+    gaz = fx.bind(spark, fx.GAZETTEER, keyed=mc)
+    cache = fx.bind(spark, fx.GEO_CACHE, gazetteer=gaz)
+    # the resolver knows every key but every 7th
+    resolver = gaz.filter((F.col("k") % 7) != 0)
+    return mc, cache, resolver
+
+
+@query
+def full_address_key(spark, sf_dir):
+    return geo.add_full_address_key(_merchant_clean(spark, sf_dir)).select("seq", "full_address_key")
+
+
+@query
+def cache_read(spark, sf_dir):
+    _, cache, _ = _geo_inputs(spark, sf_dir)
+    return geo.dedupe_cache(cache)
+
+
+@query
+def geocode_join(spark, sf_dir):
+    mc, cache, _ = _geo_inputs(spark, sf_dir)
+    return geo.geocode_join(mc, geo.dedupe_cache(cache)).select("seq", "full_address_key", "lat", "lng")
+
+
+@query
+def geocode_pending(spark, sf_dir):
+    mc, cache, _ = _geo_inputs(spark, sf_dir)
+    return geo.pending_keys(geo.geocode_join(mc, geo.dedupe_cache(cache)))
+
+
+@query
+def geocode_resolve(spark, sf_dir):
+    mc, cache, resolver = _geo_inputs(spark, sf_dir)
+    rows, _ = geo.geocode(mc, cache, resolver)
+    return rows.select("seq", "full_address_key", "lat", "lng")
+
+
+@query
+def cache_upsert(spark, sf_dir):
+    mc, cache, resolver = _geo_inputs(spark, sf_dir)
+    _, new_rows = geo.geocode(mc, cache, resolver)
+    fresh = new_rows.select("full_address_key", "lat", "lng", F.lit(2).cast("bigint").alias("gen"), F.lit(0).cast("bigint").alias("seq"))
+    from placeflow.operators.dedupe import upsert_latest
+    return upsert_latest(cache, fresh, "full_address_key").select("full_address_key", "lat", "lng", "gen")
