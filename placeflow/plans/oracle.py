@@ -203,3 +203,26 @@ both_versions AS (SELECT full_address_key, lat, lng, gen, seq FROM geo_cache
 SELECT full_address_key, lat, lng, gen FROM (
   SELECT *, row_number() OVER (PARTITION BY full_address_key ORDER BY gen DESC, seq DESC, lat DESC, lng DESC) AS rn FROM both_versions)
 WHERE rn = 1"""
+
+
+# ---------------- tagging ----------------
+from placeflow.dims import SYNONYMS as _SYN  # noqa: E402
+
+_SYN_VALUES = ", ".join(f"('{t}', '{a.lower()}')" for t, a in _SYN)
+SYN_CTES = f"""syn AS (SELECT * FROM (VALUES {_SYN_VALUES}) AS t(tag, alias_text)),
+alias AS (SELECT tag, unnest(string_split_regex(trim(alias_text), '\\s+')) AS alias FROM syn)"""
+
+
+def tags_sql(src: str, key: str, name: str) -> str:
+    return f"""SELECT s.{key}, CASE WHEN lower(coalesce(s.{name}, '')) = '' THEN ''
+    ELSE coalesce((SELECT string_agg(DISTINCT a.tag, ',' ORDER BY a.tag) FROM alias a
+                   WHERE a.alias <> '' AND contains(lower(coalesce(s.{name}, '')), a.alias)), '') END AS hidden_tags
+FROM {src} s"""
+
+
+ORACLE["synonym_tags"] = f"""WITH {MERCHANT_CLEAN_CTES}, {SYN_CTES},
+tagged AS ({tags_sql('merchant_clean', 'seq', 'name')})
+SELECT t.seq, m.name, t.hidden_tags FROM tagged t JOIN merchant_clean m USING (seq)"""
+
+ORACLE["document_tags"] = f"""WITH {SYN_CTES}
+{tags_sql('documents', 'doc_id', 'text')}"""

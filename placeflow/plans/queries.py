@@ -207,3 +207,25 @@ def cache_upsert(spark, sf_dir):
     fresh = new_rows.select("full_address_key", "lat", "lng", F.lit(2).cast("bigint").alias("gen"), F.lit(0).cast("bigint").alias("seq"))
     from placeflow.operators.dedupe import upsert_latest
     return upsert_latest(cache, fresh, "full_address_key").select("full_address_key", "lat", "lng", "gen")
+
+
+# ---------------- tagging ----------------
+from placeflow.operators import tagging  # noqa: E402
+
+
+@query
+def synonym_tags(spark, sf_dir):
+    mc = _merchant_clean(spark, sf_dir)
+    return tagging.synonym_tags(mc, dims.synonyms(spark), fuzzy=False).select("seq", "name", "hidden_tags")
+
+
+@query
+def synonym_tags_fuzzy(spark, sf_dir):
+    mc = _merchant_clean(spark, sf_dir)
+    return tagging.synonym_tags(mc, dims.synonyms(spark), fuzzy=True).select("seq", "name", "hidden_tags")
+
+
+@query
+def document_tags(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("name"))
+    return tagging.synonym_tags(docs, dims.synonyms(spark), fuzzy=False).select("doc_id", "hidden_tags")
