@@ -106,3 +106,43 @@ SELECT c_custkey AS run_id,
       ELSE split_part('111,103;999,998;105,999,105', ';', CAST(c_custkey % 4 AS INT)) END AS districts_text
 FROM {customer}
 """
+
+
+# replies per chunk, from the enrichment batches: optional fence and leading sentence,
+# header 'ID | ...', one line per row; with c = chunk_no + zip + industry code, every 5th chunk has a short first row, every
+# 7th trailing pipes, every 11th a 14-field row, every 13th is empty; some 'N/A'
+RESPONSES = """
+SELECT city_code, zip_code, ind_code, chunk_no,
+  CASE WHEN c % 13 = 6 THEN ''
+  ELSE CASE WHEN c % 2 = 0 THEN '```csv' || chr(10) ELSE '' END
+    || CASE WHEN c % 3 = 0 THEN 'Here is the table you asked for.' || chr(10) || chr(10) ELSE '' END
+    || 'ID | 店名|縣市|行政區|地址|樓層|緯度|經度|電話|評論|星級數|價格區間' || chr(10)
+    || listagg(line, chr(10)) WITHIN GROUP (ORDER BY idx)
+    || CASE WHEN c % 2 = 0 THEN chr(10) || '```' ELSE '' END
+  END AS response
+FROM (
+  SELECT city_code, zip_code, ind_code, chunk_no, idx,
+    chunk_no + CAST(zip_code AS BIGINT) + CAST(ind_code AS BIGINT) AS c,
+    CASE WHEN c % 5 = 1 AND idx % 30 = 0
+      THEN temp_id || '|' || name || '|' || city || '|' || district || '|' || address || '||'
+           || CASE WHEN lat IS NULL THEN '' ELSE printf('%.4f', lat) END || '|'
+           || CASE WHEN lng IS NULL THEN '' ELSE printf('%.4f', lng) END || '|' || phone || '|short'
+      ELSE temp_id || '|' || name || '|' || city || '|' || district || '|' || address || '|'
+           || CASE WHEN idx % 4 = 0 THEN CAST(idx % 9 + 1 AS STRING) || 'F' ELSE '' END || '|'
+           || CASE WHEN lat IS NULL THEN '' WHEN idx % 10 = 3 THEN 'abc' ELSE printf('%.4f', lat) END || '|'
+           || CASE WHEN lng IS NULL THEN '' WHEN idx % 10 = 7 THEN ' ' || printf('%.4f', lng) || ' ' ELSE printf('%.4f', lng) END || '|'
+           || phone || '|' || 'review of ' || name || '|'
+           || CASE WHEN idx % 6 = 0 THEN 'N/A' ELSE CAST(idx % 5 AS STRING) || '.5/5' END || '|'
+           || CAST(500 + (idx % 7) * 250 AS STRING)
+           || CASE WHEN c % 7 = 3 THEN '|' ELSE '' END
+           || CASE WHEN c % 11 = 4 AND idx % 30 = 2 THEN '|x|y' ELSE '' END
+    END AS line
+  FROM {batches}) t
+GROUP BY city_code, zip_code, ind_code, chunk_no, c
+"""
+
+
+def duck_agg(text: str) -> str:
+    """Spark's ``listagg(x, sep) WITHIN GROUP (ORDER BY y)`` as DuckDB's ``string_agg(x, sep ORDER BY y)``."""
+    import re
+    return re.sub(r"listagg\((\w+), ([^)]*?\)?)\) WITHIN GROUP \(ORDER BY (\w+)\)", r"string_agg(\1, \2 ORDER BY \3)", text)

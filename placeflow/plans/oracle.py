@@ -226,3 +226,83 @@ SELECT t.seq, m.name, t.hidden_tags FROM tagged t JOIN merchant_clean m USING (s
 
 ORACLE["document_tags"] = f"""WITH {SYN_CTES}
 {tags_sql('documents', 'doc_id', 'text')}"""
+
+
+# ---------------- enrichment: batches, prompts, replies, final rows ----------------
+from placeflow.operators import enrich as _en  # noqa: E402
+from placeflow.sources.delimited import NA_TEXTS as _NA, REPLY_FIELDS as _RF  # noqa: E402
+from placeflow.functions.text import PY_WHITESPACE as _WS, NUMERIC_TEXT as _NUM  # noqa: E402
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+ENRICH_CTES = GEO_CTES + f""", {SYN_CTES},
+tagged AS (SELECT g.*, t.hidden_tags FROM geocoded g JOIN ({tags_sql('geocoded', 'seq', 'name')}) t USING (seq)),
+with_ind AS (SELECT t.*, coalesce(i.name, t.ind_code) AS industry FROM tagged t LEFT JOIN dim_industry i ON t.ind_code = i.code),
+indexed AS (SELECT *, row_number() OVER (PARTITION BY city_code, zip_code, ind_code ORDER BY page_no, seq) - 1 AS idx FROM with_ind),
+batches AS (SELECT *, CAST(idx // {_en.CHUNK_SIZE} AS BIGINT) AS chunk_no,
+                   printf('%s_%s_%s_%05d', city_code, zip_code, ind_code, idx) AS temp_id FROM indexed),
+responses AS ({fx.duck_agg(fx.duck(fx.RESPONSES, batches='batches'))})"""
+
+
+def csv_field_sql(x: str) -> str:
+    s = f"CAST({x} AS VARCHAR)"
+    return f"CASE WHEN {s} IS NULL THEN '' WHEN regexp_matches({s}, '[,\"\\r\\n]') THEN '\"' || replace({s}, '\"', '\"\"') || '\"' ELSE {s} END"
+
+
+_CSV_LINE = " || ',' || ".join(csv_field_sql(c) for c in _en.INPUT_COLUMNS)
+_VARIANT = "CASE " + " ".join(f"WHEN ind_code = {_q(k)} THEN {_q(v)}" for k, v in _en.PROMPT_VARIANTS.items()) + f" ELSE {_q(_en.PROMPT_DEFAULT_VARIANT)} END"
+
+ORACLE["enrichment_batches"] = f"WITH {ENRICH_CTES}\nSELECT city_code, zip_code, ind_code, seq, idx, chunk_no, temp_id FROM batches"
+
+ORACLE["enrichment_prompts"] = f"""WITH {ENRICH_CTES},
+chunks AS (SELECT city_code, zip_code, ind_code, chunk_no, count(*) AS n_rows,
+  {_q(','.join(_en.INPUT_HEADER) + chr(10))} || string_agg({_CSV_LINE}, chr(10) ORDER BY idx) || chr(10) AS csv_text
+  FROM batches GROUP BY city_code, zip_code, ind_code, chunk_no)
+SELECT city_code, zip_code, ind_code, chunk_no, n_rows,
+  {_q(_en.PROMPT_HEAD)} || {_VARIANT} || {_q(_en.PROMPT_INPUT_HEADER)} || csv_text AS prompt FROM chunks"""
+
+
+def clean_response_sql(x: str) -> str:
+    t = f"replace(replace(coalesce({x}, ''), '```csv', ''), '```', '')"
+    t = f"regexp_replace({t}, '^{_WS}+|{_WS}+$', '', 'g')"
+    hit = f"regexp_extract({t}, '(?s)(ID{_WS}*\\|.*)', 1)"
+    return f"CASE WHEN {hit} <> '' THEN {hit} ELSE {t} END"
+
+
+_NA_LIST = "[" + ", ".join(_q(v) for v in _NA) + "]"
+_FIELDS = ", ".join(f"CASE WHEN list_contains({_NA_LIST}, f[{i + 1}]) THEN NULL ELSE f[{i + 1}] END AS {n}" for i, n in enumerate(_RF))
+PARSE_CTES = ENRICH_CTES + f""",
+reply_lines AS (SELECT city_code, zip_code, ind_code, chunk_no,
+  list_filter(string_split_regex({clean_response_sql('response')}, '\\r?\\n'), lambda x: x <> '') AS ls FROM responses),
+lines AS (SELECT city_code, zip_code, ind_code, chunk_no, CAST(i - 2 AS BIGINT) AS line_no, ls[i] AS line
+  FROM (SELECT *, unnest(range(2, len(ls) + 1)) AS i FROM reply_lines)),
+split_lines AS (SELECT *, string_split(line, '|') AS f, len(string_split(line, '|')) AS n_fields FROM lines),
+parsed AS (SELECT city_code, zip_code, ind_code, chunk_no, line_no, {_FIELDS} FROM split_lines
+  WHERE n_fields <= {len(_RF)} OR (n_fields = {len(_RF) + 1} AND f[{len(_RF) + 1}] = '')),
+rejects AS (SELECT city_code, zip_code, ind_code, chunk_no, line_no, CAST(n_fields AS INT) AS n_fields, line FROM split_lines
+  WHERE NOT (n_fields <= {len(_RF)} OR (n_fields = {len(_RF) + 1} AND f[{len(_RF) + 1}] = '')))"""
+
+ORACLE["parse_response"] = f"WITH {PARSE_CTES}\nSELECT * FROM parsed"
+ORACLE["response_rejects"] = f"WITH {PARSE_CTES}\nSELECT * FROM rejects"
+
+
+def to_double_sql(x: str) -> str:
+    return f"CASE WHEN regexp_matches({x}, {_q(_NUM)}) THEN TRY_CAST(trim({x}) AS DOUBLE) END"
+
+
+_FINAL_STR = ["id", "name", "city", "district", "address", "floor", "phone", "review_summary", "rating", "price_level", "hidden_tags"]
+FINAL_CTES = PARSE_CTES + f""",
+final AS (SELECT coalesce(p.id, '') AS id, coalesce(p.name, '') AS name, coalesce(i.name, p.ind_code) AS ind,
+  coalesce(p.city, '') AS city, coalesce(p.district, '') AS district, coalesce(p.address, '') AS address,
+  coalesce(p.floor, '') AS floor, {to_double_sql('p.lat')} AS lat, {to_double_sql('p.lng')} AS lng,
+  coalesce(p.phone, '') AS phone, coalesce(p.review_summary, '') AS review_summary, coalesce(p.rating, '') AS rating,
+  coalesce(p.price_level, '') AS price_level, coalesce(b.hidden_tags, '') AS hidden_tags,
+  p.city_code, p.zip_code, p.ind_code
+  FROM parsed p LEFT JOIN batches b ON p.city_code = b.city_code AND p.zip_code = b.zip_code AND p.ind_code = b.ind_code
+       AND p.chunk_no = b.chunk_no AND p.id = b.temp_id
+  LEFT JOIN dim_industry i ON p.ind_code = i.code)"""
+
+ORACLE["finalize_places"] = f"WITH {FINAL_CTES}\nSELECT * FROM final"

@@ -229,3 +229,73 @@ def synonym_tags_fuzzy(spark, sf_dir):
 def document_tags(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("name"))
     return tagging.synonym_tags(docs, dims.synonyms(spark), fuzzy=False).select("doc_id", "hidden_tags")
+
+
+# ---------------- enrichment: batches, prompts, replies, final rows ----------------
+from placeflow.operators import enrich  # noqa: E402
+from placeflow.operators import finalize as fin  # noqa: E402
+from placeflow.operators.lookup import lookup_name  # noqa: E402
+from placeflow.sources import delimited  # noqa: E402
+
+
+def _enrich_batches(spark, sf_dir):
+    mc, cache, resolver = _geo_inputs(spark, sf_dir)
+    rows, _ = geo.geocode(mc, cache, resolver)
+    rows = tagging.synonym_tags(rows, dims.synonyms(spark), fuzzy=False)
+    rows = lookup_name(rows, "ind_code", dims.dim_industry(spark), "industry")
+    return enrich.enrichment_batches(rows)
+
+
+def _responses(spark, sf_dir):
+    return fx.bind(spark, fx.RESPONSES, batches=_enrich_batches(spark, sf_dir))
+
+
+def _parsed(spark, sf_dir):
+    return delimited.read_delimited(_responses(spark, sf_dir), ["city_code", "zip_code", "ind_code", "chunk_no"])
+
+
+@query
+def enrichment_batches(spark, sf_dir):
+    return _enrich_batches(spark, sf_dir).select("city_code", "zip_code", "ind_code", "seq", "idx", "chunk_no", "temp_id")
+
+
+@query
+def enrichment_prompts(spark, sf_dir):
+    return enrich.enrichment_prompts(_enrich_batches(spark, sf_dir))
+
+
+@query
+def parse_response(spark, sf_dir):
+    return _parsed(spark, sf_dir)[0]
+
+
+@query
+def response_rejects(spark, sf_dir):
+    return _parsed(spark, sf_dir)[1]
+
+
+@query
+def finalize_places(spark, sf_dir):
+    batches = _enrich_batches(spark, sf_dir)
+    rows, _ = delimited.read_delimited(fx.bind(spark, fx.RESPONSES, batches=batches), ["city_code", "zip_code", "ind_code", "chunk_no"])
+    return fin.finalize_places(fin.attach_chunk_tags(rows, batches), dims.dim_industry(spark))
+
+
+def _echo_client():
+    """A stand-in model: answers each prompt with its own input rows as a reply table."""
+    def call(prompt: str) -> str:
+        body = prompt.split(enrich.PROMPT_INPUT_HEADER, 1)[1].splitlines()[1:]
+        out = ["ID|店名|縣市|行政區|地址|樓層|緯度|經度|電話|評論|星級數|價格區間"]
+        for line in body:
+            f = line.split(",")
+            if len(f) >= 9:
+                out.append("|".join([f[0], f[3], f[1], f[2], f[6], "", f[7], f[8], f[5], "", "", ""]))
+        return "\n".join(out)
+    return call
+
+
+@query
+def enrichment_calls(spark, sf_dir):
+    calls = enrich.call_enrichment(enrich.enrichment_prompts(_enrich_batches(spark, sf_dir)), _echo_client)
+    rows, _ = delimited.read_delimited(calls, ["city_code", "zip_code", "ind_code", "chunk_no"])
+    return rows
