@@ -146,3 +146,42 @@ def duck_agg(text: str) -> str:
     """Spark's ``listagg(x, sep) WITHIN GROUP (ORDER BY y)`` as DuckDB's ``string_agg(x, sep ORDER BY y)``."""
     import re
     return re.sub(r"listagg\((\w+), ([^)]*?\)?)\) WITHIN GROUP \(ORDER BY (\w+)\)", r"string_agg(\1, \2 ORDER BY \3)", text)
+
+
+_FINAL_COLS = "id, name, ind, city, district, address, floor, lat, lng, phone, review_summary, rating, price_level, hidden_tags"
+
+# final fragments: one file per batch; every 6th line again in a re-run file (4 name
+# parts, codes from the first three); some lines in a legacy file without codes
+FRAGMENTS = """
+SELECT """ + _FINAL_COLS + """,
+  'final_' || city_code || '_' || zip_code || '_' || ind_code || '.parquet' AS file_name,
+  CAST(row_number() OVER (PARTITION BY city_code, zip_code, ind_code ORDER BY chunk_no, line_no) - 1 AS BIGINT) AS row_index
+FROM {final}
+UNION ALL
+SELECT """ + _FINAL_COLS + """,
+  'final_' || city_code || '_' || zip_code || '_' || ind_code || '_rerun.parquet' AS file_name,
+  CAST(row_number() OVER (PARTITION BY city_code, zip_code, ind_code ORDER BY chunk_no, line_no) - 1 AS BIGINT) AS row_index
+FROM {final} WHERE line_no % 6 = 0
+UNION ALL
+SELECT """ + _FINAL_COLS + """, 'final_legacy.parquet' AS file_name,
+  CAST(row_number() OVER (ORDER BY city_code, zip_code, ind_code, chunk_no, line_no) - 1 AS BIGINT) AS row_index
+FROM {final} WHERE line_no % 17 = 5
+"""
+
+# raw fragments: the enrichment input rows of each batch, in index order
+RAW_FRAGMENTS = """
+SELECT seq, city, district, name, industry, phone, address, lat, lng, hidden_tags,
+  'raw_' || city_code || '_' || zip_code || '_' || ind_code || '.parquet' AS file_name, idx AS row_index
+FROM {batches}
+"""
+
+# exchange tab read back: all text, with odd spellings among the coordinates
+EXCHANGE = """
+SELECT id, name, ind, city, district, address, floor,
+  CASE CAST(CAST(row_index AS BIGINT) % 9 AS INT) WHEN 0 THEN NULL WHEN 1 THEN '25.0' WHEN 2 THEN ' 25.0 ' WHEN 3 THEN 'abc'
+       WHEN 4 THEN '1.0d' WHEN 5 THEN '1_000' WHEN 6 THEN 'NaN' WHEN 7 THEN 'inf' ELSE lat END AS lat,
+  CASE WHEN CAST(row_index AS BIGINT) % 4 = 1 THEN '' ELSE lng END AS lng,
+  CASE WHEN CAST(row_index AS BIGINT) % 5 = 2 THEN NULL ELSE phone END AS phone,
+  review_summary, rating, price_level, hidden_tags
+FROM {rows}
+"""

@@ -130,8 +130,8 @@ def temp_id(city_code: Column | str, zip_code: Column | str, ind_code: Column |
 
 
 def tab_name(file_name: Column | str, limit: int = 50) -> Column:
-    """Spreadsheet tab for a fragment: file stem cut to ``limit`` characters."""
-    stem = F.regexp_replace(_col(file_name), r"\.parquet$", "")
+    """Spreadsheet tab for a fragment: the name without '.parquet', cut to ``limit`` characters."""
+    stem = F.replace(_col(file_name), F.lit(".parquet"), F.lit(""))
     return F.substring(stem, 1, limit)
 
 

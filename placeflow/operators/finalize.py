@@ -21,7 +21,7 @@ def attach_chunk_tags(parsed: DataFrame, batches: DataFrame) -> DataFrame:
     return parsed.join(t, [*BATCH, "chunk_no", "id"], "left")
 
 
-def finalize_places(parsed: DataFrame, industry_dim: DataFrame, keep_codes: bool = True) -> DataFrame:
+def finalize_places(parsed: DataFrame, industry_dim: DataFrame, keep_codes: bool = True, extra=()) -> DataFrame:
     """Reply rows -> final rows: ``ind`` from the batch, numeric lat/lng, '' for missing text."""
     out = lookup_name(parsed, "ind_code", industry_dim, "ind")
     cols = []
@@ -32,5 +32,5 @@ def finalize_places(parsed: DataFrame, industry_dim: DataFrame, keep_codes: bool
             cols.append(fill_string(c).alias(c))
         else:
             cols.append(F.lit("").alias(c))
-    extra = [*BATCH] if keep_codes else []
-    return out.select(*cols, *extra)
+    keep = ([*BATCH] if keep_codes else []) + list(extra)
+    return out.select(*cols, *keep)

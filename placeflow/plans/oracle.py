@@ -300,9 +300,71 @@ final AS (SELECT coalesce(p.id, '') AS id, coalesce(p.name, '') AS name, coalesc
   coalesce(p.floor, '') AS floor, {to_double_sql('p.lat')} AS lat, {to_double_sql('p.lng')} AS lng,
   coalesce(p.phone, '') AS phone, coalesce(p.review_summary, '') AS review_summary, coalesce(p.rating, '') AS rating,
   coalesce(p.price_level, '') AS price_level, coalesce(b.hidden_tags, '') AS hidden_tags,
-  p.city_code, p.zip_code, p.ind_code
+  p.city_code, p.zip_code, p.ind_code, p.chunk_no, p.line_no
   FROM parsed p LEFT JOIN batches b ON p.city_code = b.city_code AND p.zip_code = b.zip_code AND p.ind_code = b.ind_code
        AND p.chunk_no = b.chunk_no AND p.id = b.temp_id
   LEFT JOIN dim_industry i ON p.ind_code = i.code)"""
 
-ORACLE["finalize_places"] = f"WITH {FINAL_CTES}\nSELECT * FROM final"
+ORACLE["finalize_places"] = f"WITH {FINAL_CTES}\nSELECT * EXCLUDE (chunk_no, line_no) FROM final"
+
+
+# ---------------- merge, exchange, price level ----------------
+MERGE_CTES = FINAL_CTES + f""",
+fragments AS ({fx.duck(fx.FRAGMENTS, final='final')}),
+coded AS (SELECT *, string_split(replace(replace(file_name, 'final_', ''), '.parquet', ''), '_') AS parts FROM fragments
+          WHERE file_name NOT IN ('final_data.parquet', 'raw_data.parquet')),
+renamed AS (SELECT c.* REPLACE (
+    CASE WHEN len(parts) >= 3 THEN coalesce(dc.name, parts[1]) ELSE c.city END AS city,
+    CASE WHEN len(parts) >= 3 THEN coalesce(dd.name, parts[2]) ELSE c.district END AS district)
+  FROM coded c LEFT JOIN dim_city dc ON len(parts) >= 3 AND dc.code = parts[1]
+  LEFT JOIN dim_district dd ON len(parts) >= 3 AND dd.code = parts[2]),
+merged AS (SELECT * EXCLUDE (rn, parts) FROM (
+  SELECT *, row_number() OVER (PARTITION BY name, phone ORDER BY file_name, row_index) AS rn FROM renamed) WHERE rn = 1)"""
+
+_FINAL_SEL = "id, name, ind, city, district, address, floor, lat, lng, phone, review_summary, rating, price_level, hidden_tags"
+
+ORACLE["merge_fragments"] = f"WITH {MERGE_CTES}\nSELECT {_FINAL_SEL}, file_name, row_index FROM merged"
+
+ORACLE["merge_raw"] = f"""WITH {ENRICH_CTES},
+raw_frags AS ({fx.duck(fx.RAW_FRAGMENTS, batches='batches')}),
+coded AS (SELECT *, string_split(replace(replace(file_name, 'raw_', ''), '.parquet', ''), '_') AS parts FROM raw_frags)
+SELECT c.seq,
+  CASE WHEN len(parts) >= 3 THEN coalesce(dc.name, parts[1]) ELSE c.city END AS city,
+  CASE WHEN len(parts) >= 3 THEN coalesce(dd.name, parts[2]) ELSE c.district END AS district,
+  CASE WHEN len(parts) >= 3 THEN coalesce(di.name, parts[3]) ELSE c.industry END AS industry,
+  c.name, c.file_name, c.row_index
+FROM coded c LEFT JOIN dim_city dc ON len(parts) >= 3 AND dc.code = parts[1]
+LEFT JOIN dim_district dd ON len(parts) >= 3 AND dd.code = parts[2]
+LEFT JOIN dim_industry di ON len(parts) >= 3 AND di.code = parts[3]"""
+
+ORACLE["dedupe_report"] = f"""WITH {MERGE_CTES}
+SELECT count(*) AS before_dedup, count(DISTINCT (name, phone)) AS after_dedup,
+       count(*) - count(DISTINCT (name, phone)) AS removed FROM fragments"""
+
+ORACLE["fragment_counts"] = f"""WITH {MERGE_CTES}
+SELECT file_name, count(*) AS n_rows,
+  bool_or(len(string_split(replace(replace(file_name, 'final_', ''), '.parquet', ''), '_')) >= 3) AS has_codes
+FROM fragments GROUP BY file_name"""
+
+ORACLE["merged_district_counts"] = f"""WITH {MERGE_CTES}
+SELECT district, count(*) AS "count" FROM merged WHERE district IS NOT NULL GROUP BY district"""
+
+ORACLE["export_tabs"] = f"""WITH {MERGE_CTES}
+SELECT file_name, substr(replace(file_name, '.parquet', ''), 1, 50) AS tab, count(*) AS n_rows FROM fragments GROUP BY file_name"""
+
+_EXPORT_SEL = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in _FINAL_SEL.split(", ") + ["file_name", "row_index"])
+ORACLE["export_rows"] = f"WITH {MERGE_CTES}\nSELECT {_EXPORT_SEL} FROM merged"
+
+_IMPORT_SEL = ", ".join((to_double_sql(c) + f" AS {c}") if c in ("lat", "lng") else f"coalesce({c}, '') AS {c}" for c in _FINAL_SEL.split(", "))
+ORACLE["import_rows"] = f"""WITH {MERGE_CTES},
+export AS (SELECT {_EXPORT_SEL} FROM merged),
+tab AS ({fx.duck(fx.EXCHANGE, rows='export')})
+SELECT {_IMPORT_SEL} FROM tab"""
+
+_PRICE_VALUES = ", ".join(f"('{i}', {list(t)})" for i, t in [("旅宿業", [1500.0, 3000.0, 5000.0, 8000.0]), ("default", [200.0, 500.0, 1000.0, 2000.0]), ("MEDIUM", [900.0, 950.0, 1000.0, 1500.0])])
+ORACLE["price_level"] = f"""WITH items AS ({fx.duck(fx.PRICE_INPUT, part='part')}),
+thr AS (SELECT * FROM (VALUES {_PRICE_VALUES}) AS t(ind, thresholds))
+SELECT i.item_id, i.ind, i.price,
+  CASE WHEN i.price IS NULL THEN NULL
+       ELSE CAST(1 + len(list_filter(coalesce(t.thresholds, d.thresholds), lambda x: i.price >= x)) AS INT) END AS price_level
+FROM items i LEFT JOIN thr t ON t.ind = i.ind LEFT JOIN thr d ON d.ind = 'default'"""

@@ -299,3 +299,73 @@ def enrichment_calls(spark, sf_dir):
     calls = enrich.call_enrichment(enrich.enrichment_prompts(_enrich_batches(spark, sf_dir)), _echo_client)
     rows, _ = delimited.read_delimited(calls, ["city_code", "zip_code", "ind_code", "chunk_no"])
     return rows
+
+
+# ---------------- merge, exchange, price level ----------------
+from placeflow.operators import merge as mg  # noqa: E402
+from placeflow.operators import price as pr  # noqa: E402
+from placeflow.sources import exchange as ex  # noqa: E402
+
+
+def _final_with_order(spark, sf_dir):
+    batches = _enrich_batches(spark, sf_dir)
+    rows, _ = delimited.read_delimited(fx.bind(spark, fx.RESPONSES, batches=batches), ["city_code", "zip_code", "ind_code", "chunk_no"])
+    return fin.finalize_places(fin.attach_chunk_tags(rows, batches), dims.dim_industry(spark), extra=("chunk_no", "line_no")), batches
+
+
+def _fragments(spark, sf_dir):
+    final, _ = _final_with_order(spark, sf_dir)
+    return fx.bind(spark, fx.FRAGMENTS, final=final)
+
+
+@query
+def merge_fragments(spark, sf_dir):
+    return mg.merge_final(_fragments(spark, sf_dir)).select(*fin.FINAL_COLUMNS, "file_name", "row_index")
+
+
+@query
+def merge_raw(spark, sf_dir):
+    raw = fx.bind(spark, fx.RAW_FRAGMENTS, batches=_enrich_batches(spark, sf_dir))
+    return mg.merge_raw(raw).select("seq", "city", "district", "industry", "name", "file_name", "row_index")
+
+
+@query
+def dedupe_report(spark, sf_dir):
+    return mg.dedupe_report(_fragments(spark, sf_dir))
+
+
+@query
+def fragment_counts(spark, sf_dir):
+    return mg.fragment_counts(_fragments(spark, sf_dir))
+
+
+@query
+def merged_district_counts(spark, sf_dir):
+    return clean.district_counts(mg.merge_final(_fragments(spark, sf_dir)))
+
+
+@query
+def export_tabs(spark, sf_dir):
+    return mg.export_tabs(_fragments(spark, sf_dir))
+
+
+@query
+def export_rows(spark, sf_dir):
+    merged = mg.merge_final(_fragments(spark, sf_dir)).select(*fin.FINAL_COLUMNS, "file_name", "row_index")
+    return ex.export_rows(merged)
+
+
+@query
+def import_rows(spark, sf_dir):
+    merged = mg.merge_final(_fragments(spark, sf_dir)).select(*fin.FINAL_COLUMNS, "file_name", "row_index")
+    tab = fx.bind(spark, fx.EXCHANGE, rows=ex.export_rows(merged))
+    return ex.import_rows(tab)
+
+
+PRICE_ROWS = dims.PRICE_THRESHOLDS + [("MEDIUM", [900.0, 950.0, 1000.0, 1500.0])]
+
+
+@query
+def price_level(spark, sf_dir):
+    items = fx.bind(spark, fx.PRICE_INPUT, **fx.tables(spark, sf_dir, "part"))
+    return pr.price_level(items, dims.dim_price(spark, PRICE_ROWS))
