@@ -185,3 +185,42 @@ SELECT id, name, ind, city, district, address, floor,
   review_summary, rating, price_level, hidden_tags
 FROM {rows}
 """
+
+
+# captured listing pages per batch and page, built from merchant_raw: header row in <td>,
+# some cells padded with spaces or holding '&amp;', a repeated header inside some
+# tables, a small 2-column table before the target on every 5th page; after the
+# last data page each batch gets extra pages for one of four stop scenarios
+# (zip_code % 4): marker; failed + empty runs; a run reset by a hit; three empties.
+LISTING_PAGES = """
+SELECT city_code, zip_code, ind_code, page_no, html FROM (
+  SELECT city_code, zip_code, ind_code, page_no,
+    '<html><body>' || CASE WHEN page_no % 5 = 0 THEN '<table><tr><td>特店名稱</td><td>x</td></tr></table>' ELSE '' END
+    || '<table class="list">' || '<tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr>'
+    || listagg(tr, '') WITHIN GROUP (ORDER BY seq) || '</table></body></html>' AS html
+  FROM (
+    SELECT city_code, zip_code, ind_code, page_no, seq,
+      '<tr><td>' || CASE WHEN seq % 4 = 1 THEN '  ' || name_raw || ' ' ELSE name_raw END
+        || CASE WHEN seq % 10 = 0 THEN ' &amp; Co' ELSE '' END
+        || '</td><td>業別' || ind_code || '</td><td>' || coalesce(phone_raw, '') || '</td><td>' || address_raw
+        || '</td><td>' || CAST(seq AS STRING) || '</td></tr>'
+        || CASE WHEN seq % 23 = 7 THEN '<tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr>' ELSE '' END AS tr
+    FROM {merchant_raw}) r
+  GROUP BY city_code, zip_code, ind_code, page_no
+  UNION ALL
+  SELECT city_code, zip_code, ind_code, page_no, CASE WHEN d = 1 THEN CASE scenario WHEN 0 THEN '<html><body><div>查無資料</div></body></html>' WHEN 1 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' END WHEN d = 2 THEN CASE scenario WHEN 0 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' WHEN 1 THEN NULL WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' END WHEN d = 3 THEN CASE scenario WHEN 0 THEN NULL WHEN 1 THEN '<html><body><p>系統維護中</p></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' END WHEN d = 4 THEN CASE scenario WHEN 0 THEN NULL WHEN 1 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' END WHEN d = 5 THEN CASE scenario WHEN 0 THEN NULL WHEN 1 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' END WHEN d = 6 THEN CASE scenario WHEN 0 THEN NULL WHEN 1 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' WHEN 3 THEN NULL END END AS html
+  FROM (
+    SELECT city_code, zip_code, ind_code, p + 1 AS page_no, 1 AS d, scenario FROM {last_page}
+  UNION ALL SELECT city_code, zip_code, ind_code, p + 2 AS page_no, 2 AS d, scenario FROM {last_page}
+  UNION ALL SELECT city_code, zip_code, ind_code, p + 3 AS page_no, 3 AS d, scenario FROM {last_page}
+  UNION ALL SELECT city_code, zip_code, ind_code, p + 4 AS page_no, 4 AS d, scenario FROM {last_page}
+  UNION ALL SELECT city_code, zip_code, ind_code, p + 5 AS page_no, 5 AS d, scenario FROM {last_page}
+  UNION ALL SELECT city_code, zip_code, ind_code, p + 6 AS page_no, 6 AS d, scenario FROM {last_page}
+  ) e
+) pages
+"""
+
+LISTING_LAST_PAGE = """
+SELECT city_code, zip_code, ind_code, max(page_no) AS p, CAST(zip_code AS INT) % 4 AS scenario
+FROM {merchant_raw} GROUP BY city_code, zip_code, ind_code
+"""

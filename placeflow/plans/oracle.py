@@ -368,3 +368,48 @@ SELECT i.item_id, i.ind, i.price,
   CASE WHEN i.price IS NULL THEN NULL
        ELSE CAST(1 + len(list_filter(coalesce(t.thresholds, d.thresholds), lambda x: i.price >= x)) AS INT) END AS price_level
 FROM items i LEFT JOIN thr t ON t.ind = i.ind LEFT JOIN thr d ON d.ind = 'default'"""
+
+
+# ---------------- listing pages ----------------
+from placeflow.sources import listing as _ls  # noqa: E402
+
+LISTING_CTES = MERCHANT_RAW_CTE + f""",
+last_page AS ({fx.duck(fx.LISTING_LAST_PAGE, merchant_raw='merchant_raw')}),
+pages AS ({fx.duck_agg(fx.duck(fx.LISTING_PAGES, merchant_raw='merchant_raw', last_page='last_page'))}),
+tabled AS (SELECT *, regexp_extract_all(coalesce(html, ''), {_q(_ls.TABLE_RE)}, 1) AS tbls FROM pages),
+targeted AS (SELECT *, list_filter(tbls, lambda t:
+    list_max(list_transform(regexp_extract_all(t, {_q(_ls.ROW_RE)}, 1), lambda r: len(regexp_extract_all(r, {_q(_ls.CELL_RE)}, 1)))) >= {_ls.MIN_COLUMNS}
+    AND contains(regexp_replace(regexp_extract_all(regexp_extract_all(t, {_q(_ls.ROW_RE)}, 1)[1], {_q(_ls.CELL_RE)}, 1)[1], {_q(_ls.TAG_RE)}, '', 'g'), {_q(_ls.HEADER_WORD)}))[1] AS tgt
+  FROM tabled),
+classified AS (SELECT *, CASE WHEN html IS NULL THEN 'failed'
+    WHEN {' OR '.join(f'contains(html, {_q(m)})' for m in _ls.NO_DATA_MARKERS)} THEN 'marker'
+    WHEN NOT contains(lower(html), '<table') THEN 'failed'
+    WHEN tgt IS NOT NULL THEN 'target' ELSE 'empty' END AS kind FROM targeted),
+runs AS (SELECT city_code, zip_code, ind_code, page_no, kind,
+    sum(CASE WHEN kind = 'empty' THEN 1 ELSE 0 END) OVER (PARTITION BY city_code, zip_code, ind_code ORDER BY page_no
+        ROWS BETWEEN {_ls.EMPTY_PAGES_TO_STOP - 1} PRECEDING AND CURRENT ROW) AS empties
+  FROM classified WHERE kind <> 'failed'),
+stops AS (SELECT city_code, zip_code, ind_code, min(page_no) AS stop FROM runs
+  WHERE kind = 'marker' OR empties >= {_ls.EMPTY_PAGES_TO_STOP} GROUP BY ALL),
+cutoff AS (SELECT c.city_code, c.zip_code, c.ind_code, c.page_no, c.kind, s.stop IS NULL OR c.page_no < s.stop AS kept
+  FROM classified c LEFT JOIN stops s USING (city_code, zip_code, ind_code)),
+trs AS (SELECT city_code, zip_code, ind_code, page_no, regexp_extract_all(tgt, {_q(_ls.ROW_RE)}, 1) AS rs FROM classified WHERE kind = 'target'),
+row_cells AS (SELECT city_code, zip_code, ind_code, page_no, CAST(i - 2 AS BIGINT) AS row_no,
+    regexp_extract_all(rs[i], {_q(_ls.CELL_RE)}, 1) AS cs
+  FROM (SELECT *, unnest(range(2, len(rs) + 1)) AS i FROM trs)),
+extracted AS (SELECT city_code, zip_code, ind_code, page_no, row_no,
+    {", ".join(f"regexp_replace(regexp_replace(replace(regexp_replace(cs[{i + 1}], {_q(_ls.TAG_RE)}, '', 'g'), '&amp;', '&'), {_q(_ls.WS_RUN_RE)}, ' ', 'g'), {_q(_ls.TRIM_RE)}, '', 'g') AS {n}" for i, n in enumerate(_ls.CELL_FIELDS))}
+  FROM row_cells),
+listing AS (SELECT * FROM extracted WHERE name IS NULL OR name <> {_q(_ls.HEADER_WORD)})"""
+
+ORACLE["listing_rows"] = f"WITH {LISTING_CTES}\nSELECT * FROM listing"
+ORACLE["listing_cutoff"] = f"WITH {LISTING_CTES}\nSELECT * FROM cutoff"
+ORACLE["listing_cap"] = f"""WITH {LISTING_CTES},
+per_page AS (SELECT city_code, zip_code, ind_code, page_no, count(*) AS n_rows FROM listing GROUP BY ALL)
+SELECT *, CAST(coalesce(sum(n_rows) OVER (PARTITION BY city_code, zip_code, ind_code ORDER BY page_no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rows_before,
+  coalesce(sum(n_rows) OVER (PARTITION BY city_code, zip_code, ind_code ORDER BY page_no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 40 AS kept
+FROM per_page"""
+ORACLE["listing_merchants"] = f"""WITH {LISTING_CTES}
+SELECT l.* FROM listing l JOIN cutoff c USING (city_code, zip_code, ind_code, page_no) WHERE c.kept"""

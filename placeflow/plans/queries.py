@@ -369,3 +369,35 @@ PRICE_ROWS = dims.PRICE_THRESHOLDS + [("MEDIUM", [900.0, 950.0, 1000.0, 1500.0])
 def price_level(spark, sf_dir):
     items = fx.bind(spark, fx.PRICE_INPUT, **fx.tables(spark, sf_dir, "part"))
     return pr.price_level(items, dims.dim_price(spark, PRICE_ROWS))
+
+
+# ---------------- listing pages ----------------
+from placeflow.sources import listing as ls  # noqa: E402
+
+
+def _listing_pages(spark, sf_dir):
+    raw = fx.merchant_raw(spark, sf_dir)
+    last = fx.bind(spark, fx.LISTING_LAST_PAGE, merchant_raw=raw)
+    return fx.bind(spark, fx.LISTING_PAGES, merchant_raw=raw, last_page=last)
+
+
+@query
+def listing_rows(spark, sf_dir):
+    return ls.extract_rows(ls.classify_pages(_listing_pages(spark, sf_dir)))
+
+
+@query
+def listing_cutoff(spark, sf_dir):
+    return ls.page_cutoff(ls.classify_pages(_listing_pages(spark, sf_dir)))
+
+
+@query
+def listing_cap(spark, sf_dir):
+    rows = ls.extract_rows(ls.classify_pages(_listing_pages(spark, sf_dir)))
+    per_page = rows.groupBy("city_code", "zip_code", "ind_code", "page_no").agg(F.count(F.lit(1)).alias("n_rows"))
+    return ls.page_cap(per_page, max_limit=40)
+
+
+@query
+def listing_merchants(spark, sf_dir):
+    return ls.listing_merchants(_listing_pages(spark, sf_dir))
