@@ -413,3 +413,13 @@ SELECT *, CAST(coalesce(sum(n_rows) OVER (PARTITION BY city_code, zip_code, ind_
 FROM per_page"""
 ORACLE["listing_merchants"] = f"""WITH {LISTING_CTES}
 SELECT l.* FROM listing l JOIN cutoff c USING (city_code, zip_code, ind_code, page_no) WHERE c.kept"""
+
+
+# ---------------- streaming re-runs: same answers as the batch jobs ----------------
+ORACLE["merge_incremental"] = ORACLE["merge_fragments"]
+ORACLE["cache_upsert_stream"] = f"""WITH {GEO_CTES},
+both_versions AS (SELECT full_address_key, lat, lng, 0 AS new, gen, seq FROM geo_cache
+  UNION ALL SELECT full_address_key, lat, lng, 1, 0, 0 FROM resolved)
+SELECT full_address_key, lat, lng FROM (
+  SELECT *, row_number() OVER (PARTITION BY full_address_key ORDER BY new DESC, gen DESC, seq DESC, lat DESC, lng DESC) AS rn
+  FROM both_versions) WHERE rn = 1"""

@@ -73,7 +73,7 @@ def events_first_per_user(spark, sf_dir):
 def events_last_per_user(spark, sf_dir):
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "ts", "event_id", "event_type", "value")
     return keep_first(ev, ["user_id"], ["ts", "event_id"], last=True).drop("ts")
-FLAGSHIP = "district_counts"
+
 
 
 # ---------------- dimensions, requests and work items ----------------
@@ -401,3 +401,41 @@ def listing_cap(spark, sf_dir):
 @query
 def listing_merchants(spark, sf_dir):
     return ls.listing_merchants(_listing_pages(spark, sf_dir))
+
+
+# ---------------- streaming re-runs ----------------
+from placeflow.session import scratch_dir  # noqa: E402
+from placeflow.streaming import incremental as inc  # noqa: E402
+
+N_ARRIVALS = 3
+
+
+@query
+def merge_incremental(spark, sf_dir):
+    """Fragments arrive in three drops; each run folds only the new files."""
+    root = scratch_dir(spark, "merge-incremental")
+    _fragments(spark, sf_dir).write.parquet(f"{root}/staged")
+    staged = spark.read.parquet(f"{root}/staged")
+    schema = staged.schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    out = None
+    for part in range(N_ARRIVALS):
+        staged.filter(F.pmod(F.hash("file_name"), F.lit(N_ARRIVALS)) == part).write.mode("append").parquet(f"{root}/src")
+        out = inc.merge_incremental(spark, f"{root}/src", schema, f"{root}/state", f"{root}/ckpt")
+    return out.select(*fin.FINAL_COLUMNS, "file_name", "row_index")
+
+
+@query
+def cache_upsert_stream(spark, sf_dir):
+    """Resolver answers arrive in two drops and are upserted into a versioned cache."""
+    mc, cache, resolver = _geo_inputs(spark, sf_dir)
+    _, new_rows = geo.geocode(mc, cache, resolver)
+    root = scratch_dir(spark, "cache-stream")
+    cache.select("full_address_key", "lat", "lng", "gen", "seq").write.parquet(f"{root}/cache/v=0")
+    new_rows.write.parquet(f"{root}/staged")
+    staged = spark.read.parquet(f"{root}/staged")
+    out = None
+    for part in range(2):
+        staged.filter(F.pmod(F.hash("full_address_key"), F.lit(2)) == part).write.mode("append").parquet(f"{root}/src")
+        out = inc.cache_upsert_stream(spark, f"{root}/src", f"{root}/cache", f"{root}/ckpt")
+    return out.select("full_address_key", "lat", "lng")
+FLAGSHIP = "merge_fragments"

@@ -51,3 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/placeflow-scratch/{name}-{uuid.uuid4().hex[:12]}"

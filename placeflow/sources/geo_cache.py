@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from placeflow.operators.dedupe import upsert_latest
 
 CACHE_SCHEMA = "full_address_key string, lat double, lng double, gen bigint, seq bigint"
+RESOLVED_SCHEMA = "full_address_key string, lat double, lng double"
 
 
 def _fs(spark: SparkSession, root: str):
@@ -55,7 +56,8 @@ def write_geo_cache(spark: SparkSession, root: str, new_rows: DataFrame, retries
         nxt = (vs[-1] + 1) if vs else 0
         old = read_geo_cache(spark, root)
         fresh = new_rows.select("full_address_key", "lat", "lng").withColumn("gen", F.lit(nxt).cast("bigint")).withColumn("seq", F.lit(0).cast("bigint"))
-        merged = upsert_latest(old, fresh, "full_address_key")
+        # new answers beat every stored version, whatever gen numbers the old rows carry
+        merged = upsert_latest(old.withColumn("_new", F.lit(0)), fresh.withColumn("_new", F.lit(1)), "full_address_key", order=("_new", "gen", "seq")).drop("_new")
         try:
             merged.write.mode("errorifexists").parquet(f"{root}/v={nxt}")
             return nxt
