@@ -80,6 +80,7 @@ def events_last_per_user(spark, sf_dir):
 from placeflow import dims  # noqa: E402
 from placeflow.operators.lookup import attach_code_names  # noqa: E402
 from placeflow.plans import work_items as wi  # noqa: E402
+from placeflow.session import materialize  # noqa: E402
 
 
 def _dims(spark):
@@ -162,7 +163,8 @@ from placeflow.operators import geocode as geo  # noqa: E402
 
 
 def _geo_inputs(spark, sf_dir):
-    mc = geo.add_full_address_key(_merchant_clean(spark, sf_dir))
+    # keyed merchants feed the gazetteer, the cache and the rows: materialise once
+    mc = materialize(geo.add_full_address_key(_merchant_clean(spark, sf_dir)))
     gaz = fx.bind(spark, fx.GAZETTEER, keyed=mc)
     cache = fx.bind(spark, fx.GEO_CACHE, gazetteer=gaz)
     # the resolver knows every key but every 7th
@@ -243,7 +245,8 @@ def _enrich_batches(spark, sf_dir):
     rows, _ = geo.geocode(mc, cache, resolver)
     rows = tagging.synonym_tags(rows, dims.synonyms(spark), fuzzy=False)
     rows = lookup_name(rows, "ind_code", dims.dim_industry(spark), "industry")
-    return enrich.enrichment_batches(rows)
+    # the saved raw table of the source pipeline: enrichment starts from it
+    return materialize(enrich.enrichment_batches(rows))
 
 
 def _responses(spark, sf_dir):
@@ -310,12 +313,13 @@ from placeflow.sources import exchange as ex  # noqa: E402
 def _final_with_order(spark, sf_dir):
     batches = _enrich_batches(spark, sf_dir)
     rows, _ = delimited.read_delimited(fx.bind(spark, fx.RESPONSES, batches=batches), ["city_code", "zip_code", "ind_code", "chunk_no"])
-    return fin.finalize_places(fin.attach_chunk_tags(rows, batches), dims.dim_industry(spark), extra=("chunk_no", "line_no")), batches
+    final = fin.finalize_places(fin.attach_chunk_tags(rows, batches), dims.dim_industry(spark), extra=("chunk_no", "line_no"))
+    return materialize(final), batches
 
 
 def _fragments(spark, sf_dir):
     final, _ = _final_with_order(spark, sf_dir)
-    return fx.bind(spark, fx.FRAGMENTS, final=final)
+    return materialize(fx.bind(spark, fx.FRAGMENTS, final=final))
 
 
 @query

@@ -58,3 +58,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/placeflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary: a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` (survives lost executors; never localCheckpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
