@@ -78,7 +78,8 @@ def _n_columns(table: Column) -> Column:
 
 def target_table(html: Column) -> Column:
     tables = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(TABLE_RE), 1)
-    hits = F.filter(tables, lambda t: (_n_columns(t) >= MIN_COLUMNS) & F.contains(_first_cell_plain(t), F.lit(HEADER_WORD)))
+    # the cheap header-word test first: And short-circuits, so columns are counted only for candidates
+    hits = F.filter(tables, lambda t: F.contains(_first_cell_plain(t), F.lit(HEADER_WORD)) & (_n_columns(t) >= MIN_COLUMNS))
     return F.get(hits, 0)
 
 
@@ -89,15 +90,15 @@ def classify_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     for m in NO_DATA_MARKERS:
         marker = marker | F.contains(h, F.lit(m))
     has_table = F.lower(h).contains("<table")
-    tgt = target_table(h)
     kind = (
         F.when(h.isNull(), "failed")
         .when(marker, "marker")
         .when(~has_table, "failed")
-        .when(tgt.isNotNull(), "target")
+        .when(F.col("_target").isNotNull(), "target")
         .otherwise("empty")
     )
-    return pages.withColumn("_target", tgt).withColumn("kind", kind)
+    # the target table is found once per page and referenced, never re-derived
+    return pages.withColumn("_target", target_table(h)).withColumn("kind", kind)
 
 
 def extract_rows(classified: DataFrame, keep: Sequence[str] = (*BATCH, "page_no")) -> DataFrame:
@@ -132,8 +133,16 @@ def page_cap(page_rows: DataFrame, max_limit: int, batch_cols: Sequence[str] = B
     return page_rows.withColumn("rows_before", before).withColumn("kept", F.col("rows_before") < max_limit)
 
 
-def listing_merchants(pages: DataFrame) -> DataFrame:
-    """Pages -> merchant rows of the pages read before paging stopped."""
-    classified = classify_pages(pages)
+def listing_merchants(pages: DataFrame, materialize_pages: bool = True) -> DataFrame:
+    """Pages -> merchant rows of the pages read before paging stopped.
+
+    The classified pages feed both the stop rule and the extraction; they are
+    materialised once in narrow form (codes, page_no, kind, target table - the
+    page HTML is dropped) so the regex work runs once per page.
+    """
+    classified = classify_pages(pages).select(*BATCH, "page_no", "kind", "_target")
+    if materialize_pages:
+        from placeflow.session import materialize
+        classified = materialize(classified)
     kept = page_cutoff(classified).filter("kept").select(*BATCH, "page_no")
     return extract_rows(classified.join(kept, [*BATCH, "page_no"], "left_semi"))
