@@ -30,11 +30,12 @@ def parse_fragment_codes(df: DataFrame, kind: str = "final") -> DataFrame:
     stem = F.replace(F.replace(F.col("file_name"), F.lit(f"{kind}_"), F.lit("")), F.lit(".parquet"), F.lit(""))
     parts = F.split(stem, "_", -1)
     has = F.size(parts) >= 3
-    return (
-        df.withColumn("city_code", F.when(has, F.get(parts, 0)))
-        .withColumn("zip_code", F.when(has, F.get(parts, 1)))
-        .withColumn("ind_code", F.when(has, F.get(parts, 2)))
-    )
+    out = df
+    for i, c in enumerate(("city_code", "zip_code", "ind_code")):
+        parsed = F.when(has, F.get(parts, i))
+        # our own layout carries the codes as partition columns already
+        out = out.withColumn(c, F.coalesce(F.col(c), parsed) if c in df.columns else parsed)
+    return out
 
 
 def _overwrite_names(df: DataFrame, with_industry: bool) -> DataFrame:

@@ -34,9 +34,13 @@ def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
 
 def write_batches(df: DataFrame, root: str, batch_cols: Sequence[str] = BATCH) -> None:
     """Replace exactly the batches present in ``df`` (dynamic partition overwrite);
-    the output committer makes each batch appear all at once or not at all."""
+    the output committer makes each batch appear all at once or not at all.
+
+    ``rebalance`` (not ``repartition``) groups rows by batch for few files per
+    batch while AQE splits a hot batch over several tasks and merges small ones.
+    """
     (
-        df.repartition(*batch_cols)
+        df.hint("rebalance", *batch_cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*batch_cols)
