@@ -57,9 +57,10 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def _small(spark: SparkSession, rows, schema) -> DataFrame:
+    """A dimension from local rows, marked for broadcast: its size is checked here."""
     if len(rows) > MAX_BROADCAST_ROWS:
         raise ValueError(f"dimension of {len(rows)} rows is too large to broadcast")
-    return spark.createDataFrame(rows, schema)
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def dim_city(spark: SparkSession, rows=None) -> DataFrame:
