@@ -66,7 +66,8 @@ def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0) -> Dat
         names.select("lname", F.explode(_chars(F.col("lname"))).alias("ch"))
         .groupBy("lname", "ch").agg(F.count(F.lit(1)).alias("n_cnt"))
     )
-    achars = (
+    # bounded by the dictionary size check in load_dictionary: broadcast it
+    achars = F.broadcast(
         syn.select("tag", "alias_text", F.explode(_chars(F.col("alias_text"))).alias("ch"))
         .groupBy("tag", "alias_text", "ch").agg(F.count(F.lit(1)).alias("a_cnt"))
     )

@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # whole documents pass through the Arrow functions: keep batches modest
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     # codes such as ind_code=0009 must stay strings when read back from paths
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
