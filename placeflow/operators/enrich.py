@@ -2,10 +2,10 @@
 
 * ``index_within``: zero-based position of a row inside its batch, in page
   order. A window over a whole batch would put a hot batch in one task, so the
-  index is built from per-page counts: a running sum over the (much smaller)
-  page-count table gives each page its offset, and ``row_number`` runs only
-  inside one page (bounded by the source's page size). The join and the page
-  window share one hash partitioning, so this costs one shuffle of the rows.
+  index is built from per-page counts: a bounded hierarchical running sum over
+  the page-count table (``prefix.exclusive_prefix_sum``) gives each page its
+  offset, and ``row_number`` runs only inside one page (bounded by the
+  source's page size).
 * chunks of 30 rows -> one CSV text each (``listagg`` inside a bounded group).
 * ``call_enrichment``: the user's client runs in ``mapInPandas``, made once
   per partition, up to 3 tries per chunk; failures stay in the output with
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeflow.functions.text import temp_id
+from placeflow.operators.prefix import exclusive_prefix_sum
 
 CHUNK_SIZE = 30
 BATCH = ["city_code", "zip_code", "ind_code"]
@@ -48,8 +49,7 @@ def index_within(df: DataFrame, group_cols: Sequence[str], block_col: str, order
     """0-based position inside ``group_cols`` ordered by (block_col, *order_within)."""
     group_cols = list(group_cols)
     counts = df.groupBy(*group_cols, block_col).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group_cols).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    offsets = exclusive_prefix_sum(counts, group_cols, block_col, "_n", "_off").drop("_n")
     j = df.join(offsets, [*group_cols, block_col])
     inside = Window.partitionBy(*group_cols, block_col).orderBy(*order_within)
     return j.withColumn(out, (F.col("_off") + F.row_number().over(inside) - 1).cast("bigint")).drop("_off")

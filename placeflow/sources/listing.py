@@ -9,8 +9,8 @@ decoding of cell text runs in Python (one Arrow batch at a time).
 Paging stops (per batch, pages in order): before the first page that carries
 the "no data" marker, and at the third consecutive page that has tables but
 not the target (a target page resets the run; failed pages - no HTML, or no
-table at all - neither add nor reset). The windows for this run over a narrow
-per-page table (codes, page_no, kind), never over the HTML.
+table at all - neither add nor reset). This runs on a narrow per-page table
+(codes, page_no, kind), never on the HTML, and without a window over a batch.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from placeflow.functions.text import PY_WHITESPACE
+from placeflow.operators.prefix import exclusive_prefix_sum
 
 BATCH = ["city_code", "zip_code", "ind_code"]
 
@@ -113,24 +114,38 @@ def extract_rows(classified: DataFrame, keep: Sequence[str] = (*BATCH, "page_no"
 
 
 def page_cutoff(classified: DataFrame, batch_cols: Sequence[str] = BATCH) -> DataFrame:
-    """Per page: kind and ``kept`` (strictly before the stop page of its batch)."""
+    """Per page: kind and ``kept`` (strictly before the stop page of its batch).
+
+    Skew-safe, without a window over a batch: counted (non-failed) pages get
+    their rank by a bounded prefix count; each empty page votes for ranks r,
+    r+1 and r+2; a rank with three votes is a stop (three empties in a row), at
+    the page with the largest page_no among its voters. Stops and markers are
+    reduced with min per batch (partial aggregation).
+    """
+    batch_cols = list(batch_cols)
     narrow = classified.select(*batch_cols, "page_no", "kind")
-    counted = narrow.filter(F.col("kind") != "failed")
-    w = Window.partitionBy(*batch_cols).orderBy("page_no").rowsBetween(-(EMPTY_PAGES_TO_STOP - 1), 0)
-    runs = counted.withColumn("_empties", F.sum(F.when(F.col("kind") == "empty", 1).otherwise(0)).over(w))
-    stops = runs.filter((F.col("kind") == "marker") | (F.col("_empties") >= EMPTY_PAGES_TO_STOP)).groupBy(*batch_cols).agg(
-        F.min("page_no").alias("_stop")
+    counted = narrow.filter(F.col("kind") != "failed").withColumn("_one", F.lit(1))
+    ranked = exclusive_prefix_sum(counted, batch_cols, "page_no", "_one", "_rank")
+    votes = ranked.filter(F.col("kind") == "empty").select(
+        *batch_cols, "page_no",
+        F.explode(F.sequence(F.col("_rank"), F.col("_rank") + (EMPTY_PAGES_TO_STOP - 1))).alias("_at"),
+    )
+    run_stops = (
+        votes.groupBy(*batch_cols, "_at").agg(F.count(F.lit(1)).alias("_v"), F.max("page_no").alias("_page"))
+        .filter(F.col("_v") >= EMPTY_PAGES_TO_STOP)
+        .select(*batch_cols, F.col("_page").alias("page_no"))
     )
-    j = narrow.join(stops, list(batch_cols), "left")
+    markers = counted.filter(F.col("kind") == "marker").select(*batch_cols, "page_no")
+    stops = run_stops.unionByName(markers).groupBy(*batch_cols).agg(F.min("page_no").alias("_stop"))
+    j = narrow.join(stops, batch_cols, "left")
     return j.withColumn("kept", F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop"))).drop("_stop")
 
 
 def page_cap(page_rows: DataFrame, max_limit: int, batch_cols: Sequence[str] = BATCH) -> DataFrame:
     """Row cap: a page is read only while the rows collected before it are < ``max_limit``
     (the last page read may overshoot). ``page_rows``: (codes, page_no, n_rows)."""
-    w = Window.partitionBy(*batch_cols).orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n_rows").over(w), F.lit(0)).cast("bigint")
-    return page_rows.withColumn("rows_before", before).withColumn("kept", F.col("rows_before") < max_limit)
+    out = exclusive_prefix_sum(page_rows, batch_cols, "page_no", "n_rows", "rows_before")
+    return out.withColumn("kept", F.col("rows_before") < max_limit)
 
 
 def listing_merchants(pages: DataFrame, materialize_pages: bool = True) -> DataFrame:

@@ -86,3 +86,18 @@ def test_index_within_matches_row_number_under_skew(spark):
     brute = rows.withColumn("idx", (F.row_number().over(w) - 1).cast("bigint"))
     assert got.select(*brute.columns).exceptAll(brute).count() == 0
     assert got.count() == brute.count()
+
+
+def test_exclusive_prefix_sum_matches_window(spark):
+    from placeflow.operators.prefix import exclusive_prefix_sum
+
+    df = spark.range(3000).select(
+        (F.col("id") % 3).cast("string").alias("g"),
+        (F.col("id") * 7 + (F.col("id") % 5)).alias("o"),  # sparse, unique per group
+        (F.col("id") % 11).alias("v"),
+    )
+    got = exclusive_prefix_sum(df, ["g"], "o", "v", "p", base=4, levels=3)
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    brute = df.withColumn("p", F.coalesce(F.sum("v").over(w), F.lit(0)).cast("bigint"))
+    assert got.select(*brute.columns).exceptAll(brute).count() == 0
+    assert got.count() == brute.count()
