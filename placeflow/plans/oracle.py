@@ -9,6 +9,16 @@ and on ``documents`` (checked free of compatibility characters) it uses NFC.
 from __future__ import annotations
 
 from placeflow import fixtures as fx
+from placeflow.dims import CITIES as _C
+from placeflow.dims import DISTRICTS as _D
+from placeflow.dims import INDUSTRIES as _I
+from placeflow.dims import SYNONYMS as _SYN
+from placeflow.functions.text import NUMERIC_TEXT as _NUM
+from placeflow.functions.text import PY_WHITESPACE as _WS
+from placeflow.operators import enrich as _en
+from placeflow.sources import listing as _ls
+from placeflow.sources.delimited import NA_TEXTS as _NA
+from placeflow.sources.delimited import REPLY_FIELDS as _RF
 
 # full-width characters of the merchant fixture and their NFKC forms, plus the
 # cleaner's own rewrites (臺->台, 至->-, 之->-) and deleted spaces
@@ -128,7 +138,6 @@ ORACLE["dispatch_plan"] = f"""WITH {DIM_CTES}, {REQ_CTE}, {KNOWN_REQ}
 SELECT city_code, zip_code, string_agg(DISTINCT ind_code, ',' ORDER BY ind_code) AS industries, count(*) AS n_items
 FROM items GROUP BY city_code, zip_code"""
 
-from placeflow.dims import CITIES as _C, DISTRICTS as _D, INDUSTRIES as _I  # noqa: E402
 
 _ALL_C = "[" + ", ".join(f"'{c}'" for c, _ in _C) + "]"
 _ALL_D = "[" + ", ".join(f"'{c}'" for c, _ in _D) + "]"
@@ -206,7 +215,6 @@ WHERE rn = 1"""
 
 
 # ---------------- tagging ----------------
-from placeflow.dims import SYNONYMS as _SYN  # noqa: E402
 
 _SYN_VALUES = ", ".join(f"('{t}', '{a.lower()}')" for t, a in _SYN)
 SYN_CTES = f"""syn AS (SELECT * FROM (VALUES {_SYN_VALUES}) AS t(tag, alias_text)),
@@ -229,9 +237,6 @@ ORACLE["document_tags"] = f"""WITH {SYN_CTES}
 
 
 # ---------------- enrichment: batches, prompts, replies, final rows ----------------
-from placeflow.operators import enrich as _en  # noqa: E402
-from placeflow.sources.delimited import NA_TEXTS as _NA, REPLY_FIELDS as _RF  # noqa: E402
-from placeflow.functions.text import PY_WHITESPACE as _WS, NUMERIC_TEXT as _NUM  # noqa: E402
 
 
 def _q(s: str) -> str:
@@ -371,7 +376,6 @@ FROM items i LEFT JOIN thr t ON t.ind = i.ind LEFT JOIN thr d ON d.ind = 'defaul
 
 
 # ---------------- listing pages ----------------
-from placeflow.sources import listing as _ls  # noqa: E402
 
 LISTING_CTES = MERCHANT_RAW_CTE + f""",
 last_page AS ({fx.duck(fx.LISTING_LAST_PAGE, merchant_raw='merchant_raw')}),

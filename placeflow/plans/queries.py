@@ -10,10 +10,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeflow import dims
 from placeflow import fixtures as fx
 from placeflow.functions.text import normalize_phone, normalize_place_text
-from placeflow.operators import clean
-from placeflow.operators.dedupe import keep_first
+from placeflow.operators import clean, enrich, tagging
+from placeflow.operators import finalize as fin
+from placeflow.operators import geocode as geo
+from placeflow.operators import merge as mg
+from placeflow.operators import price as pr
+from placeflow.operators.dedupe import keep_first, upsert_latest
+from placeflow.operators.lookup import attach_code_names, lookup_name
+from placeflow.plans import work_items as wi
+from placeflow.session import materialize, scratch_dir
+from placeflow.sources import delimited
+from placeflow.sources import exchange as ex
+from placeflow.sources import listing as ls
+from placeflow.streaming import incremental as inc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,12 +87,7 @@ def events_last_per_user(spark, sf_dir):
     return keep_first(ev, ["user_id"], ["ts", "event_id"], last=True).drop("ts")
 
 
-
 # ---------------- dimensions, requests and work items ----------------
-from placeflow import dims  # noqa: E402
-from placeflow.operators.lookup import attach_code_names  # noqa: E402
-from placeflow.plans import work_items as wi  # noqa: E402
-from placeflow.session import materialize  # noqa: E402
 
 
 def _dims(spark):
@@ -159,7 +166,6 @@ def run_summary(spark, sf_dir):
 
 
 # ---------------- geocoding ----------------
-from placeflow.operators import geocode as geo  # noqa: E402
 
 
 def _geo_inputs(spark, sf_dir):
@@ -207,12 +213,10 @@ def cache_upsert(spark, sf_dir):
     mc, cache, resolver = _geo_inputs(spark, sf_dir)
     _, new_rows = geo.geocode(mc, cache, resolver)
     fresh = new_rows.select("full_address_key", "lat", "lng", F.lit(2).cast("bigint").alias("gen"), F.lit(0).cast("bigint").alias("seq"))
-    from placeflow.operators.dedupe import upsert_latest
     return upsert_latest(cache, fresh, "full_address_key").select("full_address_key", "lat", "lng", "gen")
 
 
 # ---------------- tagging ----------------
-from placeflow.operators import tagging  # noqa: E402
 
 
 @query
@@ -234,10 +238,6 @@ def document_tags(spark, sf_dir):
 
 
 # ---------------- enrichment: batches, prompts, replies, final rows ----------------
-from placeflow.operators import enrich  # noqa: E402
-from placeflow.operators import finalize as fin  # noqa: E402
-from placeflow.operators.lookup import lookup_name  # noqa: E402
-from placeflow.sources import delimited  # noqa: E402
 
 
 def _enrich_batches(spark, sf_dir):
@@ -305,9 +305,6 @@ def enrichment_calls(spark, sf_dir):
 
 
 # ---------------- merge, exchange, price level ----------------
-from placeflow.operators import merge as mg  # noqa: E402
-from placeflow.operators import price as pr  # noqa: E402
-from placeflow.sources import exchange as ex  # noqa: E402
 
 
 def _final_with_order(spark, sf_dir):
@@ -376,7 +373,6 @@ def price_level(spark, sf_dir):
 
 
 # ---------------- listing pages ----------------
-from placeflow.sources import listing as ls  # noqa: E402
 
 
 def _listing_pages(spark, sf_dir):
@@ -408,8 +404,6 @@ def listing_merchants(spark, sf_dir):
 
 
 # ---------------- streaming re-runs ----------------
-from placeflow.session import scratch_dir  # noqa: E402
-from placeflow.streaming import incremental as inc  # noqa: E402
 
 N_ARRIVALS = 3
 
