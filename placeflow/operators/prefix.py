@@ -1,12 +1,12 @@
 """Running sums inside a group without sending the whole group to one task.
 
-``exclusive_prefix_sum`` splits the integer order key into digits of base
-``base``: with three levels, x = (x2, x1, x0). The sum over y < x is
-S2(x2) + S1(x2, x1) + S0(x2, x1, x0): a window over level-2 block totals
-(per group: max key / base^2 rows), one over level-1 block totals inside one
-level-2 block (<= base rows) and one over items inside one level-1 block
-(<= base rows). Block totals are aggregates (partial aggregation first), and
-they are joined back on (group, block).
+``exclusive_prefix_sum`` cuts the integer order key into blocks of ``block``
+consecutive values. A running sum inside each block (<= ``block`` rows per
+window partition) plus the running sum of the block totals before it (one row
+per block: max key / ``block`` rows per group) gives the sum over all smaller
+keys. The input is read by two branches; when it is an aggregate (page counts,
+as in every use here) both branches share its shuffle (Spark reuses the
+exchange), otherwise pass a materialised table.
 """
 
 from __future__ import annotations
@@ -16,32 +16,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+DEFAULT_BLOCK = 1 << 16
 
-def exclusive_prefix_sum(
-    df: DataFrame, group: Sequence[str], order: str, value: str, out: str, base: int = 1024, levels: int = 3
-) -> DataFrame:
+
+def exclusive_prefix_sum(df: DataFrame, group: Sequence[str], order: str, value: str, out: str, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows of the same group with a smaller ``order``.
 
     ``order`` is a non-negative integer, unique within a group.
     """
     group = list(group)
-    blk = {k: F.floor(F.col(order) / (base ** k)).cast("bigint") for k in range(1, levels)}
-    cur = df
-    for k in range(1, levels):
-        cur = cur.withColumn(f"_b{k}", blk[k])
-    # items inside one level-1 block
-    w0 = Window.partitionBy(*group, "_b1").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    cur = cur.withColumn("_p0", F.coalesce(F.sum(value).over(w0), F.lit(0)))
-    parts = [F.col("_p0")]
-    for k in range(1, levels):
-        keys = [f"_b{k}"] + ([f"_b{k + 1}"] if k + 1 < levels else [])
-        totals = cur.groupBy(*group, *keys).agg(F.sum(value).alias("_s"))
-        wk = Window.partitionBy(*group, *keys[1:]).orderBy(f"_b{k}").rowsBetween(Window.unboundedPreceding, -1)
-        totals = totals.select(*group, f"_b{k}", F.coalesce(F.sum("_s").over(wk), F.lit(0)).alias(f"_p{k}"))
-        cur = cur.join(totals, [*group, f"_b{k}"])
-        parts.append(F.col(f"_p{k}"))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    drop = [f"_b{k}" for k in range(1, levels)] + [f"_p{k}" for k in range(levels)]
-    return cur.withColumn(out, total.cast("bigint")).drop(*drop)
+    cur = df.withColumn("_blk", F.floor(F.col(order) / block).cast("bigint"))
+    inside = Window.partitionBy(*group, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    cur = cur.withColumn("_p_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    totals = cur.groupBy(*group, "_blk").agg(F.sum(value).alias("_s"))
+    before = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*group, "_blk", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_p_blk"))
+    return (
+        cur.join(totals, [*group, "_blk"])
+        .withColumn(out, (F.col("_p_in") + F.col("_p_blk")).cast("bigint"))
+        .drop("_blk", "_p_in", "_p_blk")
+    )

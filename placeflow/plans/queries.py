@@ -388,12 +388,12 @@ def listing_rows(spark, sf_dir):
 
 @query
 def listing_cutoff(spark, sf_dir):
-    return ls.page_cutoff(ls.classify_pages(_listing_pages(spark, sf_dir)))
+    return ls.page_cutoff(ls.classified_pages(_listing_pages(spark, sf_dir)))
 
 
 @query
 def listing_cap(spark, sf_dir):
-    rows = ls.extract_rows(ls.classify_pages(_listing_pages(spark, sf_dir)))
+    rows = ls.extract_rows(ls.classified_pages(_listing_pages(spark, sf_dir)))
     per_page = rows.groupBy("city_code", "zip_code", "ind_code", "page_no").agg(F.count(F.lit(1)).alias("n_rows"))
     return ls.page_cap(per_page, max_limit=40)
 

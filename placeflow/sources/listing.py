@@ -120,7 +120,8 @@ def page_cutoff(classified: DataFrame, batch_cols: Sequence[str] = BATCH) -> Dat
     their rank by a bounded prefix count; each empty page votes for ranks r,
     r+1 and r+2; a rank with three votes is a stop (three empties in a row), at
     the page with the largest page_no among its voters. Stops and markers are
-    reduced with min per batch (partial aggregation).
+    reduced with min per batch (partial aggregation). ``classified`` is read
+    more than once: pass a materialised page table when it is expensive.
     """
     batch_cols = list(batch_cols)
     narrow = classified.select(*batch_cols, "page_no", "kind")
@@ -135,7 +136,7 @@ def page_cutoff(classified: DataFrame, batch_cols: Sequence[str] = BATCH) -> Dat
         .filter(F.col("_v") >= EMPTY_PAGES_TO_STOP)
         .select(*batch_cols, F.col("_page").alias("page_no"))
     )
-    markers = counted.filter(F.col("kind") == "marker").select(*batch_cols, "page_no")
+    markers = ranked.filter(F.col("kind") == "marker").select(*batch_cols, "page_no")
     stops = run_stops.unionByName(markers).groupBy(*batch_cols).agg(F.min("page_no").alias("_stop"))
     j = narrow.join(stops, batch_cols, "left")
     return j.withColumn("kept", F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop"))).drop("_stop")
@@ -148,6 +149,16 @@ def page_cap(page_rows: DataFrame, max_limit: int, batch_cols: Sequence[str] = B
     return out.withColumn("kept", F.col("rows_before") < max_limit)
 
 
+def classified_pages(pages: DataFrame, materialize_pages: bool = True) -> DataFrame:
+    """Narrow classified pages (codes, page_no, kind, target table; no page HTML),
+    materialised once because the stop rule and the extraction both read them."""
+    classified = classify_pages(pages).select(*BATCH, "page_no", "kind", "_target")
+    if materialize_pages:
+        from placeflow.session import materialize
+        classified = materialize(classified)
+    return classified
+
+
 def listing_merchants(pages: DataFrame, materialize_pages: bool = True) -> DataFrame:
     """Pages -> merchant rows of the pages read before paging stopped.
 
@@ -155,9 +166,6 @@ def listing_merchants(pages: DataFrame, materialize_pages: bool = True) -> DataF
     materialised once in narrow form (codes, page_no, kind, target table - the
     page HTML is dropped) so the regex work runs once per page.
     """
-    classified = classify_pages(pages).select(*BATCH, "page_no", "kind", "_target")
-    if materialize_pages:
-        from placeflow.session import materialize
-        classified = materialize(classified)
+    classified = classified_pages(pages, materialize_pages)
     kept = page_cutoff(classified).filter("kept").select(*BATCH, "page_no")
     return extract_rows(classified.join(kept, [*BATCH, "page_no"], "left_semi"))

@@ -96,7 +96,7 @@ def test_exclusive_prefix_sum_matches_window(spark):
         (F.col("id") * 7 + (F.col("id") % 5)).alias("o"),  # sparse, unique per group
         (F.col("id") % 11).alias("v"),
     )
-    got = exclusive_prefix_sum(df, ["g"], "o", "v", "p", base=4, levels=3)
+    got = exclusive_prefix_sum(df, ["g"], "o", "v", "p", block=16)
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
     brute = df.withColumn("p", F.coalesce(F.sum("v").over(w), F.lit(0)).cast("bigint"))
     assert got.select(*brute.columns).exceptAll(brute).count() == 0
