@@ -41,9 +41,9 @@ def finished_batches(spark: SparkSession, out_root: str) -> DataFrame:
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in BATCH))
 
 
-def rows_from_pages(pages: DataFrame) -> DataFrame:
+def rows_from_pages(pages: DataFrame, max_rows_per_batch: int | None = None) -> DataFrame:
     """Listing pages -> raw merchant rows in the cleaner's input shape."""
-    rows = listing.listing_merchants(pages)
+    rows = listing.listing_merchants(pages, max_rows_per_batch=max_rows_per_batch)
     return rows.select(
         *BATCH, "page_no", F.col("row_no").alias("seq"),
         F.col("name").alias("name_raw"), "industry_text",
@@ -81,6 +81,7 @@ def run(
     resolver=None,
     config: DataFrame | None = None,
     synonyms: DataFrame | None = None,
+    max_rows_per_batch: int | None = None,
 ) -> DataFrame:
     """Process every pending batch; returns the work-item ledger."""
     # batch codes such as 0009 must come back from partition paths as strings
@@ -91,7 +92,7 @@ def run(
         pages = pages.join(items, BATCH, "left_semi")
     pending_pages = pages.join(done, BATCH, "left_anti")
 
-    raw_rows = rows_from_pages(pending_pages)
+    raw_rows = rows_from_pages(pending_pages, max_rows_per_batch)
     raw, new_cache = prepare_raw(raw_rows, geo_cache.read_geo_cache(spark, cache_root), resolver, synonyms)
     fragments.write_batches(raw, f"{out_root}/raw")
     if resolver is not None and not new_cache.isEmpty():

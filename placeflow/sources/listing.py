@@ -159,8 +159,9 @@ def classified_pages(pages: DataFrame, materialize_pages: bool = True) -> DataFr
     return classified
 
 
-def listing_merchants(pages: DataFrame, materialize_pages: bool = True) -> DataFrame:
-    """Pages -> merchant rows of the pages read before paging stopped.
+def listing_merchants(pages: DataFrame, materialize_pages: bool = True, max_rows_per_batch: int | None = None) -> DataFrame:
+    """Pages -> merchant rows of the pages read before paging stopped (and,
+    with ``max_rows_per_batch``, before the row cap was reached).
 
     The classified pages feed both the stop rule and the extraction; they are
     materialised once in narrow form (codes, page_no, kind, target table - the
@@ -168,4 +169,9 @@ def listing_merchants(pages: DataFrame, materialize_pages: bool = True) -> DataF
     """
     classified = classified_pages(pages, materialize_pages)
     kept = page_cutoff(classified).filter("kept").select(*BATCH, "page_no")
-    return extract_rows(classified.join(kept, [*BATCH, "page_no"], "left_semi"))
+    rows = extract_rows(classified.join(kept, [*BATCH, "page_no"], "left_semi"))
+    if max_rows_per_batch is None:
+        return rows
+    per_page = rows.groupBy(*BATCH, "page_no").agg(F.count(F.lit(1)).alias("n_rows"))
+    capped = page_cap(per_page, max_rows_per_batch).filter("kept").select(*BATCH, "page_no")
+    return rows.join(capped, [*BATCH, "page_no"], "left_semi")

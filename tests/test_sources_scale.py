@@ -101,3 +101,20 @@ def test_exclusive_prefix_sum_matches_window(spark):
     brute = df.withColumn("p", F.coalesce(F.sum("v").over(w), F.lit(0)).cast("bigint"))
     assert got.select(*brute.columns).exceptAll(brute).count() == 0
     assert got.count() == brute.count()
+
+
+def test_listing_row_cap(spark, sf_dir):
+    from placeflow.plans import queries
+    from placeflow.sources import listing
+
+    pages = queries._listing_pages(spark, sf_dir)
+    full = listing.listing_merchants(pages)
+    capped = listing.listing_merchants(pages, max_rows_per_batch=10)
+    per_batch_full = {tuple(r[:3]): r[3] for r in full.groupBy("city_code", "zip_code", "ind_code").count().collect()}
+    for r in capped.groupBy("city_code", "zip_code", "ind_code").agg(F.count(F.lit(1)).alias("n"), F.max("page_no").alias("last")).collect():
+        n_full = per_batch_full[tuple(r[:3])]
+        assert r.n <= n_full
+        # pages are read while fewer than 10 rows were collected: the last page may overshoot
+        before_last = capped.filter((F.col("city_code") == r.city_code) & (F.col("zip_code") == r.zip_code)
+                                    & (F.col("ind_code") == r.ind_code) & (F.col("page_no") < r.last)).count()
+        assert before_last < 10
