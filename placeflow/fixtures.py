@@ -14,9 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from placeflow.dims import CITIES, DISTRICTS, INDUSTRIES, values_sql
 
-ZIPS_IN_ORDER = "111,103,106,104,100,114,116,112,105,110,115,108"
-DISTRICTS_IN_ORDER = "士林區,大同區,大安區,中山區,中正區,內湖區,文山區,北投區,松山區,信義區,南港區,萬華區"
-
 # k groups three consecutive customers into one shop written three ways
 MERCHANT_RAW = """
 SELECT c_custkey AS seq, '001' AS city_code,
