@@ -1,57 +1,78 @@
 """Scheduled re-runs as incremental streams.
 
 Both jobs read new files with a file source (``trigger(availableNow=True)``:
-take what arrived, then stop) and fold each micro-batch into a state table
-published as versioned directories ``state/v=<epoch>``. A replayed epoch
-rewrites its own version from the previous one, so recovery after a lost
-executor or driver gives the same result; readers take the highest version
-that committed (``_SUCCESS``).
+take what arrived, then stop) and fold each micro-batch into a state table.
 
 * ``merge_incremental``: survivors + new fragment rows -> first-wins per key in
-  (file_name, row_index) order. Each survivor keeps its own position, so the
-  result equals the batch merge of everything seen (fragments are immutable:
-  a rewritten file under an old name is not picked up again).
+  (file_name, row_index) order. The state is partitioned by a hash bucket of
+  the de-duplication key; a micro-batch reads and rewrites only the buckets
+  its rows touch (dynamic partition overwrite), not the whole state. First-wins
+  is idempotent, so a replayed epoch (after a lost executor or driver) leaves
+  the same state. Each survivor keeps its own position, so the result equals
+  the batch merge of everything seen (fragments are immutable: a rewritten
+  file under an old name is not picked up again).
 * ``cache_upsert_stream``: new resolver answers -> last-wins into the cache.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from placeflow.operators.merge import merge_final
+from placeflow.operators.merge import dedupe_keys, merge_final
+from placeflow.session import materialize
 from placeflow.sources import geo_cache
 
 
-def latest_state(spark: SparkSession, state_root: str) -> DataFrame | None:
-    vs = geo_cache.committed_versions(spark, state_root)
-    return spark.read.parquet(f"{state_root}/v={vs[-1]}") if vs else None
+N_BUCKETS = 64
 
 
-def _fold_fragments(state_root: str):
+def _bucket(df: DataFrame, n_buckets: int):
+    keys = dedupe_keys(df.columns) or ["file_name", "row_index"]
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets))
+
+
+def read_state(spark: SparkSession, state_root: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(state_root).drop("_bucket")
+    except Exception:  # nothing merged yet
+        return None
+
+
+def _fold_fragments(state_root: str, n_buckets: int):
     def fold(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        prev = [v for v in geo_cache.committed_versions(spark, state_root) if v < epoch]
-        rows = batch
-        if prev:
-            rows = spark.read.parquet(f"{state_root}/v={prev[-1]}").unionByName(batch, allowMissingColumns=True)
-        merge_final(rows).write.mode("overwrite").parquet(f"{state_root}/v={epoch}")
+        new = batch.withColumn("_bucket", _bucket(batch, n_buckets))
+        rows = new
+        if read_state(spark, state_root) is not None:
+            old = spark.read.parquet(state_root)
+            touched = new.select("_bucket").distinct()
+            rows = old.join(touched, "_bucket", "left_semi").unionByName(new, allowMissingColumns=True)
+        merged = merge_final(rows.drop("_bucket"))
+        merged = merged.withColumn("_bucket", _bucket(merged, n_buckets))
+        # cut lineage before replacing the partitions this plan reads
+        merged = materialize(merged)
+        (
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_bucket").parquet(state_root)
+        )
     return fold
 
 
-def merge_incremental(spark: SparkSession, source_root: str, schema: str, state_root: str, checkpoint: str) -> DataFrame:
+def merge_incremental(spark: SparkSession, source_root: str, schema: str, state_root: str, checkpoint: str, n_buckets: int = N_BUCKETS) -> DataFrame:
     """Fold every fragment file that arrived since the last run into the merged state.
 
     Fragment rows must carry ``file_name`` and ``row_index`` (as the batch reader adds them).
     """
     stream = spark.readStream.schema(schema).parquet(source_root)
     q = (
-        stream.writeStream.foreachBatch(_fold_fragments(state_root))
+        stream.writeStream.foreachBatch(_fold_fragments(state_root, n_buckets))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return latest_state(spark, state_root)
+    return read_state(spark, state_root)
 
 
 def cache_upsert_stream(spark: SparkSession, source_root: str, cache_root: str, checkpoint: str) -> DataFrame:

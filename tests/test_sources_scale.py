@@ -118,3 +118,20 @@ def test_listing_row_cap(spark, sf_dir):
         before_last = capped.filter((F.col("city_code") == r.city_code) & (F.col("zip_code") == r.zip_code)
                                     & (F.col("ind_code") == r.ind_code) & (F.col("page_no") < r.last)).count()
         assert before_last < 10
+
+
+def test_incremental_fold_is_replay_safe(spark):
+    from placeflow.streaming.incremental import _fold_fragments, read_state
+
+    root = tempfile.mkdtemp(prefix="state-")
+    a = spark.createDataFrame(
+        [("1", "A", "p1", "x", "y", "final_001_111_0009.parquet", 0), ("2", "B", "p2", "x", "y", "final_001_111_0009.parquet", 1)],
+        "id string, name string, phone string, city string, district string, file_name string, row_index bigint")
+    b = spark.createDataFrame([("9", "A", "p1", "x", "y", "final_001_103_0008.parquet", 0)], a.schema)
+    fold = _fold_fragments(f"{root}/state", 8)
+    fold(a, 0)
+    fold(b, 1)
+    once = sorted(tuple(r) for r in read_state(spark, f"{root}/state").select("id", "name", "phone").collect())
+    fold(b, 1)  # the same epoch again, as after a failure
+    twice = sorted(tuple(r) for r in read_state(spark, f"{root}/state").select("id", "name", "phone").collect())
+    assert once == twice == [("2", "B", "p2"), ("9", "A", "p1")]
