@@ -135,3 +135,14 @@ def test_incremental_fold_is_replay_safe(spark):
     fold(b, 1)  # the same epoch again, as after a failure
     twice = sorted(tuple(r) for r in read_state(spark, f"{root}/state").select("id", "name", "phone").collect())
     assert once == twice == [("2", "B", "p2"), ("9", "A", "p1")]
+
+
+def test_export_fragment_tabs(spark):
+    root = tempfile.mkdtemp(prefix="tabs-")
+    long_name = "final_001_111_0009_" + "x" * 60 + ".parquet"
+    frags = spark.createDataFrame(
+        [("1", "A", "final_001_111_0009.parquet", 0), ("2", "B", long_name, 0)],
+        "id string, name string, file_name string, row_index bigint")
+    exchange.export_fragment_tabs(frags, root)
+    tabs = sorted(d for d in os.listdir(root) if d.startswith("tab="))
+    assert tabs == ["tab=final_001_111_0009", "tab=" + long_name.replace(".parquet", "")[:50]]
