@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placeflow import dims
 from placeflow.functions.text import fill_string, to_double_strict
 from placeflow.operators.lookup import lookup_name
 
@@ -21,9 +22,9 @@ def attach_chunk_tags(parsed: DataFrame, batches: DataFrame) -> DataFrame:
     return parsed.join(t, [*BATCH, "chunk_no", "id"], "left")
 
 
-def finalize_places(parsed: DataFrame, industry_dim: DataFrame, keep_codes: bool = True, extra=()) -> DataFrame:
+def finalize_places(parsed: DataFrame, industry_dim=None, keep_codes: bool = True, extra=()) -> DataFrame:
     """Reply rows -> final rows: ``ind`` from the batch, numeric lat/lng, '' for missing text."""
-    out = lookup_name(parsed, "ind_code", industry_dim, "ind")
+    out = lookup_name(parsed, "ind_code", dims.INDUSTRIES if industry_dim is None else industry_dim, "ind")
     cols = []
     for c in FINAL_COLUMNS:
         if c in ("lat", "lng"):

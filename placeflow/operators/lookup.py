@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeflow import dims
 
+# a code table given as rows, up to this size, becomes a literal map in the projection
+MAX_LITERAL_ROWS = 10_000
+
 
-def lookup_name(df: DataFrame, code_col: str, dim: DataFrame, out_col: str) -> DataFrame:
-    """Left join a (code, name) table; unknown codes fall back to the code itself.
+def lookup_name(df: DataFrame, code_col: str, dim: DataFrame | Sequence[tuple[str, str]], out_col: str) -> DataFrame:
+    """Add ``out_col`` = name of the code; unknown codes fall back to the code itself.
 
-    The code tables are small local relations whose exact size Spark knows, so
-    the planner broadcasts them by its own size check.
+    A code table given as (code, name) rows (the fixed tables in ``dims``) is
+    a literal map looked up inside the projection: no join, no shuffle. A
+    DataFrame table is left-joined (its size decides broadcast or not).
     """
+    if not isinstance(dim, DataFrame):
+        rows = list(dim)
+        if len(rows) > MAX_LITERAL_ROWS:
+            raise ValueError("code table too large for a literal map; pass it as a DataFrame")
+        m = F.create_map(*[F.lit(x) for code, name in rows for x in (code, name)])
+        return df.withColumn(out_col, F.coalesce(F.try_element_at(m, F.col(code_col)), F.col(code_col)))
     d = dim.select(F.col("code").alias("_lk_code"), F.col("name").alias("_lk_name")).dropDuplicates(["_lk_code"])
     j = df.join(d, df[code_col] == d["_lk_code"], "left")
     return j.withColumn(out_col, F.coalesce(F.col("_lk_name"), F.col(code_col))).drop("_lk_code", "_lk_name")
@@ -24,14 +36,13 @@ def attach_code_names(
     city_col: str = "city_code",
     zip_col: str = "zip_code",
     ind_col: str | None = None,
-    city_dim: DataFrame | None = None,
-    district_dim: DataFrame | None = None,
-    industry_dim: DataFrame | None = None,
+    city_dim=None,
+    district_dim=None,
+    industry_dim=None,
 ) -> DataFrame:
     """Add ``city`` and ``district`` (and ``industry``) names for the batch codes."""
-    spark = df.sparkSession
-    out = lookup_name(df, city_col, city_dim or dims.dim_city(spark), "city")
-    out = lookup_name(out, zip_col, district_dim or dims.dim_district(spark), "district")
+    out = lookup_name(df, city_col, dims.CITIES if city_dim is None else city_dim, "city")
+    out = lookup_name(out, zip_col, dims.DISTRICTS if district_dim is None else district_dim, "district")
     if ind_col:
-        out = lookup_name(out, ind_col, industry_dim or dims.dim_industry(spark), "industry")
+        out = lookup_name(out, ind_col, dims.INDUSTRIES if industry_dim is None else industry_dim, "industry")
     return out

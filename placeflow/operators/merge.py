@@ -39,15 +39,14 @@ def parse_fragment_codes(df: DataFrame, kind: str = "final") -> DataFrame:
 
 
 def _overwrite_names(df: DataFrame, with_industry: bool) -> DataFrame:
-    spark = df.sparkSession
-    out = lookup_name(df, "city_code", dims.dim_city(spark), "_city_name")
-    out = lookup_name(out, "zip_code", dims.dim_district(spark), "_district_name")
+    out = lookup_name(df, "city_code", dims.CITIES, "_city_name")
+    out = lookup_name(out, "zip_code", dims.DISTRICTS, "_district_name")
     coded = F.col("city_code").isNotNull()
     out = out.withColumn("city", F.when(coded, F.col("_city_name")).otherwise(F.col("city") if "city" in df.columns else F.lit(None).cast("string")))
     out = out.withColumn("district", F.when(coded, F.col("_district_name")).otherwise(F.col("district") if "district" in df.columns else F.lit(None).cast("string")))
     out = out.drop("_city_name", "_district_name")
     if with_industry:
-        out = lookup_name(out, "ind_code", dims.dim_industry(spark), "_ind_name")
+        out = lookup_name(out, "ind_code", dims.INDUSTRIES, "_ind_name")
         out = out.withColumn("industry", F.when(coded, F.col("_ind_name")).otherwise(F.col("industry") if "industry" in df.columns else F.lit(None).cast("string"))).drop("_ind_name")
     return out
 

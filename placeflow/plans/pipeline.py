@@ -20,7 +20,7 @@ from placeflow.operators import enrich, geocode, tagging
 from placeflow.operators import finalize as fin
 from placeflow.operators.clean import clean_merchants
 from placeflow.operators.dedupe import dedupe_merchants
-from placeflow.operators.lookup import attach_code_names, lookup_name
+from placeflow.operators.lookup import attach_code_names
 from placeflow.operators.merge import merge_final, merge_raw
 from placeflow.plans import work_items as wi
 from placeflow.sources import delimited, fragments, geo_cache, listing
@@ -68,7 +68,7 @@ def enrich_and_finalize(raw: DataFrame, client_factory: Callable[[], Callable[[s
     batches = enrich.enrichment_batches(raw)
     calls = enrich.call_enrichment(enrich.enrichment_prompts(batches), client_factory)
     rows, rejects = delimited.read_delimited(calls.filter(F.col("response").isNotNull()), [*BATCH, "chunk_no"])
-    final = fin.finalize_places(fin.attach_chunk_tags(rows, batches), dims.dim_industry(spark))
+    final = fin.finalize_places(fin.attach_chunk_tags(rows, batches))
     return final, rejects, calls.drop("response")
 
 

@@ -244,7 +244,7 @@ def _enrich_batches(spark, sf_dir):
     mc, cache, resolver = _geo_inputs(spark, sf_dir)
     rows, _ = geo.geocode(mc, cache, resolver)
     rows = tagging.synonym_tags(rows, dims.synonyms(spark), fuzzy=False)
-    rows = lookup_name(rows, "ind_code", dims.dim_industry(spark), "industry")
+    rows = lookup_name(rows, "ind_code", dims.INDUSTRIES, "industry")
     # the saved raw table of the source pipeline: enrichment starts from it
     return materialize(enrich.enrichment_batches(rows))
 
@@ -281,7 +281,7 @@ def response_rejects(spark, sf_dir):
 def finalize_places(spark, sf_dir):
     batches = _enrich_batches(spark, sf_dir)
     rows, _ = delimited.read_delimited(fx.bind(spark, fx.RESPONSES, batches=batches), ["city_code", "zip_code", "ind_code", "chunk_no"])
-    return fin.finalize_places(fin.attach_chunk_tags(rows, batches), dims.dim_industry(spark))
+    return fin.finalize_places(fin.attach_chunk_tags(rows, batches))
 
 
 def _echo_client():
@@ -310,7 +310,7 @@ def enrichment_calls(spark, sf_dir):
 def _final_with_order(spark, sf_dir):
     batches = _enrich_batches(spark, sf_dir)
     rows, _ = delimited.read_delimited(fx.bind(spark, fx.RESPONSES, batches=batches), ["city_code", "zip_code", "ind_code", "chunk_no"])
-    final = fin.finalize_places(fin.attach_chunk_tags(rows, batches), dims.dim_industry(spark), extra=("chunk_no", "line_no"))
+    final = fin.finalize_places(fin.attach_chunk_tags(rows, batches), extra=("chunk_no", "line_no"))
     return materialize(final), batches
 
 
