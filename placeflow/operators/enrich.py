@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeflow.functions.text import temp_id
-from placeflow.operators.prefix import exclusive_prefix_sum
+from placeflow.operators.prefix import exclusive_prefix_sum, null_safe_join
 
 CHUNK_SIZE = 30
 BATCH = ["city_code", "zip_code", "ind_code"]
@@ -50,7 +50,7 @@ def index_within(df: DataFrame, group_cols: Sequence[str], block_col: str, order
     group_cols = list(group_cols)
     counts = df.groupBy(*group_cols, block_col).agg(F.count(F.lit(1)).alias("_n"))
     offsets = exclusive_prefix_sum(counts, group_cols, block_col, "_n", "_off").drop("_n")
-    j = df.join(offsets, [*group_cols, block_col])
+    j = null_safe_join(df, offsets, [*group_cols, block_col])
     inside = Window.partitionBy(*group_cols, block_col).orderBy(*order_within)
     return j.withColumn(out, (F.col("_off") + F.row_number().over(inside) - 1).cast("bigint")).drop("_off")
 

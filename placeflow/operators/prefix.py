@@ -32,7 +32,17 @@ def exclusive_prefix_sum(df: DataFrame, group: Sequence[str], order: str, value:
     before = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*group, "_blk", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_p_blk"))
     return (
-        cur.join(totals, [*group, "_blk"])
+        null_safe_join(cur, totals, [*group, "_blk"])
         .withColumn(out, (F.col("_p_in") + F.col("_p_blk")).cast("bigint"))
         .drop("_blk", "_p_in", "_p_blk")
     )
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL; the right key columns are dropped."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])

@@ -146,3 +146,11 @@ def test_export_fragment_tabs(spark):
     exchange.export_fragment_tabs(frags, root)
     tabs = sorted(d for d in os.listdir(root) if d.startswith("tab="))
     assert tabs == ["tab=final_001_111_0009", "tab=" + long_name.replace(".parquet", "")[:50]]
+
+
+def test_index_within_keeps_null_codes_and_pages(spark):
+    rows = spark.createDataFrame(
+        [(None, "111", "0009", 1, 1), (None, "111", "0009", 1, 2), ("001", "111", "0009", None, 3), ("001", "111", "0009", 2, 4)],
+        "city_code string, zip_code string, ind_code string, page_no bigint, seq bigint")
+    got = {r.seq: r.idx for r in enrich.index_within(rows, ["city_code", "zip_code", "ind_code"], "page_no", ["seq"]).collect()}
+    assert got == {1: 0, 2: 1, 3: 0, 4: 1}
