@@ -427,3 +427,18 @@ both_versions AS (SELECT full_address_key, lat, lng, 0 AS new, gen, seq FROM geo
 SELECT full_address_key, lat, lng FROM (
   SELECT *, row_number() OVER (PARTITION BY full_address_key ORDER BY new DESC, gen DESC, seq DESC, lat DESC, lng DESC) AS rn
   FROM both_versions) WHERE rn = 1"""
+
+
+# ---------------- the stand-in client's replies (deterministic echo of the input rows) ----------------
+def _echo_field(x: str) -> str:
+    v = f"coalesce(CAST({x} AS VARCHAR), '')"
+    return f"CASE WHEN list_contains({_NA_LIST}, {v}) THEN NULL ELSE {v} END"
+
+
+ORACLE["enrichment_calls"] = f"""WITH {ENRICH_CTES}
+SELECT city_code, zip_code, ind_code, chunk_no, CAST(idx - chunk_no * {_en.CHUNK_SIZE} AS BIGINT) AS line_no,
+  {_echo_field('temp_id')} AS id, {_echo_field('name')} AS name, {_echo_field('city')} AS city,
+  {_echo_field('district')} AS district, {_echo_field('address')} AS address, CAST(NULL AS VARCHAR) AS floor,
+  {_echo_field('lat')} AS lat, {_echo_field('lng')} AS lng, {_echo_field('phone')} AS phone,
+  CAST(NULL AS VARCHAR) AS review_summary, CAST(NULL AS VARCHAR) AS rating, CAST(NULL AS VARCHAR) AS price_level
+FROM batches"""
