@@ -442,3 +442,15 @@ SELECT city_code, zip_code, ind_code, chunk_no, CAST(idx - chunk_no * {_en.CHUNK
   {_echo_field('lat')} AS lat, {_echo_field('lng')} AS lng, {_echo_field('phone')} AS phone,
   CAST(NULL AS VARCHAR) AS review_summary, CAST(NULL AS VARCHAR) AS rating, CAST(NULL AS VARCHAR) AS price_level
 FROM batches"""
+
+ORACLE["page_kinds"] = f"""WITH t AS (SELECT page_id, html, regexp_extract_all(coalesce(html, ''), {_q(_ls.TABLE_RE)}, 1) AS tbls FROM pages),
+g AS (SELECT *, list_filter(tbls, lambda t:
+    list_max(list_transform(regexp_extract_all(t, {_q(_ls.ROW_RE)}, 1), lambda r: len(regexp_extract_all(r, {_q(_ls.CELL_RE)}, 1)))) >= {_ls.MIN_COLUMNS}
+    AND contains(regexp_replace(regexp_extract_all(regexp_extract_all(t, {_q(_ls.ROW_RE)}, 1)[1], {_q(_ls.CELL_RE)}, 1)[1], {_q(_ls.TAG_RE)}, '', 'g'), {_q(_ls.HEADER_WORD)}))[1] AS tgt
+  FROM t)
+SELECT page_id, CAST(len(tbls) AS BIGINT) AS n_tables,
+  CASE WHEN html IS NULL THEN 'failed'
+       WHEN {' OR '.join(f'contains(html, {_q(m)})' for m in _ls.NO_DATA_MARKERS)} THEN 'marker'
+       WHEN NOT contains(lower(html), '<table') THEN 'failed'
+       WHEN tgt IS NOT NULL THEN 'target' ELSE 'empty' END AS kind
+FROM g"""
