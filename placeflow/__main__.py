@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from placeflow import dims
-from placeflow.session import DEFAULT_CONF, ensure_checkpoint_dir
+from placeflow.session import DEFAULT_CONF, ensure_checkpoint_dir, ship_package
 
 
 def _load(ref: str):
@@ -33,6 +33,7 @@ def _session() -> SparkSession:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
