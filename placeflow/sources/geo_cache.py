@@ -21,22 +21,31 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
+def _versions(spark: SparkSession, root: str, committed_only: bool) -> list[int]:
     fs, path, jvm = _fs(spark, root)
     if not fs.exists(path):
         return []
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                try:
-                    out.append(int(name[2:]))
-                except ValueError:
-                    pass
+        if not (st.isDirectory() and name.startswith("v=") and name[2:].isdigit()):
+            continue
+        if committed_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue
+        out.append(int(name[2:]))
     return sorted(out)
 
 
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions whose writer finished (``_SUCCESS`` present): what readers see."""
+    return _versions(spark, root, committed_only=True)
+
+
+def all_versions(spark: SparkSession, root: str) -> list[int]:
+    """Every version folder, including ones a crashed writer left unfinished."""
+    return _versions(spark, root, committed_only=False)
+
+
 def read_geo_cache(spark: SparkSession, root: str) -> DataFrame:
     """Latest committed version; missing or unreadable -> empty with the cache schema."""
     try:
@@ -52,7 +61,8 @@ def write_geo_cache(spark: SparkSession, root: str, new_rows: DataFrame, retries
     """Merge ``new_rows`` (key, lat, lng) into the latest version, last wins; returns the version written."""
     last_err = None
     for _ in range(retries):
-        vs = committed_versions(spark, root)
+        # number past every folder, so an unfinished one never blocks the writer
+        vs = all_versions(spark, root)
         nxt = (vs[-1] + 1) if vs else 0
         old = read_geo_cache(spark, root)
         fresh = new_rows.select("full_address_key", "lat", "lng").withColumn("gen", F.lit(nxt).cast("bigint")).withColumn("seq", F.lit(0).cast("bigint"))

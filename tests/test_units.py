@@ -158,3 +158,17 @@ def test_versioned_geo_cache(spark):
     assert (v0, v1) == (0, 1)
     got = {r.full_address_key: r.lat for r in geo_cache.read_geo_cache(spark, root).collect()}
     assert got == {"a": 5.0, "b": 2.0}
+
+
+def test_geo_cache_survives_unfinished_version(spark):
+    import os
+
+    root = tempfile.mkdtemp(prefix="geo-cache-")
+    schema = "full_address_key string, lat double, lng double"
+    geo_cache.write_geo_cache(spark, root, spark.createDataFrame([("a", 1.0, 1.0)], schema))
+    os.makedirs(os.path.join(root, "v=1"))  # a writer died here: no _SUCCESS
+    assert geo_cache.committed_versions(spark, root) == [0]
+    v = geo_cache.write_geo_cache(spark, root, spark.createDataFrame([("b", 2.0, 2.0)], schema))
+    assert v == 2
+    got = {r.full_address_key: r.lat for r in geo_cache.read_geo_cache(spark, root).collect()}
+    assert got == {"a": 1.0, "b": 2.0}
