@@ -45,9 +45,10 @@ def _fold_fragments(state_root: str, n_buckets: int):
         new = batch.withColumn("_bucket", _bucket(batch, n_buckets))
         rows = new
         if read_state(spark, state_root) is not None:
-            old = spark.read.parquet(state_root)
-            touched = new.select("_bucket").distinct()
-            rows = old.join(touched, "_bucket", "left_semi").unionByName(new, allowMissingColumns=True)
+            # at most n_buckets ids: read only those state partitions (partition pruning)
+            touched = [r[0] for r in new.select("_bucket").distinct().collect()]
+            old = spark.read.parquet(state_root).filter(F.col("_bucket").isin(touched))
+            rows = old.unionByName(new, allowMissingColumns=True)
         merged = merge_final(rows.drop("_bucket"))
         merged = merged.withColumn("_bucket", _bucket(merged, n_buckets))
         # cut lineage before replacing the partitions this plan reads
