@@ -54,28 +54,47 @@ def resolve_with_table(pending: DataFrame, gazetteer: DataFrame) -> DataFrame:
     return pending.join(g, KEY, "inner")
 
 
-def resolve_with_function(pending: DataFrame, make_resolver: Callable[[], Callable[[str], tuple[float, float] | None]]) -> DataFrame:
+def resolve_with_function(pending: DataFrame, make_resolver: Callable[[], Callable], bulk: bool = False) -> DataFrame:
     """Resolver answers from a user function, run inside the executors.
 
-    ``make_resolver()`` is called once per partition (build the client there);
-    the returned ``resolve(key) -> (lat, lng) | None`` is called once per
-    distinct key. Failures (exceptions or None) leave the key unresolved.
+    ``make_resolver()`` is called once per partition (build the client there).
+    The returned function resolves each distinct key once: ``resolve(key) ->
+    (lat, lng) | None``, or with ``bulk=True`` ``resolve(keys) -> [(lat, lng) |
+    None, ...]`` for one Arrow batch of keys at a time. Failures (exceptions or
+    None) leave a key unresolved.
     """
 
+    def answers(resolve, keys: list[str]) -> list:
+        if bulk:
+            try:
+                got = list(resolve(keys))
+                return got if len(got) == len(keys) else [None] * len(keys)
+            except Exception:
+                return [None] * len(keys)
+        out = []
+        for k in keys:
+            try:
+                out.append(resolve(k))
+            except Exception:
+                out.append(None)
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         resolve = make_resolver()
         for pdf in batches:
             keys, lats, lngs = [], [], []
-            for k in pdf[KEY]:
-                try:
-                    hit = resolve(k)
-                except Exception:
-                    hit = None
+            batch_keys = list(pdf[KEY])
+            for k, hit in zip(batch_keys, answers(resolve, batch_keys)):
                 if hit is not None:
                     keys.append(k)
                     lats.append(float(hit[0]))
                     lngs.append(float(hit[1]))
-            yield pd.DataFrame({KEY: keys, "lat": lats, "lng": lngs})
+            if keys:  # a batch where nothing resolved yields nothing
+                yield pd.DataFrame({
+                    KEY: pd.Series(keys, dtype=object),
+                    "lat": pd.Series(lats, dtype="float64"),
+                    "lng": pd.Series(lngs, dtype="float64"),
+                })
 
     return pending.mapInPandas(run, RESOLVED_SCHEMA)
 

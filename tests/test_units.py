@@ -172,3 +172,23 @@ def test_geo_cache_survives_unfinished_version(spark):
     assert v == 2
     got = {r.full_address_key: r.lat for r in geo_cache.read_geo_cache(spark, root).collect()}
     assert got == {"a": 1.0, "b": 2.0}
+
+
+def test_resolve_with_function_single_and_bulk(spark):
+    from placeflow.operators import geocode
+
+    pending = spark.createDataFrame([("a",), ("b",), ("boom",)], "full_address_key string")
+
+    def single():
+        def f(k):
+            if k == "boom":
+                raise RuntimeError("service error")
+            return None if k == "b" else (1.0, 2.0)
+        return f
+
+    def bulk():
+        return lambda keys: [None if k == "b" else (1.0, 2.0) for k in keys]
+
+    one = {r.full_address_key for r in geocode.resolve_with_function(pending, single).collect()}
+    many = {r.full_address_key for r in geocode.resolve_with_function(pending, bulk, bulk=True).collect()}
+    assert one == {"a"} and many == {"a", "boom"}
