@@ -6,8 +6,10 @@ whole alias text (spaces included) is at least ``threshold``. Tags come out
 sorted and comma-joined; an empty name gets ''.
 
 Plan:
-* exact hits: the dictionary is a small, size-checked dimension, so it is
-  compiled into one projection (``contains`` per alias) - no join, no shuffle;
+* exact hits: a small, size-checked dictionary is compiled into one
+  projection (``contains`` per alias) - no join, no shuffle; a larger one is
+  matched exactly by an equi-join of each distinct name's substrings (only of
+  lengths some alias has) with the alias table;
 * fuzzy hits: only on *distinct* names, and only for (name, tag) pairs that
   pass an exact necessary condition found by an equi-join on shared
   characters: a score >= 80 needs an LCS >= 2/3 of the shorter length, so the
@@ -26,14 +28,33 @@ from placeflow.functions.fuzzy import partial_ratio_udf
 MAX_DICTIONARY_ALIASES = 20_000
 
 
-def load_dictionary(syn: DataFrame) -> list[tuple[str, str, list[str]]]:
-    """Collect the (bounded) dictionary: [(tag, alias_text, aliases)], sorted by tag."""
+def load_dictionary(syn: DataFrame) -> list[tuple[str, str, list[str]]] | None:
+    """Collect a small dictionary: [(tag, alias_text, aliases)] sorted by tag, or
+    None when it is too large to compile (the join path handles it exactly)."""
     rows = syn.select("tag", "alias_text", "aliases").limit(MAX_DICTIONARY_ALIASES + 1).collect()
-    if sum(len(r.aliases or []) for r in rows) > MAX_DICTIONARY_ALIASES or len(rows) > MAX_DICTIONARY_ALIASES:
-        raise ValueError("synonym dictionary too large to compile into a projection")
+    if len(rows) > MAX_DICTIONARY_ALIASES or sum(len(r.aliases or []) for r in rows) > MAX_DICTIONARY_ALIASES:
+        return None
     return sorted((r.tag, r.alias_text, list(r.aliases or [])) for r in rows)
 
 
+def exact_tags_by_join(names: DataFrame, syn: DataFrame) -> DataFrame:
+    """(lname, tag) for any dictionary size: an equi-join of each distinct name's
+    substrings - only of lengths some alias has - with the alias table."""
+    aliases = syn.select("tag", F.explode("aliases").alias("alias")).filter(F.col("alias") != "").distinct()
+    # distinct alias lengths: at most the longest alias, a small bounded set
+    lengths = sorted(r[0] for r in aliases.select(F.length("alias")).distinct().collect())
+    if not lengths:
+        return names.select("lname", F.lit(None).cast("string").alias("tag")).limit(0)
+    lens = F.array(*[F.lit(n) for n in lengths])
+    n = F.length("lname")
+    subs = F.flatten(F.transform(
+        F.filter(lens, lambda L: L <= n),
+        lambda L: F.transform(F.sequence(F.lit(1), n - L + 1), lambda i: F.substring("lname", i, L)),
+    ))
+    pieces = names.select("lname", F.explode(F.array_distinct(subs)).alias("alias"))
+    return pieces.join(aliases, "alias").select("lname", "tag").distinct()
+
+
 def exact_tags(lname: Column, dictionary) -> Column:
     """array<string> of tags with an alias contained in ``lname``, in tag order."""
     hits = []
@@ -55,7 +76,7 @@ def _chars(col: Column) -> Column:
     return F.regexp_extract_all(col, F.lit("(?s)."), 0)
 
 
-def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0) -> DataFrame:
+def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0, small_dictionary: bool = True) -> DataFrame:
     """(lname, tag) pairs whose similarity reaches ``threshold``.
 
     ``names`` has distinct non-empty ``lname``. Pairs are generated only
@@ -66,11 +87,12 @@ def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0) -> Dat
         names.select("lname", F.explode(_chars(F.col("lname"))).alias("ch"))
         .groupBy("lname", "ch").agg(F.count(F.lit(1)).alias("n_cnt"))
     )
-    # bounded by the dictionary size check in load_dictionary: broadcast it
-    achars = F.broadcast(
+    achars = (
         syn.select("tag", "alias_text", F.explode(_chars(F.col("alias_text"))).alias("ch"))
         .groupBy("tag", "alias_text", "ch").agg(F.count(F.lit(1)).alias("a_cnt"))
     )
+    if small_dictionary:  # bounded by the size check in load_dictionary
+        achars = F.broadcast(achars)
     shared = (
         nchars.join(achars, "ch")
         .groupBy("lname", "tag", "alias_text")
@@ -82,15 +104,27 @@ def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0) -> Dat
     return scored.filter(F.col("score") >= threshold).select("lname", "tag")
 
 
-def synonym_tags(df: DataFrame, syn: DataFrame, name: str = "name", out: str = "hidden_tags", fuzzy: bool = True, threshold: float = 80.0) -> DataFrame:
-    dictionary = load_dictionary(syn)
+def synonym_tags(df: DataFrame, syn: DataFrame, name: str = "name", out: str = "hidden_tags", fuzzy: bool = True,
+                 threshold: float = 80.0, method: str = "auto") -> DataFrame:
+    """``method``: 'projection' (dictionary compiled into the plan), 'join'
+    (substring equi-join, any size), or 'auto' (projection while it fits)."""
+    dictionary = load_dictionary(syn) if method in ("auto", "projection") else None
+    if method == "projection" and dictionary is None:
+        raise ValueError("dictionary too large for the projection method; use 'join' or 'auto'")
     lname = F.lower(F.coalesce(F.col(name), F.lit("")))
-    with_exact = df.withColumn("_lname", lname).withColumn("_exact", exact_tags(F.col("_lname"), dictionary))
+    base = df.withColumn("_lname", lname)
+    if dictionary is not None:
+        with_exact = base.withColumn("_exact", exact_tags(F.col("_lname"), dictionary))
+    else:
+        names = base.filter(F.col("_lname") != "").select(F.col("_lname").alias("lname")).distinct()
+        hits = exact_tags_by_join(names, syn).groupBy("lname").agg(F.collect_set("tag").alias("_exact"))
+        with_exact = base.join(hits.withColumnRenamed("lname", "_x_lname"), F.col("_lname") == F.col("_x_lname"), "left").drop("_x_lname")
+        with_exact = with_exact.withColumn("_exact", F.coalesce(F.col("_exact"), F.array().cast("array<string>")))
     if not fuzzy:
         tags = F.array_sort(F.col("_exact"))
         return with_exact.withColumn(out, F.when(F.col("_lname") == "", "").otherwise(F.concat_ws(",", tags))).drop("_lname", "_exact")
     names = with_exact.filter(F.col("_lname") != "").select(F.col("_lname").alias("lname")).distinct()
-    fz = fuzzy_tags(names, syn, threshold).groupBy("lname").agg(F.collect_set("tag").alias("_fuzzy"))
+    fz = fuzzy_tags(names, syn, threshold, small_dictionary=dictionary is not None).groupBy("lname").agg(F.collect_set("tag").alias("_fuzzy"))
     j = with_exact.join(fz, with_exact["_lname"] == fz["lname"], "left")
     tags = F.array_sort(F.array_union(F.col("_exact"), F.coalesce(F.col("_fuzzy"), F.array().cast("array<string>"))))
     return j.withColumn(out, F.when(F.col("_lname") == "", "").otherwise(F.concat_ws(",", tags))).drop("_lname", "_exact", "_fuzzy", "lname")

@@ -192,3 +192,18 @@ def test_resolve_with_function_single_and_bulk(spark):
     one = {r.full_address_key for r in geocode.resolve_with_function(pending, single).collect()}
     many = {r.full_address_key for r in geocode.resolve_with_function(pending, bulk, bulk=True).collect()}
     assert one == {"a"} and many == {"a", "boom"}
+
+
+def test_tag_methods_agree(spark, sf_dir):
+    from placeflow.plans import queries
+
+    mc = queries._merchant_clean(spark, sf_dir)
+    syn = dims.synonyms(spark)
+    for fuzzy in (False, True):
+        a = {r.seq: r.hidden_tags for r in tagging.synonym_tags(mc, syn, fuzzy=fuzzy, method="projection").select("seq", "hidden_tags").collect()}
+        b = {r.seq: r.hidden_tags for r in tagging.synonym_tags(mc, syn, fuzzy=fuzzy, method="join").select("seq", "hidden_tags").collect()}
+        assert a == b and any(a.values())
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.col("text").alias("name"))
+    a = {r.doc_id: r.hidden_tags for r in tagging.synonym_tags(docs, syn, fuzzy=False, method="projection").select("doc_id", "hidden_tags").collect()}
+    b = {r.doc_id: r.hidden_tags for r in tagging.synonym_tags(docs, syn, fuzzy=False, method="join").select("doc_id", "hidden_tags").collect()}
+    assert a == b
