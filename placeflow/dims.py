@@ -52,15 +52,15 @@ SYNONYMS = [
 
 CODE_SCHEMA = T.StructType([T.StructField("code", T.StringType()), T.StructField("name", T.StringType())])
 
-# a dimension above this many rows is not broadcast by the builders here
+# a dimension above this many rows is not marked for broadcast by the builders here
 MAX_BROADCAST_ROWS = 100_000
 
 
 def _small(spark: SparkSession, rows, schema) -> DataFrame:
-    """A dimension from local rows, marked for broadcast: its size is checked here."""
-    if len(rows) > MAX_BROADCAST_ROWS:
-        raise ValueError(f"dimension of {len(rows)} rows is too large to broadcast")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A dimension from local rows, marked for broadcast when its size allows
+    (checked here); a larger one is left to Spark's own join choice."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= MAX_BROADCAST_ROWS else df
 
 
 def dim_city(spark: SparkSession, rows=None) -> DataFrame:

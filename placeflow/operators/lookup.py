@@ -22,10 +22,11 @@ def lookup_name(df: DataFrame, code_col: str, dim: DataFrame | Sequence[tuple[st
     """
     if not isinstance(dim, DataFrame):
         rows = list(dim)
-        if len(rows) > MAX_LITERAL_ROWS:
-            raise ValueError("code table too large for a literal map; pass it as a DataFrame")
-        m = F.create_map(*[F.lit(x) for code, name in rows for x in (code, name)])
-        return df.withColumn(out_col, F.coalesce(F.try_element_at(m, F.col(code_col)), F.col(code_col)))
+        if len(rows) <= MAX_LITERAL_ROWS:
+            m = F.create_map(*[F.lit(x) for code, name in rows for x in (code, name)])
+            return df.withColumn(out_col, F.coalesce(F.try_element_at(m, F.col(code_col)), F.col(code_col)))
+        # too large for a literal: the same table, joined
+        dim = df.sparkSession.createDataFrame(rows, dims.CODE_SCHEMA)
     d = dim.select(F.col("code").alias("_lk_code"), F.col("name").alias("_lk_name")).dropDuplicates(["_lk_code"])
     j = df.join(d, df[code_col] == d["_lk_code"], "left")
     return j.withColumn(out_col, F.coalesce(F.col("_lk_name"), F.col(code_col))).drop("_lk_code", "_lk_name")

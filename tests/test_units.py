@@ -207,3 +207,12 @@ def test_tag_methods_agree(spark, sf_dir):
     a = {r.doc_id: r.hidden_tags for r in tagging.synonym_tags(docs, syn, fuzzy=False, method="projection").select("doc_id", "hidden_tags").collect()}
     b = {r.doc_id: r.hidden_tags for r in tagging.synonym_tags(docs, syn, fuzzy=False, method="join").select("doc_id", "hidden_tags").collect()}
     assert a == b
+
+
+def test_large_code_table_falls_back_to_join(spark):
+    from placeflow.operators import lookup
+
+    rows = [(f"{i:06d}", f"name{i}") for i in range(lookup.MAX_LITERAL_ROWS + 5)]
+    df = spark.createDataFrame([("000007",), ("999999",), (None,)], "code string")
+    got = [r.n for r in lookup.lookup_name(df, "code", rows, "n").orderBy("code").collect()]
+    assert sorted(got, key=str) == sorted([None, "name7", "999999"], key=str)
