@@ -45,10 +45,13 @@ def in_chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join with a staged ``right`` side, broadcast only when its counted rows are within
-    MAX_BROADCAST_ROWS; larger tables take Spark's shuffled join."""
-    small = right.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
+                 weight: Column | None = None) -> DataFrame:
+    """Join with a staged ``right`` side, broadcast only when its counted rows (or the sum of
+    ``weight``, where a row holds an array) are within MAX_BROADCAST_ROWS; larger tables take
+    Spark's shuffled join."""
+    size = right.agg(F.coalesce(F.sum(weight), F.lit(0)) if weight is not None else F.count("*")).first()[0]
+    small = size <= MAX_BROADCAST_ROWS
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
@@ -85,31 +88,32 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 PIVOTS = 2
 
 
-def bucket_links(keyed: DataFrame, close: Callable[[Column, Column], Column], name: str,
+def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Column, Column], Column], name: str,
                  verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, small: int = 32) -> DataFrame:
     """(node, root) of the graph that links rows sharing a bucket when they are near.
 
-    ``keyed`` has ``b`` (bucket), ``id`` (long) and ``f`` (what ``close`` compares); ``close``
-    decides a pair by its ``f``; ``verify`` keeps the true ones among (x, y) pairs of ids. No
-    link is lost and no large bucket is paired up as a whole:
+    ``keyed`` has ``b`` (bucket) and ``id`` (longs); ``attrs`` gives every ``id`` its ``f``
+    (None: the id itself); ``close`` decides a pair by its ``f``; ``verify`` keeps the true
+    ones among (x, y) pairs of ids. No link is lost and no large bucket is paired up whole:
 
     * buckets of up to ``small`` members give all their pairs;
     * in larger ones every member is compared with a few pivots of its bucket. A bucket whose
       members are then all in one component is done; in any other the members outside its
       largest component are compared with the members of other components.
     """
-    member = F.struct("id", "f")
-    size = stage(keyed.groupBy("b").agg(F.count("*").alias("n"), F.min(member).alias("x"), F.max(member).alias("y"))
+    size = stage(keyed.groupBy("b").agg(F.count("*").alias("n"), F.min("id").alias("x"), F.max("id").alias("y"))
                  .where("n > 1"), f"{name}-buckets")
     wide = stage(size.where("n > 2").select("b", "n"), f"{name}-wide")
-    members = stage(join_checked(keyed, wide, ["b"]).select("b", "n", member.alias("m")), f"{name}-members")
+    members = _with_f(join_checked(keyed, wide, ["b"]).select("b", "n", "id"), attrs, ["id"], name)
+    members = stage(members.select("b", "n", F.col("id").alias("m")), f"{name}-members")
 
     def near(pairs):  # (x, y) structs of id and f
         return (pairs.where((F.col("x.id") != F.col("y.id")) & close(F.col("x.f"), F.col("y.f")))
                 .select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")))
 
+    twos = near(_with_f(size.where("n = 2").select("x", "y").distinct(), attrs, ["x", "y"], name))
     few = members.where(F.col("n") <= small).select("b", "m")
-    found = near(size.where("n = 2").select("x", "y")).unionByName(
+    found = twos.unionByName(
         near(few.select("b", F.col("m").alias("x")).join(few.select("b", F.col("m").alias("y")), "b")
              .where("x.id < y.id").select("x", "y")))
     many = members.where(F.col("n") > small).select("b", "m")
@@ -136,3 +140,29 @@ def bucket_links(keyed: DataFrame, close: Callable[[Column, Column], Column], na
     cross = rest.join(still.select("b", F.col("m").alias("y"), "root"), "b").where("own <> root").select("x", "y")
     more = stage(verify(stage(near(cross).distinct(), f"{name}-close")), f"{name}-links")
     return stage(components(links.unionByName(more).toDF("a", "b"), f"{name}-cc"), f"{name}-roots")
+
+
+def _with_f(df: DataFrame, attrs: DataFrame | None, ids: list[str], name: str) -> DataFrame:
+    """Turns each id column into a struct of id and its ``f``."""
+    if attrs is None:
+        return df.withColumns({c: F.struct(F.col(c).alias("id"), F.col(c).alias("f")) for c in ids})
+    df = stage(df, f"{name}-ids")
+    wanted = df.select(F.explode(F.array(*ids)).alias("id")).distinct()
+    known = stage(join_checked(attrs.select("id", "f"), stage(wanted, f"{name}-wanted"), ["id"]), f"{name}-attrs")
+    for c in ids:
+        df = join_checked(df, known.select(F.col("id").alias(c), F.struct("id", "f").alias("_pair")), [c])
+        df = df.withColumn(c, F.col("_pair")).drop("_pair")
+    return df
+
+
+def _with_f(df: DataFrame, attrs: DataFrame | None, ids: list[str], name: str) -> DataFrame:
+    """Turns each id column into a struct of id and its ``f``."""
+    if attrs is None:
+        return df.withColumns({c: F.struct(F.col(c).alias("id"), F.col(c).alias("f")) for c in ids})
+    df = stage(df, f"{name}-ids")
+    wanted = df.select(F.explode(F.array(*ids)).alias("id")).distinct()
+    known = stage(join_checked(attrs.select("id", "f"), stage(wanted, f"{name}-wanted"), ["id"]), f"{name}-attrs")
+    for c in ids:
+        df = join_checked(df, known.select(F.col("id").alias(c), F.struct("id", "f").alias("_pair")), [c])
+        df = df.withColumn(c, F.col("_pair")).drop("_pair")
+    return df

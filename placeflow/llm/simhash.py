@@ -75,9 +75,8 @@ def fingerprint_groups(fps: DataFrame, radius: int = 4) -> DataFrame:
     """(node, root) over distinct fingerprints ``fp`` with at least one link."""
     tables = F.array(*[F.lit(m) for m in masks(radius)])
     keyed = fps.select("fp", F.posexplode(tables).alias("t", "mask")).select(
-        F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("b"), F.col("fp").alias("id"),
-        F.col("fp").alias("f"))
-    return bucket_links(keyed, lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= radius, "simhash")
+        F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("b"), F.col("fp").alias("id"))
+    return bucket_links(keyed, None, lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= radius, "simhash")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
