@@ -3,8 +3,10 @@
     run     --pages PATH --out DIR --cache DIR --client MOD:FACTORY
             [--resolver PATH | --resolver-fn MOD:FACTORY]
             [--city 001] [--zip 111,103] [--industry 0009,0008]
+            [--use-raw] [--partitions N]
     merge   --out DIR
-    export  --out DIR --tabs DIR
+    export  --out DIR --tabs DIR [--cache DIR]
+    import  --tabs DIR --out DIR 
 
 ``--pages`` is a parquet table (city_code, zip_code, ind_code, page_no, html).
 Defaults follow the source pipeline: city 001, every district, industry 0009.
@@ -50,11 +52,17 @@ def main(argv=None) -> int:
     r.add_argument("--city", default=dims.DEFAULT_CITY)
     r.add_argument("--zip", help="district codes, comma separated (default: all)")
     r.add_argument("--industry", default=",".join(dims.DEFAULT_INDUSTRIES))
+    r.add_argument("--use-raw", action="store_true", help="resume from the saved raw table")
+    r.add_argument("--partitions", type=int, help="tasks that call the resolver and the model at once")
     m = sub.add_parser("merge")
     m.add_argument("--out", required=True)
     e = sub.add_parser("export")
     e.add_argument("--out", required=True)
     e.add_argument("--tabs", required=True)
+    e.add_argument("--cache")
+    i = sub.add_parser("import")
+    i.add_argument("--tabs", required=True)
+    i.add_argument("--out", required=True)
     args = ap.parse_args(argv)
 
     spark = _session()
@@ -73,17 +81,25 @@ def main(argv=None) -> int:
         elif args.resolver_fn:
             resolver = _load(args.resolver_fn)
         pages = spark.read.parquet(args.pages)
-        ledger = pipeline.run(spark, pages, args.out, args.cache, _load(args.client), resolver=resolver, config=config)
+        ledger = pipeline.run(spark, pages, args.out, args.cache, _load(args.client), resolver=resolver, config=config,
+                              use_raw=args.use_raw, partitions=args.partitions)
         ledger.groupBy("status").agg(F.count(F.lit(1)).alias("items")).show()
     elif args.cmd == "merge":
         pipeline.merge_and_publish(spark, args.out)
     elif args.cmd == "export":
         from placeflow.sources import exchange
 
-        exchange.export_targets(
-            {"final": spark.read.parquet(f"{args.out}/final_data"), "raw": spark.read.parquet(f"{args.out}/raw_data")},
-            args.tabs,
-        )
+        frames = {"final": spark.read.parquet(f"{args.out}/final_data"), "raw": spark.read.parquet(f"{args.out}/raw_data")}
+        if args.cache:
+            from placeflow.sources import geo_cache
+
+            frames["geo_cache"] = geo_cache.read_geo_cache(spark, args.cache)
+        exchange.export_targets(frames, args.tabs)
+    elif args.cmd == "import":
+        from placeflow.operators.finalize import FINAL_COLUMNS
+        from placeflow.sources import exchange
+
+        exchange.write_back(spark, f"{args.tabs}/final", FINAL_COLUMNS, f"{args.out}/final_data")
     return 0
 
 

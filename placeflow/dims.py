@@ -36,18 +36,18 @@ PRICE_THRESHOLDS = [
     ("default", [200.0, 500.0, 1000.0, 2000.0]),
 ]
 
-# ---- our own small synonym dictionary: tag -> space-separated aliases ----
-# (one one-character alias '家', one multi-alias tag, one tag only the fuzzy
-# rule reaches: 'louisa' has no alias that occurs verbatim in a cleaned name)
+# ---- our own small synonym dictionary of invented brands: tag -> space-separated aliases ----
+# (one one-character alias '家', multi-alias tags, one tag only the fuzzy rule reaches:
+# 'pinewood' has no alias that occurs verbatim in a cleaned name)
 SYNONYMS = [
-    ("starbucks", "星巴克 star"),
+    ("bluelamp", "藍燈 lamp"),
     ("coffee", "咖啡 cafe"),
-    ("uniqlo", "優衣庫 uq"),
-    ("mcdonalds", "麥當勞 mcd"),
-    ("snack", "小吃 夜市"),
+    ("clovershop", "三葉草 clover"),
+    ("stonebridge", "石橋館 sbg"),
+    ("snack", "點心 夜市"),
     ("hotel", "酒店 飯店 旅館"),
     ("home", "家"),
-    ("louisa", "路易沙咖啡"),
+    ("pinewood", "松林社咖啡"),
 ]
 
 CODE_SCHEMA = T.StructType([T.StructField("code", T.StringType()), T.StructField("name", T.StringType())])
@@ -64,15 +64,15 @@ def _small(spark: SparkSession, rows, schema) -> DataFrame:
 
 
 def dim_city(spark: SparkSession, rows=None) -> DataFrame:
-    return _small(spark, rows or CITIES, CODE_SCHEMA)
+    return _small(spark, CITIES if rows is None else rows, CODE_SCHEMA)
 
 
 def dim_district(spark: SparkSession, rows=None) -> DataFrame:
-    return _small(spark, rows or DISTRICTS, CODE_SCHEMA)
+    return _small(spark, DISTRICTS if rows is None else rows, CODE_SCHEMA)
 
 
 def dim_industry(spark: SparkSession, rows=None) -> DataFrame:
-    return _small(spark, rows or INDUSTRIES, CODE_SCHEMA)
+    return _small(spark, INDUSTRIES if rows is None else rows, CODE_SCHEMA)
 
 
 def dim_price(spark: SparkSession, rows=None) -> DataFrame:
@@ -80,13 +80,13 @@ def dim_price(spark: SparkSession, rows=None) -> DataFrame:
         T.StructField("ind", T.StringType()),
         T.StructField("thresholds", T.ArrayType(T.DoubleType())),
     ])
-    return _small(spark, rows or PRICE_THRESHOLDS, schema)
+    return _small(spark, PRICE_THRESHOLDS if rows is None else rows, schema)
 
 
 def synonyms(spark: SparkSession, rows=None) -> DataFrame:
     """(tag, alias_text, aliases): alias_text lower-cased whole, aliases its tokens."""
     schema = T.StructType([T.StructField("tag", T.StringType()), T.StructField("alias_text", T.StringType())])
-    df = _small(spark, rows or SYNONYMS, schema)
+    df = _small(spark, SYNONYMS if rows is None else rows, schema)
     lowered = F.lower(F.col("alias_text"))
     return df.select(
         "tag",

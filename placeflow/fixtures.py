@@ -17,15 +17,15 @@ from placeflow.dims import CITIES, DISTRICTS, INDUSTRIES, values_sql
 # k groups three consecutive customers into one shop written three ways
 MERCHANT_RAW = """
 SELECT c_custkey AS seq, '001' AS city_code,
- split_part('111,103,106,104,100,114,116,112,105,110,115,108', ',', CAST(k % 12 AS INT) + 1) AS zip_code,
+ split_part('""" + ",".join(code for code, _ in DISTRICTS) + """', ',', CAST(k % 12 AS INT) + 1) AS zip_code,
  split_part('0009,0008,0017', ',', CAST(k % 3 AS INT) + 1) AS ind_code,
  CAST(floor(c_custkey / 60.0) AS BIGINT) + 1 AS page_no,
- split_part('星巴克 ＳＴＡＲ,路易莎　咖啡,臺灣優衣庫,麥當勞,士林夜市小吃,山海之家,老爺大酒店', ',', CAST(k % 7 AS INT) + 1) || CAST(k % 50 AS STRING) AS name_raw,
+ split_part('藍燈 ＬＡＭＰ,松林舍　咖啡,臺灣三葉草,石橋館,士林夜市點心,山海之家,望海大酒店', ',', CAST(k % 7 AS INT) + 1) || CAST(k % 50 AS STRING) AS name_raw,
  CASE WHEN k % 11 = 0 THEN NULL
       WHEN c_custkey % 3 = 0 THEN '(02) 2' || CAST(1000000 + k AS STRING)
       WHEN c_custkey % 3 = 1 THEN '０２-2' || CAST(1000000 + k AS STRING)
       ELSE '02 2' || CAST(1000000 + k AS STRING) || CASE WHEN k % 5 = 0 THEN '＃12' ELSE '' END END AS phone_raw,
- '臺北市' || split_part('士林區,大同區,大安區,中山區,中正區,內湖區,文山區,北投區,松山區,信義區,南港區,萬華區', ',', CAST(k % 12 AS INT) + 1)
+ '臺北市' || split_part('""" + ",".join(name for _, name in DISTRICTS) + """', ',', CAST(k % 12 AS INT) + 1)
    || '中山北路' || split_part('一段,二段,三段,四段', ',', CAST(k % 4 AS INT) + 1) || ' ' || CAST(k % 400 AS STRING) || '之' || CAST(k % 3 AS STRING) || '號' AS address_raw
 FROM (SELECT c_custkey, CAST(floor(c_custkey / 3.0) AS BIGINT) AS k FROM {customer}) t
 """
@@ -107,7 +107,8 @@ FROM {customer}
 
 # replies per chunk, from the enrichment batches: optional fence and leading sentence,
 # header 'ID | ...', one line per row; with c = chunk_no + zip + industry code, every 5th chunk has a short first row, every
-# 7th trailing pipes, every 11th a 14-field row, every 13th is empty; some 'N/A'
+# 7th trailing pipes, every 11th a 14-field row, every 13th is empty; some 'N/A', some quoted reviews that hold a
+# separator and quotes, some lines of blank space
 RESPONSES = """
 SELECT city_code, zip_code, ind_code, chunk_no,
   CASE WHEN c % 13 = 6 THEN ''
@@ -128,12 +129,12 @@ FROM (
            || CASE WHEN idx % 4 = 0 THEN CAST(idx % 9 + 1 AS STRING) || 'F' ELSE '' END || '|'
            || CASE WHEN lat IS NULL THEN '' WHEN idx % 10 = 3 THEN 'abc' ELSE printf('%.4f', lat) END || '|'
            || CASE WHEN lng IS NULL THEN '' WHEN idx % 10 = 7 THEN ' ' || printf('%.4f', lng) || ' ' ELSE printf('%.4f', lng) END || '|'
-           || phone || '|' || 'review of ' || name || '|'
+           || phone || '|' || CASE WHEN idx % 8 = 5 THEN '"quoted | review of ' || name || ' ""x"" y"' ELSE 'review of ' || name END || '|'
            || CASE WHEN idx % 6 = 0 THEN 'N/A' ELSE CAST(idx % 5 AS STRING) || '.5/5' END || '|'
            || CAST(500 + (idx % 7) * 250 AS STRING)
            || CASE WHEN c % 7 = 3 THEN '|' ELSE '' END
            || CASE WHEN c % 11 = 4 AND idx % 30 = 2 THEN '|x|y' ELSE '' END
-    END AS line
+    END || CASE WHEN idx % 9 = 4 THEN chr(10) || '   ' ELSE '' END AS line
   FROM {batches}) t
 GROUP BY city_code, zip_code, ind_code, chunk_no, c
 """
@@ -148,20 +149,21 @@ def duck_agg(text: str) -> str:
 _FINAL_COLS = "id, name, ind, city, district, address, floor, lat, lng, phone, review_summary, rating, price_level, hidden_tags"
 
 # final fragments: one file per batch; every 6th line again in a re-run file (4 name
-# parts, codes from the first three); some lines in a legacy file without codes
+# parts, codes from the first three); some lines in a legacy file without codes. A row's
+# position is computed from batch, chunk and line, so that no window orders all rows
 FRAGMENTS = """
 SELECT """ + _FINAL_COLS + """,
   'final_' || city_code || '_' || zip_code || '_' || ind_code || '.parquet' AS file_name,
-  CAST(row_number() OVER (PARTITION BY city_code, zip_code, ind_code ORDER BY chunk_no, line_no) - 1 AS BIGINT) AS row_index
+  CAST(chunk_no * 1000 + line_no AS BIGINT) AS row_index
 FROM {final}
 UNION ALL
 SELECT """ + _FINAL_COLS + """,
   'final_' || city_code || '_' || zip_code || '_' || ind_code || '_rerun.parquet' AS file_name,
-  CAST(row_number() OVER (PARTITION BY city_code, zip_code, ind_code ORDER BY chunk_no, line_no) - 1 AS BIGINT) AS row_index
+  CAST(chunk_no * 1000 + line_no AS BIGINT) AS row_index
 FROM {final} WHERE line_no % 6 = 0
 UNION ALL
 SELECT """ + _FINAL_COLS + """, 'final_legacy.parquet' AS file_name,
-  CAST(row_number() OVER (ORDER BY city_code, zip_code, ind_code, chunk_no, line_no) - 1 AS BIGINT) AS row_index
+  ((CAST(city_code AS BIGINT) * 1000 + CAST(zip_code AS BIGINT)) * 10000 + CAST(ind_code AS BIGINT)) * 100000000 + chunk_no * 1000 + line_no AS row_index
 FROM {final} WHERE line_no % 17 = 5
 """
 
@@ -189,6 +191,34 @@ FROM {rows}
 # tables, a small 2-column table before the target on every 5th page; after the
 # last data page each batch gets extra pages for one of four stop scenarios
 # (zip_code % 4): marker; failed + empty runs; a run reset by a hit; three empties.
+_ROW = "<tr>" + "<td>{}</td>" * 5 + "</tr>"
+_HEAD = _ROW.format("特店名稱", "業別", "電話", "地址", "備註").replace("業別", "行業別")
+_KINDS = {  # page kind -> SQL text of its html
+    "marker": "'<html><body><div>查無資料</div></body></html>'",
+    "maintenance": "'<html><body><p>系統維護中</p></body></html>'",
+    "failed": "NULL",
+    "empty": "'<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>'",
+    "hit": "'<html><body><table>" + _HEAD + _ROW.format(
+        "延伸店' || zip_code || '", "業別' || ind_code || '", "02-1234", "延伸路' || CAST(d AS STRING) || '號", "-")
+    + "</table></body></html>'",
+}
+# the six extra pages of each stop scenario
+_SCENARIOS = [
+    ["marker", "hit", "failed", "failed", "failed", "failed"],
+    ["empty", "failed", "maintenance", "empty", "empty", "hit"],
+    ["empty", "empty", "hit", "empty", "empty", "hit"],
+    ["hit", "empty", "empty", "empty", "hit", "failed"],
+]
+
+
+def _extra_pages() -> str:
+    days = range(1, len(_SCENARIOS[0]) + 1)
+    cases = " ".join(f"WHEN scenario = {s} AND d = {d} THEN {_KINDS[kinds[d - 1]]}" for s, kinds in enumerate(_SCENARIOS) for d in days)
+    pages = " UNION ALL ".join(
+        f"SELECT city_code, zip_code, ind_code, p + {d} AS page_no, {d} AS d, scenario FROM {{last_page}}" for d in days)
+    return f"SELECT city_code, zip_code, ind_code, page_no, CASE {cases} END AS html FROM ({pages}) e"
+
+
 LISTING_PAGES = """
 SELECT city_code, zip_code, ind_code, page_no, html FROM (
   SELECT city_code, zip_code, ind_code, page_no,
@@ -205,15 +235,7 @@ SELECT city_code, zip_code, ind_code, page_no, html FROM (
     FROM {merchant_raw}) r
   GROUP BY city_code, zip_code, ind_code, page_no
   UNION ALL
-  SELECT city_code, zip_code, ind_code, page_no, CASE WHEN d = 1 THEN CASE scenario WHEN 0 THEN '<html><body><div>查無資料</div></body></html>' WHEN 1 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' END WHEN d = 2 THEN CASE scenario WHEN 0 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' WHEN 1 THEN NULL WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' END WHEN d = 3 THEN CASE scenario WHEN 0 THEN NULL WHEN 1 THEN '<html><body><p>系統維護中</p></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' END WHEN d = 4 THEN CASE scenario WHEN 0 THEN NULL WHEN 1 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' END WHEN d = 5 THEN CASE scenario WHEN 0 THEN NULL WHEN 1 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>說明</td></tr></table></body></html>' WHEN 3 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' END WHEN d = 6 THEN CASE scenario WHEN 0 THEN NULL WHEN 1 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' WHEN 2 THEN '<html><body><table><tr><td>特店名稱</td><td>行業別</td><td>電話</td><td>地址</td><td>備註</td></tr><tr><td>延伸店' || zip_code || '</td><td>業別' || ind_code || '</td><td>02-1234</td><td>延伸路' || CAST(d AS STRING) || '號</td><td>-</td></tr></table></body></html>' WHEN 3 THEN NULL END END AS html
-  FROM (
-    SELECT city_code, zip_code, ind_code, p + 1 AS page_no, 1 AS d, scenario FROM {last_page}
-  UNION ALL SELECT city_code, zip_code, ind_code, p + 2 AS page_no, 2 AS d, scenario FROM {last_page}
-  UNION ALL SELECT city_code, zip_code, ind_code, p + 3 AS page_no, 3 AS d, scenario FROM {last_page}
-  UNION ALL SELECT city_code, zip_code, ind_code, p + 4 AS page_no, 4 AS d, scenario FROM {last_page}
-  UNION ALL SELECT city_code, zip_code, ind_code, p + 5 AS page_no, 5 AS d, scenario FROM {last_page}
-  UNION ALL SELECT city_code, zip_code, ind_code, p + 6 AS page_no, 6 AS d, scenario FROM {last_page}
-  ) e
+""" + _extra_pages() + """
 ) pages
 """
 

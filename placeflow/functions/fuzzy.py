@@ -12,6 +12,8 @@ LCS uses the bit-parallel recurrence (one big-int step per character).
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -73,3 +75,28 @@ def partial_ratio(a: str | None, b: str | None) -> float:
 def partial_ratio_udf(a: pa.Array, b: pa.Array) -> pa.Array:
     """Arrow-batched ``partial_ratio`` over two string columns."""
     return pa.array([partial_ratio(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], type=pa.float64())
+
+
+def similar_tags_udf(dictionary: list[tuple[str, str]], threshold: float):
+    """Arrow-batched function: name -> tags whose alias text scores ``threshold`` or more.
+
+    The dictionary travels in the closure; its characters are counted once, and a pair is
+    scored only when it shares enough of them (see ``operators.tagging``)."""
+    t = min(threshold, 100.0) / 100
+    counted = [(tag, text, Counter(text)) for tag, text in dictionary]
+
+    @arrow_udf(T.ArrayType(T.StringType()))
+    def similar(names: pa.Array) -> pa.Array:
+        out = []
+        for name in names.to_pylist():
+            have = Counter(name or "")
+            hits = []
+            for tag, text, need in counted:
+                shared = sum(min(n, have[c]) for c, n in need.items())
+                enough = shared * (2 - t) + 1e-9 >= min(len(name or ""), len(text)) * t
+                if enough and partial_ratio(name, text) >= threshold:
+                    hits.append(tag)
+            out.append(hits)
+        return pa.array(out, type=pa.list_(pa.string()))
+
+    return similar

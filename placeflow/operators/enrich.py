@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from placeflow.functions.text import temp_id
 from placeflow.operators.prefix import exclusive_prefix_sum, null_safe_join
+from placeflow.sources.delimited import has_rows
 
 CHUNK_SIZE = 30
 BATCH = ["city_code", "zip_code", "ind_code"]
@@ -30,8 +31,9 @@ BATCH = ["city_code", "zip_code", "ind_code"]
 INPUT_COLUMNS = ["temp_id", "city", "district", "name", "industry", "phone", "address", "lat", "lng", "hidden_tags"]
 INPUT_HEADER = ["temp_id", "縣市", "行政區", "特店名稱", "行業別", "電話", "地址", "lat", "lng", "hidden_tags"]
 
-# ---- our prompt wording (the 12 reply fields, '|' separated, header first) ----
+# ---- fixed values: the 12 reply fields as the header names them ----
 REPLY_FIELDS_ZH = "ID|店名|縣市|行政區|地址(不含樓層)|樓層|緯度|經度|電話|評論|星級數|價格區間"
+# ---- our prompt wording ----
 PROMPT_HEAD = (
     "Clean, de-duplicate and complete the merchant rows below. Reply with a '|'-separated table only, "
     "no prose and no code fences, header first, columns in this order:\n" + REPLY_FIELDS_ZH + "\n"
@@ -102,11 +104,14 @@ def enrichment_prompts(batches: DataFrame) -> DataFrame:
 CALL_SCHEMA = "city_code string, zip_code string, ind_code string, chunk_no bigint, response string, attempts int, error string"
 
 
-def call_enrichment(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]], max_tries: int = 3) -> DataFrame:
+def call_enrichment(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]], max_tries: int = 3,
+                    usable: Callable[[str], bool] = has_rows, partitions: int | None = None) -> DataFrame:
     """Send each prompt to ``make_client()``'s function; keep the reply, tries and error.
 
-    An empty reply counts as a failed try, as an exception does. After
-    ``max_tries`` the chunk keeps ``response = NULL`` and the last error.
+    A reply that is not ``usable`` (by default: no acceptable record in it) counts as a
+    failed try, as an exception does. After ``max_tries`` the chunk keeps
+    ``response = NULL`` and the last error. Calls run in ``partitions`` tasks at once.
+    Write the result before using it twice: every evaluation calls the client again.
     """
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,13 +123,24 @@ def call_enrichment(prompts: DataFrame, make_client: Callable[[], Callable[[str]
                 for tries in range(1, max_tries + 1):
                     try:
                         text = call(r.prompt) or ""
-                        if text.strip():
+                        if usable(text):
                             reply, err = text, None
                             break
-                        err = "empty reply"
+                        err = "reply without rows" if text.strip() else "empty reply"
                     except Exception as e:  # the client owns its own back-off
                         err = f"{type(e).__name__}: {e}"
                 out.append((r.city_code, r.zip_code, r.ind_code, r.chunk_no, reply, tries, err))
             yield pd.DataFrame(out, columns=["city_code", "zip_code", "ind_code", "chunk_no", "response", "attempts", "error"])
 
-    return prompts.select(*BATCH, "chunk_no", "prompt").mapInPandas(run, CALL_SCHEMA)
+    todo = prompts.select(*BATCH, "chunk_no", "prompt")
+    return (todo.repartition(partitions) if partitions else todo).mapInPandas(run, CALL_SCHEMA)
+
+
+def enrichment_ledger(calls: DataFrame, rows: DataFrame, rejects: DataFrame) -> DataFrame:
+    """One row per chunk: attempts, accepted rows, rejected records and the last error."""
+    key = [*BATCH, "chunk_no"]
+    n_rows = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
+    n_bad = rejects.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rejects"))
+    out = calls.select(*key, "attempts", "error").join(n_rows, key, "left").join(n_bad, key, "left")
+    return out.select(*key, "attempts", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+                      F.coalesce("n_rejects", F.lit(0)).alias("n_rejects"), "error")

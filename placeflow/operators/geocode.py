@@ -54,49 +54,50 @@ def resolve_with_table(pending: DataFrame, gazetteer: DataFrame) -> DataFrame:
     return pending.join(g, KEY, "inner")
 
 
-def resolve_with_function(pending: DataFrame, make_resolver: Callable[[], Callable], bulk: bool = False) -> DataFrame:
+def resolve_with_function(pending: DataFrame, make_resolver: Callable[[], Callable], bulk: bool = False,
+                          partitions: int | None = None) -> DataFrame:
     """Resolver answers from a user function, run inside the executors.
 
     ``make_resolver()`` is called once per partition (build the client there).
     The returned function resolves each distinct key once: ``resolve(key) ->
     (lat, lng) | None``, or with ``bulk=True`` ``resolve(keys) -> [(lat, lng) |
-    None, ...]`` for one Arrow batch of keys at a time. Failures (exceptions or
-    None) leave a key unresolved.
+    None, ...]`` for one Arrow batch of keys at a time. Every key gives one row: failures
+    (exceptions, or a bulk answer of another length) leave lat and lng NULL with the reason
+    in ``error``; a plain None has no error. Calls run in ``partitions`` tasks at once.
     """
 
-    def answers(resolve, keys: list[str]) -> list:
+    def answers(resolve, keys: list[str]) -> list[tuple]:
         if bulk:
             try:
                 got = list(resolve(keys))
-                return got if len(got) == len(keys) else [None] * len(keys)
-            except Exception:
-                return [None] * len(keys)
+            except Exception as e:  # the caller's own service: reported, not hidden
+                return [(None, f"{type(e).__name__}: {e}")] * len(keys)
+            if len(got) != len(keys):
+                return [(None, f"{len(got)} answers for {len(keys)} keys")] * len(keys)
+            return [(hit, None) for hit in got]
         out = []
         for k in keys:
             try:
-                out.append(resolve(k))
-            except Exception:
-                out.append(None)
+                out.append((resolve(k), None))
+            except Exception as e:
+                out.append((None, f"{type(e).__name__}: {e}"))
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         resolve = make_resolver()
         for pdf in batches:
-            keys, lats, lngs = [], [], []
-            batch_keys = list(pdf[KEY])
-            for k, hit in zip(batch_keys, answers(resolve, batch_keys)):
-                if hit is not None:
-                    keys.append(k)
-                    lats.append(float(hit[0]))
-                    lngs.append(float(hit[1]))
-            if keys:  # a batch where nothing resolved yields nothing
-                yield pd.DataFrame({
-                    KEY: pd.Series(keys, dtype=object),
-                    "lat": pd.Series(lats, dtype="float64"),
-                    "lng": pd.Series(lngs, dtype="float64"),
-                })
-
-    return pending.mapInPandas(run, RESOLVED_SCHEMA)
+            keys = list(pdf[KEY])
+            got = answers(resolve, keys)
+            yield pd.DataFrame({
+                KEY: pd.Series(keys, dtype=object),
+                "lat": pd.Series([None if hit is None else float(hit[0]) for hit, _ in got], dtype="float64"),
+                "lng": pd.Series([None if hit is None else float(hit[1]) for hit, _ in got], dtype="float64"),
+                "error": pd.Series([e for _, e in got], dtype=object),
+            })
+
+    calls = pending.repartition(partitions) if partitions else pending
+    out = calls.mapInPandas(run, f"{RESOLVED_SCHEMA}, error string")
+    return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("lat", "lng")})
 
 
 def apply_resolved(joined: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -111,13 +112,28 @@ def apply_resolved(joined: DataFrame, resolved: DataFrame) -> DataFrame:
     )
 
 
-def geocode(rows: DataFrame, cache: DataFrame, resolver: DataFrame | Callable | None = None) -> tuple[DataFrame, DataFrame]:
-    """Full step: (rows with lat/lng, new cache rows to upsert)."""
+def resolve(pending: DataFrame, resolver: DataFrame | Callable | None, bulk: bool = False, partitions: int | None = None) -> DataFrame:
+    """Answers (key, lat, lng, error) for the pending keys; none without a resolver."""
+    if resolver is None:
+        return pending.sparkSession.createDataFrame([], f"{RESOLVED_SCHEMA}, error string")
+    if isinstance(resolver, DataFrame):
+        return resolve_with_table(pending, resolver).withColumn("error", F.lit(None).cast("string"))
+    return resolve_with_function(pending, resolver, bulk, partitions)
+
+
+def usable(resolved: DataFrame) -> DataFrame:
+    """The answers that hold both coordinates: what the cache may keep."""
+    return resolved.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(KEY, "lat", "lng")
+
+
+def geocode(rows: DataFrame, cache: DataFrame, resolver: DataFrame | Callable | None = None, bulk: bool = False,
+            partitions: int | None = None, save: Callable[[DataFrame], DataFrame] = lambda answers: answers) -> tuple[DataFrame, DataFrame]:
+    """Full step: (rows with lat/lng, new cache rows to upsert).
+
+    Both results read the answers: ``save`` should write them and return the written table,
+    so that the resolver is asked once for each key.
+    """
     keyed = add_full_address_key(rows) if KEY not in rows.columns else rows
     joined = geocode_join(keyed, dedupe_cache(cache))
-    if resolver is None:
-        empty = joined.sparkSession.createDataFrame([], RESOLVED_SCHEMA)
-        return joined, empty
-    pend = pending_keys(joined)
-    resolved = resolve_with_table(pend, resolver) if isinstance(resolver, DataFrame) else resolve_with_function(pend, resolver)
+    resolved = usable(save(resolve(pending_keys(joined), resolver, bulk, partitions)))
     return apply_resolved(joined, resolved), resolved

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from placeflow import dims
 
-# a code table given as rows, up to this size, becomes a literal map in the projection
+# a code table given as rows becomes a literal map in the projection up to this size and a
+# joined table beyond it: a choice of plan, with the same names either way
 MAX_LITERAL_ROWS = 10_000
 
 
@@ -17,17 +18,22 @@ def lookup_name(df: DataFrame, code_col: str, dim: DataFrame | Sequence[tuple[st
     """Add ``out_col`` = name of the code; unknown codes fall back to the code itself.
 
     A code table given as (code, name) rows (the fixed tables in ``dims``) is
-    a literal map looked up inside the projection: no join, no shuffle. A
-    DataFrame table is left-joined (its size decides broadcast or not).
+    a literal map looked up inside the projection: no join, no shuffle; of rows
+    with one code the last wins. A DataFrame table is left-joined (its size
+    decides broadcast or not); it has no order, so of rows with one code the
+    largest name wins.
     """
     if not isinstance(dim, DataFrame):
-        rows = list(dim)
+        rows = list(dict(dim).items())  # the last row of a code wins
+        if not rows:
+            return df.withColumn(out_col, F.col(code_col))
         if len(rows) <= MAX_LITERAL_ROWS:
             m = F.create_map(*[F.lit(x) for code, name in rows for x in (code, name)])
             return df.withColumn(out_col, F.coalesce(F.try_element_at(m, F.col(code_col)), F.col(code_col)))
         # too large for a literal: the same table, joined
         dim = df.sparkSession.createDataFrame(rows, dims.CODE_SCHEMA)
-    d = dim.select(F.col("code").alias("_lk_code"), F.col("name").alias("_lk_name")).dropDuplicates(["_lk_code"])
+    d = dim.select(F.col("code").alias("_lk_code"), F.col("name").alias("_lk_name"))
+    d = d.groupBy("_lk_code").agg(F.max("_lk_name").alias("_lk_name"))
     j = df.join(d, df[code_col] == d["_lk_code"], "left")
     return j.withColumn(out_col, F.coalesce(F.col("_lk_name"), F.col(code_col))).drop("_lk_code", "_lk_name")
 

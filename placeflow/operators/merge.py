@@ -64,11 +64,12 @@ def dedupe_keys(columns: Sequence[str]) -> list[str]:
     return []
 
 
-def merge_final(frags: DataFrame) -> DataFrame:
-    """Final fragments -> one de-duplicated dataset (codes overwrite city/district)."""
+def merge_final(frags: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
+    """Final fragments -> one de-duplicated dataset (codes overwrite city/district); of rows
+    with one key the first by ``order`` stays."""
     named = _overwrite_names(parse_fragment_codes(_without_merged(frags), "final"), with_industry=False)
     keys = dedupe_keys(named.columns)
-    out = keep_first(named, keys, list(ORDER)) if keys else named
+    out = keep_first(named, keys, list(order)) if keys else named
     for c in ("lat", "lng"):
         if c in out.columns and dict(out.dtypes)[c] == "string":
             out = out.withColumn(c, to_double_strict(c))

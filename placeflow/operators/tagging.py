@@ -5,17 +5,18 @@ or, failing that, when the best-window similarity of the name and the tag's
 whole alias text (spaces included) is at least ``threshold``. Tags come out
 sorted and comma-joined; an empty name gets ''.
 
-Plan:
-* exact hits: a small, size-checked dictionary is compiled into one
-  projection (``contains`` per alias) - no join, no shuffle; a larger one is
-  matched exactly by an equi-join of each distinct name's substrings (only of
-  lengths some alias has) with the alias table;
-* fuzzy hits: only on *distinct* names, and only for (name, tag) pairs that
-  pass an exact necessary condition found by an equi-join on shared
-  characters: a score >= 80 needs an LCS >= 2/3 of the shorter length, so the
-  multiset of shared characters must be at least that large. Survivors are
-  scored by one Arrow-batched function; results are joined back by name
-  (AQE splits a hot name).
+Plan, the same tags either way:
+* a dictionary of up to ``COMPILED_ALIASES`` aliases is compiled into the plan: exact hits
+  are one ``contains`` per alias in a projection, and the similarity of each *distinct*
+  name to every tag is one Arrow-batched function with the dictionary in its closure;
+* a larger one is matched exactly by an equi-join of each distinct name's substrings (only
+  of lengths some alias has) with the alias table, and by similarity through an equi-join
+  on shared characters.
+
+Both similarity paths first test a necessary condition: with t = threshold / 100, a window
+of length w <= m (the shorter length) scores t only if 2 * LCS >= t * (m + w), and w >= LCS,
+so LCS, and with it the shared multiset of characters, is at least m * t / (2 - t).
+Results are joined back by name (AQE splits a hot name).
 """
 
 from __future__ import annotations
@@ -23,16 +24,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeflow.functions.fuzzy import partial_ratio_udf
+from placeflow.functions.fuzzy import partial_ratio_udf, similar_tags_udf
 
-MAX_DICTIONARY_ALIASES = 20_000
+# larger dictionaries are joined: more terms in one projection make no usable plan
+COMPILED_ALIASES = 300
 
 
 def load_dictionary(syn: DataFrame) -> list[tuple[str, str, list[str]]] | None:
     """Collect a small dictionary: [(tag, alias_text, aliases)] sorted by tag, or
     None when it is too large to compile (the join path handles it exactly)."""
-    rows = syn.select("tag", "alias_text", "aliases").limit(MAX_DICTIONARY_ALIASES + 1).collect()
-    if len(rows) > MAX_DICTIONARY_ALIASES or sum(len(r.aliases or []) for r in rows) > MAX_DICTIONARY_ALIASES:
+    rows = syn.select("tag", "alias_text", "aliases").limit(COMPILED_ALIASES + 1).collect()
+    if len(rows) > COMPILED_ALIASES or sum(len(r.aliases or []) for r in rows) > COMPILED_ALIASES:
         return None
     return sorted((r.tag, r.alias_text, list(r.aliases or [])) for r in rows)
 
@@ -76,13 +78,18 @@ def _chars(col: Column) -> Column:
     return F.regexp_extract_all(col, F.lit("(?s)."), 0)
 
 
-def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0, small_dictionary: bool = True) -> DataFrame:
-    """(lname, tag) pairs whose similarity reaches ``threshold``.
+def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0, dictionary=None) -> DataFrame:
+    """(lname, tag) pairs whose similarity reaches ``threshold`` (above 0).
 
-    ``names`` has distinct non-empty ``lname``. Pairs are generated only
-    through shared characters (an equi-join), then filtered by the exact
-    necessary bound before scoring.
+    ``names`` has distinct non-empty ``lname``. With a compiled ``dictionary`` every name is
+    compared in place; without, pairs come from a join on shared characters.
     """
+    if threshold <= 0:
+        raise ValueError("threshold must be above 0: at 0 every tag would apply to every name")
+    if dictionary is not None:
+        pairs = [(tag, text) for tag, text, _ in dictionary if text]
+        similar = similar_tags_udf(pairs, threshold)
+        return names.select("lname", F.explode(similar(F.col("lname"))).alias("tag"))
     nchars = (
         names.select("lname", F.explode(_chars(F.col("lname"))).alias("ch"))
         .groupBy("lname", "ch").agg(F.count(F.lit(1)).alias("n_cnt"))
@@ -91,15 +98,14 @@ def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0, small_
         syn.select("tag", "alias_text", F.explode(_chars(F.col("alias_text"))).alias("ch"))
         .groupBy("tag", "alias_text", "ch").agg(F.count(F.lit(1)).alias("a_cnt"))
     )
-    if small_dictionary:  # bounded by the size check in load_dictionary
-        achars = F.broadcast(achars)
     shared = (
         nchars.join(achars, "ch")
         .groupBy("lname", "tag", "alias_text")
         .agg(F.sum(F.least("n_cnt", "a_cnt")).alias("shared"))
     )
     m = F.least(F.length("lname"), F.length("alias_text"))
-    cands = shared.filter(F.col("shared") * 3 >= m * 2)
+    t = min(threshold, 100.0) / 100
+    cands = shared.filter(F.col("shared") * (2 - t) + 1e-9 >= m * t)
     scored = cands.withColumn("score", partial_ratio_udf(F.col("lname"), F.col("alias_text")))
     return scored.filter(F.col("score") >= threshold).select("lname", "tag")
 
@@ -124,7 +130,7 @@ def synonym_tags(df: DataFrame, syn: DataFrame, name: str = "name", out: str = "
         tags = F.array_sort(F.col("_exact"))
         return with_exact.withColumn(out, F.when(F.col("_lname") == "", "").otherwise(F.concat_ws(",", tags))).drop("_lname", "_exact")
     names = with_exact.filter(F.col("_lname") != "").select(F.col("_lname").alias("lname")).distinct()
-    fz = fuzzy_tags(names, syn, threshold, small_dictionary=dictionary is not None).groupBy("lname").agg(F.collect_set("tag").alias("_fuzzy"))
+    fz = fuzzy_tags(names, syn, threshold, dictionary).groupBy("lname").agg(F.collect_set("tag").alias("_fuzzy"))
     j = with_exact.join(fz, with_exact["_lname"] == fz["lname"], "left")
     tags = F.array_sort(F.array_union(F.col("_exact"), F.coalesce(F.col("_fuzzy"), F.array().cast("array<string>"))))
     return j.withColumn(out, F.when(F.col("_lname") == "", "").otherwise(F.concat_ws(",", tags))).drop("_lname", "_exact", "_fuzzy", "lname")

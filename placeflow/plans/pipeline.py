@@ -6,10 +6,13 @@
 Stage boundaries are written tables under ``out_root`` (the saved raw table is
 what enrichment starts from, as in the source pipeline), so a lost executor
 costs at most the current stage. Batches whose final output exists are skipped.
+Resolver and model are asked once: their answers are written (``resolved``,
+``calls``) and everything else is derived from these tables.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,22 +26,30 @@ from placeflow.operators.dedupe import dedupe_merchants
 from placeflow.operators.lookup import attach_code_names
 from placeflow.operators.merge import merge_final, merge_raw
 from placeflow.plans import work_items as wi
+from placeflow.session import materialize
 from placeflow.sources import delimited, fragments, geo_cache, listing
 
 BATCH = ["city_code", "zip_code", "ind_code"]
 FINAL_SCHEMA = (
     "id string, name string, ind string, city string, district string, address string, floor string, "
     "lat double, lng double, phone string, review_summary string, rating string, price_level string, "
-    "hidden_tags string, city_code string, zip_code string, ind_code string"
+    "hidden_tags string, chunk_no bigint, line_no bigint, city_code string, zip_code string, ind_code string"
 )
+CALL_COLUMNS = "chunk_no bigint, response string, attempts int, error string, city_code string, zip_code string, ind_code string"
+# the order in which batches and their lines are merged
+MERGE_ORDER = [*BATCH, "chunk_no", "line_no"]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def finished_batches(spark: SparkSession, out_root: str) -> DataFrame:
     """Batches whose final output exists (partition values of the final table)."""
-    try:
-        return fragments.read_batches(spark, f"{out_root}/final", FINAL_SCHEMA).select(*BATCH).distinct()
-    except Exception:  # nothing written yet
+    if not _exists(spark, f"{out_root}/final"):  # nothing written yet
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in BATCH))
+    return fragments.read_batches(spark, f"{out_root}/final", FINAL_SCHEMA).select(*BATCH).distinct()
 
 
 def rows_from_pages(pages: DataFrame, max_rows_per_batch: int | None = None) -> DataFrame:
@@ -51,30 +62,30 @@ def rows_from_pages(pages: DataFrame, max_rows_per_batch: int | None = None) ->
     )
 
 
-def prepare_raw(raw_rows: DataFrame, cache: DataFrame, resolver=None, synonyms: DataFrame | None = None, fuzzy: bool = True):
-    """Clean, de-duplicate, geocode and tag; returns (raw table, new cache rows)."""
+def prepare_raw(raw_rows: DataFrame, cache: DataFrame, resolver=None, synonyms: DataFrame | None = None, fuzzy: bool = True,
+                save: Callable[[DataFrame], DataFrame] = materialize, bulk: bool = False, partitions: int | None = None):
+    """Clean, de-duplicate, geocode and tag; returns (raw table, new cache rows).
+
+    ``save`` writes the resolver's answers and returns the written table."""
     spark = raw_rows.sparkSession
     cleaned = dedupe_merchants(clean_merchants(raw_rows))
     named = attach_code_names(cleaned, ind_col="ind_code").withColumnRenamed("industry", "industry_name")
-    rows, new_cache = geocode.geocode(named, cache, resolver)
+    rows, new_cache = geocode.geocode(named, cache, resolver, bulk, partitions, save)
     rows = tagging.synonym_tags(rows, synonyms if synonyms is not None else dims.synonyms(spark), fuzzy=fuzzy)
     industry = F.coalesce(F.col("industry_text"), F.col("industry_name")) if "industry_text" in rows.columns else F.col("industry_name")
     return rows.withColumn("industry", industry).drop("industry_name", geocode.KEY), new_cache
 
 
-def enrich_and_finalize(raw: DataFrame, client_factory: Callable[[], Callable[[str], str]]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(final rows, reply rejects, call ledger) for the saved raw rows."""
-    spark = raw.sparkSession
-    batches = enrich.enrichment_batches(raw)
-    calls = enrich.call_enrichment(enrich.enrichment_prompts(batches), client_factory)
+def finalize_calls(raw: DataFrame, calls: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(final rows with chunk_no and line_no, reply rejects, ledger) from the saved calls."""
     rows, rejects = delimited.read_delimited(calls.filter(F.col("response").isNotNull()), [*BATCH, "chunk_no"])
-    final = fin.finalize_places(fin.attach_chunk_tags(rows, batches))
-    return final, rejects, calls.drop("response")
+    final = fin.finalize_places(fin.attach_chunk_tags(rows, enrich.enrichment_batches(raw)), extra=("chunk_no", "line_no"))
+    return final, rejects, enrich.enrichment_ledger(calls, rows, rejects)
 
 
 def run(
     spark: SparkSession,
-    pages: DataFrame,
+    pages: DataFrame | None,
     out_root: str,
     cache_root: str,
     client_factory: Callable[[], Callable[[str], str]],
@@ -82,38 +93,59 @@ def run(
     config: DataFrame | None = None,
     synonyms: DataFrame | None = None,
     max_rows_per_batch: int | None = None,
+    use_raw: bool = False,
+    bulk: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Process every pending batch; returns the work-item ledger."""
+    """Process every pending batch; returns the work-item ledger.
+
+    ``use_raw`` resumes from the saved raw table instead of the pages; ``partitions`` is the
+    number of tasks that call the resolver and the model at once.
+    """
     # batch codes such as 0009 must come back from partition paths as strings
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     done = finished_batches(spark, out_root)
+    known = spark.read.parquet(f"{out_root}/raw") if use_raw else pages
     if config is not None:
         items = wi.expand_run_config(config).filter(F.col("zip_code").isNotNull()).select(*BATCH).distinct()
-        pages = pages.join(items, BATCH, "left_semi")
-    pending_pages = pages.join(done, BATCH, "left_anti")
+        known = known.join(items, BATCH, "left_semi")
+    # which batches this run works on, fixed before anything is written
+    all_batches = materialize(known.select(*BATCH).distinct())
+    pending = materialize(all_batches.join(done, BATCH, "left_anti"))
+
+    if not use_raw:
+        raw_rows = rows_from_pages(pages.join(pending, BATCH, "left_semi"), max_rows_per_batch)
+        answers = f"{out_root}/resolved/run={uuid.uuid4().hex}"
+
+        def save(resolved: DataFrame) -> DataFrame:
+            resolved.write.parquet(answers)
+            return spark.read.schema(resolved.schema).parquet(answers)
 
-    raw_rows = rows_from_pages(pending_pages, max_rows_per_batch)
-    raw, new_cache = prepare_raw(raw_rows, geo_cache.read_geo_cache(spark, cache_root), resolver, synonyms)
-    fragments.write_batches(raw, f"{out_root}/raw")
-    if resolver is not None and not new_cache.isEmpty():
-        geo_cache.write_geo_cache(spark, cache_root, new_cache)
+        raw, new_cache = prepare_raw(raw_rows, geo_cache.read_geo_cache(spark, cache_root), resolver, synonyms,
+                                     save=save, bulk=bulk, partitions=partitions)
+        fragments.write_batches(raw, f"{out_root}/raw")
+        if resolver is not None and not new_cache.isEmpty():
+            geo_cache.write_geo_cache(spark, cache_root, new_cache)
 
     # enrichment starts from the saved raw table, limited to this run's batches
-    saved = spark.read.parquet(f"{out_root}/raw").join(raw.select(*BATCH).distinct(), BATCH, "left_semi")
-    final, rejects, calls = enrich_and_finalize(saved, client_factory)
+    saved = spark.read.parquet(f"{out_root}/raw").join(pending, BATCH, "left_semi")
+    asked = enrich.call_enrichment(enrich.enrichment_prompts(enrich.enrichment_batches(saved)), client_factory, partitions=partitions)
+    fragments.write_batches(asked, f"{out_root}/calls")  # a batch that is run again replaces its calls
+    all_calls = spark.read.schema(CALL_COLUMNS).parquet(f"{out_root}/calls")
+    final, _, _ = finalize_calls(saved, all_calls.join(pending, BATCH, "left_semi"))
     fragments.write_batches(final, f"{out_root}/final")
-    rejects.write.mode("append").parquet(f"{out_root}/rejects")
-    calls.write.mode("append").parquet(f"{out_root}/calls")
+    _, rejects, ledger = finalize_calls(saved, all_calls)
+    rejects.write.mode("overwrite").parquet(f"{out_root}/rejects")
+    ledger.write.mode("overwrite").parquet(f"{out_root}/ledger")
 
     batch_rows = wi.batch_row_counts(spark.read.parquet(f"{out_root}/raw"))
-    all_batches = pages.select(*BATCH).distinct()
     return wi.attach_status(all_batches, batch_rows, finished_batches(spark, out_root))
 
 
 def merge_and_publish(spark: SparkSession, out_root: str) -> DataFrame:
     """Merge all final batches (global first-wins dedupe) and the raw batches; publish both."""
-    final = merge_final(fragments.read_batches(spark, f"{out_root}/final", FINAL_SCHEMA))
-    fragments.publish(final, f"{out_root}/final_data")
+    final = merge_final(fragments.read_batches(spark, f"{out_root}/final", FINAL_SCHEMA), MERGE_ORDER)
+    fragments.publish(final.select(*fin.FINAL_COLUMNS), f"{out_root}/final_data")
     raw = spark.read.parquet(f"{out_root}/raw")
     raw = raw.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
     fragments.publish(merge_raw(raw), f"{out_root}/raw_data")

@@ -20,10 +20,12 @@ from placeflow.operators import merge as mg
 from placeflow.operators import price as pr
 from placeflow.operators.dedupe import keep_first, upsert_latest
 from placeflow.operators.lookup import attach_code_names, lookup_name
+from placeflow.plans import pipeline
 from placeflow.plans import work_items as wi
 from placeflow.session import materialize, scratch_dir
 from placeflow.sources import delimited
 from placeflow.sources import exchange as ex
+from placeflow.sources import fragments
 from placeflow.sources import listing as ls
 from placeflow.streaming import incremental as inc
 
@@ -288,7 +290,7 @@ def _echo_client():
     """A stand-in model: answers each prompt with its own input rows as a reply table."""
     def call(prompt: str) -> str:
         body = prompt.split(enrich.PROMPT_INPUT_HEADER, 1)[1].splitlines()[1:]
-        out = ["ID|店名|縣市|行政區|地址|樓層|緯度|經度|電話|評論|星級數|價格區間"]
+        out = [enrich.REPLY_FIELDS_ZH]
         for line in body:
             f = line.split(",")
             if len(f) >= 9:
@@ -304,6 +306,29 @@ def enrichment_calls(spark, sf_dir):
     return rows
 
 
+def _moody_client():
+    """The stand-in model, useless at first for some batches and always for others: by the
+    codes in the first row's id (city_zip_ind_index), city left out."""
+    echo, asked = _echo_client(), {}
+
+    def call(prompt: str) -> str:
+        first = prompt.split(enrich.PROMPT_INPUT_HEADER, 1)[1].splitlines()[1].split(",")[0]
+        kind = sum(int(x) for x in first.split("_")[1:3]) % 5
+        asked[prompt] = asked.get(prompt, 0) + 1
+        if kind == 4 or kind == 2 and asked[prompt] == 1:
+            return "Sorry, no table today."
+        return echo(prompt)
+    return call
+
+
+@query
+def enrichment_ledger(spark, sf_dir):
+    """Calls saved once; rows, rejects and the ledger all come from the saved replies."""
+    calls = materialize(enrich.call_enrichment(enrich.enrichment_prompts(_enrich_batches(spark, sf_dir)), _moody_client))
+    rows, rejects = delimited.read_delimited(calls.filter(F.col("response").isNotNull()), ["city_code", "zip_code", "ind_code", "chunk_no"])
+    return enrich.enrichment_ledger(calls, rows, rejects)
+
+
 # ---------------- merge, exchange, price level ----------------
 
 
@@ -324,6 +349,28 @@ def merge_fragments(spark, sf_dir):
     return mg.merge_final(_fragments(spark, sf_dir)).select(*fin.FINAL_COLUMNS, "file_name", "row_index")
 
 
+@query
+def merge_fragment_files(spark, sf_dir):
+    """Final rows written as batch folders, read back with their positions, merged in batch,
+    chunk and line order, published and read again."""
+    final, _ = _final_with_order(spark, sf_dir)
+    root = scratch_dir(spark, "fragment-files")
+    fragments.write_batches(final, f"{root}/final")
+    frags = fragments.read_batches(spark, f"{root}/final", pipeline.FINAL_SCHEMA)
+    fragments.publish(mg.merge_final(frags, pipeline.MERGE_ORDER).select(*fin.FINAL_COLUMNS), f"{root}/final_data")
+    return spark.read.parquet(f"{root}/final_data")
+
+
+@query
+def exchange_files(spark, sf_dir):
+    """The merged dataset as a CSV tab (with quotes, newlines and outer spaces) and back."""
+    merged = mg.merge_final(_fragments(spark, sf_dir)).select(*fin.FINAL_COLUMNS)
+    odd = merged.withColumn("review_summary", F.concat(F.lit(' "a"\n, '), F.col("review_summary"), F.lit("\r\n|  ")))
+    root = scratch_dir(spark, "exchange")
+    ex.export_exchange(odd, f"{root}/tab")
+    return ex.import_exchange(spark, f"{root}/tab", fin.FINAL_COLUMNS)
+
+
 @query
 def merge_raw(spark, sf_dir):
     raw = fx.bind(spark, fx.RAW_FRAGMENTS, batches=_enrich_batches(spark, sf_dir))

@@ -47,9 +47,9 @@ def expand_run_config(
     Runs without items (failed, or no known district without fallback) keep one
     row with NULL district and industry so the ledger can count them.
     """
-    all_c = _lit_array(city_codes or _codes(dims.CITIES))
-    all_d = _lit_array(district_codes or _codes(dims.DISTRICTS))
-    all_i = _lit_array(industry_codes or _codes(dims.INDUSTRIES))
+    all_c = _lit_array(_codes(dims.CITIES) if city_codes is None else city_codes)
+    all_d = _lit_array(_codes(dims.DISTRICTS) if district_codes is None else district_codes)
+    all_i = _lit_array(_codes(dims.INDUSTRIES) if industry_codes is None else industry_codes)
     req_d = F.col("districts")
     known_d = _keep_known(req_d, all_d)
     if fallback_to_all_districts:

@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="placeflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -64,10 +66,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage at a stage boundary: a reliable checkpoint in the shared
-    ``spark.checkpoint.dir`` (survives lost executors; never localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage at a stage boundary: a written table under the shared
+    ``spark.checkpoint.dir`` (survives lost executors; never localCheckpoint). Read back as
+    Parquet, later steps still prune columns, push filters down and know its size."""
+    path = scratch_dir(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set = set()

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from placeflow.functions.text import fill_string, to_double_strict
 
 NUMERIC = ("lat", "lng")
+# cells keep their outer spaces, quotes and newlines both ways
+CSV = {"header": "true", "escape": '"', "quoteAll": "true", "multiLine": "true", "emptyValue": "",
+       "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def export_rows(df: DataFrame) -> DataFrame:
@@ -21,7 +24,7 @@ def export_exchange(df: DataFrame, path: str) -> None:
     """Replace the tab (a CSV directory) with ``df``; an empty input leaves it alone."""
     if df.isEmpty():
         return
-    export_rows(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    export_rows(df).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def export_targets(frames: dict[str, DataFrame], root: str) -> None:
@@ -34,7 +37,7 @@ def export_fragment_tabs(frags: DataFrame, root: str, limit: int = 50) -> None:
     """Each fragment to its own tab, named by the first ``limit`` characters of its stem."""
     from placeflow.functions.text import tab_name
     rows = export_rows(frags.drop("row_index")).withColumn("tab", tab_name("file_name", limit)).drop("file_name")
-    rows.write.mode("overwrite").option("header", True).option("escape", '"').partitionBy("tab").csv(root)
+    rows.write.mode("overwrite").options(**CSV).partitionBy("tab").csv(root)
 
 
 def import_rows(df: DataFrame, numeric: Sequence[str] = NUMERIC) -> DataFrame:
@@ -45,5 +48,14 @@ def import_rows(df: DataFrame, numeric: Sequence[str] = NUMERIC) -> DataFrame:
 def import_exchange(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Read a tab with its header, all columns as strings, and type it."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    raw = spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
+    raw = spark.read.options(**CSV).schema(schema).csv(path)
     return import_rows(raw)
+
+
+def write_back(spark: SparkSession, tab: str, columns: Sequence[str], path: str) -> bool:
+    """Replace the dataset at ``path`` with an edited tab; an empty tab changes nothing."""
+    rows = import_exchange(spark, tab, columns)
+    if rows.isEmpty():
+        return False
+    rows.write.mode("overwrite").parquet(path)
+    return True

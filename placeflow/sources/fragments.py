@@ -15,7 +15,8 @@ def read_fragments(spark: SparkSession, root: str, kind: str = "final", schema:
     """All ``{kind}_*.parquet`` files under ``root`` with ``file_name`` and ``row_index``.
 
     Columns are the union over files (``mergeSchema``); unreadable files are
-    skipped (``ignoreCorruptFiles``) and the rest proceed.
+    skipped (``ignoreCorruptFiles``) and the rest proceed; ``read_report`` names them and
+    ``whole_files`` drops what was read of a file before the damage.
     """
     reader = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "true")
     if schema:
@@ -24,6 +25,27 @@ def read_fragments(spark: SparkSession, root: str, kind: str = "final", schema:
     return df.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
 
 
+def read_report(spark: SparkSession, root: str, frags: DataFrame, kind: str = "final") -> DataFrame:
+    """(file_name, expected_rows, read_rows, status) of every listed file: ``ok``, ``skipped``
+    (nothing could be read) or ``partial`` (some rows were lost). Expected rows come from the
+    footers alone (a count without columns), read rows from reading every column."""
+    listed = (spark.read.format("binaryFile").load(f"{root}/{kind}_*.parquet")
+              .select(F.element_at(F.split("path", "/"), -1).alias("file_name")))
+    reader = spark.read.option("ignoreCorruptFiles", "true").schema("file_name string")
+    expected = (reader.parquet(f"{root}/{kind}_*.parquet").groupBy(F.col("_metadata.file_name").alias("file_name"))
+                .agg(F.count(F.lit(1)).alias("expected_rows")))
+    read = frags.groupBy("file_name").agg(F.count(F.xxhash64(*[c for c in frags.columns if c != "file_name"])).alias("read_rows"))
+    both = listed.join(expected, "file_name", "left").join(read, "file_name", "left")
+    status = (F.when(F.col("expected_rows").isNull(), "skipped")
+              .when(F.coalesce("read_rows", F.lit(0)) < F.col("expected_rows"), "partial").otherwise("ok"))
+    return both.select("file_name", "expected_rows", F.coalesce("read_rows", F.lit(0)).alias("read_rows"), status.alias("status"))
+
+
+def whole_files(frags: DataFrame, report: DataFrame) -> DataFrame:
+    """Rows of the files that were read to their end."""
+    return frags.join(report.filter(F.col("status") != "ok").select("file_name"), "file_name", "left_anti").select(*frags.columns)
+
+
 def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """Our own layout ``root/city_code=/zip_code=/ind_code=``; the schema keeps the codes strings."""
     return (

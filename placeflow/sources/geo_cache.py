@@ -1,15 +1,19 @@
-"""Versioned geocode cache: ``root/v=<n>/`` directories, readers take the highest
-committed one (``_SUCCESS`` present). A writer publishes ``v=<n+1>`` and never
-touches a directory anyone reads; if another writer took that number first it
-re-reads, re-merges and tries the next number.
+"""Versioned geocode cache: ``root/v=<n>/`` holds the rows that writer n added.
+
+A writer claims its number by creating ``root/_claims/<n>`` (the file system creates a file
+once only), then writes its own rows, and nothing that anyone reads is ever replaced. Readers
+take the committed folders (``_SUCCESS`` present) and the row of the highest version for each
+key, so writers at the same time lose nothing, whoever ends first, and a crashed one leaves
+only a folder that nobody reads. ``compact`` folds the committed versions into one.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.operators.dedupe import upsert_latest
+from placeflow.operators.dedupe import keep_first
 
 CACHE_SCHEMA = "full_address_key string, lat double, lng double, gen bigint, seq bigint"
 RESOLVED_SCHEMA = "full_address_key string, lat double, lng double"
@@ -46,31 +50,79 @@ def all_versions(spark: SparkSession, root: str) -> list[int]:
     return _versions(spark, root, committed_only=False)
 
 
+def _includes(spark: SparkSession, root: str, version: int) -> list[int]:
+    """Versions that a compacted folder replaces."""
+    fs, _, jvm = _fs(spark, root)
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/_includes/{version}")
+    if not fs.exists(path):
+        return []
+    text = spark.read.text(str(path.toString()), wholetext=True).first()[0]
+    return [int(x) for x in text.split()]
+
+
+def _live(spark: SparkSession, root: str) -> list[int]:
+    done = committed_versions(spark, root)
+    fs, _, jvm = _fs(spark, root)
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/_includes")):
+        return done
+    gone = {x for v in done for x in _includes(spark, root, v)}
+    return [v for v in done if v not in gone]
+
+
 def read_geo_cache(spark: SparkSession, root: str) -> DataFrame:
-    """Latest committed version; missing or unreadable -> empty with the cache schema."""
-    try:
-        vs = committed_versions(spark, root)
-        if vs:
-            return spark.read.schema(CACHE_SCHEMA).parquet(f"{root}/v={vs[-1]}")
-    except Exception:
-        pass
-    return spark.createDataFrame([], CACHE_SCHEMA)
-
-
-def write_geo_cache(spark: SparkSession, root: str, new_rows: DataFrame, retries: int = 5) -> int:
-    """Merge ``new_rows`` (key, lat, lng) into the latest version, last wins; returns the version written."""
-    last_err = None
-    for _ in range(retries):
-        # number past every folder, so an unfinished one never blocks the writer
-        vs = all_versions(spark, root)
-        nxt = (vs[-1] + 1) if vs else 0
-        old = read_geo_cache(spark, root)
-        fresh = new_rows.select("full_address_key", "lat", "lng").withColumn("gen", F.lit(nxt).cast("bigint")).withColumn("seq", F.lit(0).cast("bigint"))
-        # new answers beat every stored version, whatever gen numbers the old rows carry
-        merged = upsert_latest(old.withColumn("_new", F.lit(0)), fresh.withColumn("_new", F.lit(1)), "full_address_key", order=("_new", "gen", "seq")).drop("_new")
+    """One row per key, the latest; a cache that does not exist is empty, one that cannot be
+    read is an error."""
+    live = _live(spark, root)
+    if not live:
+        return spark.createDataFrame([], CACHE_SCHEMA)
+    rows = spark.read.schema(f"{CACHE_SCHEMA}, v bigint").option("basePath", root).parquet(*[f"{root}/v={v}" for v in live])
+    return keep_first(rows, ["full_address_key"], ["v", "gen", "seq"], last=True).drop("v")
+
+
+def _claim(spark: SparkSession, root: str) -> int:
+    """The next free version number, ours alone."""
+    fs, path, jvm = _fs(spark, root)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{root}/_claims"))
+    n = max(all_versions(spark, root), default=-1) + 1
+    while True:
+        claim = jvm.org.apache.hadoop.fs.Path(f"{root}/_claims/{n}")
         try:
-            merged.write.mode("errorifexists").parquet(f"{root}/v={nxt}")
-            return nxt
-        except Exception as e:  # another writer published this version first
-            last_err = e
-    raise RuntimeError(f"geocode cache not updated after {retries} tries") from last_err
+            if fs.createNewFile(claim):
+                return n
+        except Py4JJavaError as e:  # some file systems say so this way
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+        n += 1
+
+
+def write_geo_cache(spark: SparkSession, root: str, new_rows: DataFrame) -> int:
+    """Add ``new_rows`` (key, lat, lng); of a key with several rows the last wins. Returns the
+    version written. Errors of the rows' own plan are raised as they are."""
+    n = _claim(spark, root)
+    fresh = new_rows.select("full_address_key", "lat", "lng").withColumn("gen", F.lit(n).cast("bigint")).withColumn("seq", F.lit(0).cast("bigint"))
+    fresh = keep_first(fresh, ["full_address_key"], ["gen", "seq"], last=True)
+    fresh.write.mode("overwrite").parquet(f"{root}/v={n}")  # the number is ours: only our own leftovers can be there
+    return n
+
+
+def compact(spark: SparkSession, root: str) -> int | None:
+    """Fold the live versions into one new one; the old folders stay for running readers."""
+    live = _live(spark, root)
+    if len(live) < 2:
+        return None
+    rows = spark.read.schema(f"{CACHE_SCHEMA}, v bigint").option("basePath", root).parquet(*[f"{root}/v={v}" for v in live])
+    merged = keep_first(rows, ["full_address_key"], ["v", "gen", "seq"], last=True).drop("v")
+    fs, _, jvm = _fs(spark, root)
+    n = _claim(spark, root)
+    # a writer with a lower number may still be running: its rows must win over these
+    lower = [v for v in range(n) if v not in committed_versions(spark, root)
+             and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/_claims/{v}"))]
+    if lower:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/_claims/{n}"), False)
+        return None
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{root}/_includes"))
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/_includes/{n}"), True)
+    out.write(bytearray(" ".join(map(str, live)), "ascii"))
+    out.close()
+    merged.write.mode("overwrite").parquet(f"{root}/v={n}")
+    return n

@@ -105,7 +105,7 @@ def classify_pages(pages: DataFrame, html: str = "html") -> DataFrame:
 def extract_rows(classified: DataFrame, keep: Sequence[str] = (*BATCH, "page_no")) -> DataFrame:
     """Rows of each target table: header row dropped, repeated headers skipped, cells 0-3 trimmed."""
     rows = classified.filter(F.col("kind") == "target").select(
-        *keep, F.posexplode(F.slice(_rows(F.col("_target")), 2, 1 << 30)).alias("row_no", "_tr")
+        *keep, F.posexplode(F.slice(_rows(F.col("_target")), F.lit(2), F.greatest(F.size(_rows(F.col("_target"))) - 1, F.lit(0)))).alias("row_no", "_tr")
     )
     cells = rows.withColumn("_c", _cells(F.col("_tr")))
     texts = [cell_text(F.get(F.col("_c"), i)).alias(name) for i, name in enumerate(CELL_FIELDS)]

@@ -4,13 +4,14 @@ Both jobs read new files with a file source (``trigger(availableNow=True)``:
 take what arrived, then stop) and fold each micro-batch into a state table.
 
 * ``merge_incremental``: survivors + new fragment rows -> first-wins per key in
-  (file_name, row_index) order. The state is partitioned by a hash bucket of
-  the de-duplication key; a micro-batch reads and rewrites only the buckets
-  its rows touch (dynamic partition overwrite), not the whole state. First-wins
-  is idempotent, so a replayed epoch (after a lost executor or driver) leaves
-  the same state. Each survivor keeps its own position, so the result equals
-  the batch merge of everything seen (fragments are immutable: a rewritten
-  file under an old name is not picked up again).
+  (file_name, row_index) order. The state is partitioned by a hash bucket of the
+  de-duplication key. A micro-batch reads the buckets its rows touch and writes their
+  next version to a folder of its own, ``epoch=<n>``; a bucket's rows are those of its
+  highest finished epoch. Nothing that is read is replaced, so a crash at any point leaves
+  the state before it, and the replayed epoch writes its folder again. Each survivor keeps
+  its own position, so the result equals the batch merge of everything seen (fragments are
+  immutable: a rewritten file under an old name is not picked up again). ``prune_state``
+  drops folders that no bucket needs any more.
 * ``cache_upsert_stream``: new resolver answers -> last-wins into the cache.
 """
 
@@ -20,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.operators.merge import dedupe_keys, merge_final
-from placeflow.session import materialize
 from placeflow.sources import geo_cache
 
 
@@ -32,34 +32,70 @@ def _bucket(df: DataFrame, n_buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets))
 
 
-def read_state(spark: SparkSession, state_root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(state_root).drop("_bucket")
-    except Exception:  # nothing merged yet
-        return None
+def _buckets(spark: SparkSession, state_root: str) -> dict[int, int]:
+    """Bucket -> its highest finished epoch."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[int, int] = {}
+    if not fs.exists(root):
+        return found
+    for folder in fs.listStatus(root):
+        name = folder.getPath().getName()
+        if not name.startswith("epoch=") or not fs.exists(jvm.org.apache.hadoop.fs.Path(folder.getPath(), "_SUCCESS")):
+            continue
+        epoch = int(name.removeprefix("epoch="))
+        for bucket in fs.listStatus(folder.getPath()):
+            part = bucket.getPath().getName()
+            if part.startswith("_bucket="):
+                k = int(part.removeprefix("_bucket="))
+                found[k] = max(found.get(k, -1), epoch)
+    return found
+
+
+def read_state(spark: SparkSession, state_root: str, buckets: list[int] | None = None) -> DataFrame | None:
+    """Survivors of the given buckets (default all); None where nothing was merged yet."""
+    found = _buckets(spark, state_root)
+    paths = [f"{state_root}/epoch={e}/_bucket={k}" for k, e in sorted(found.items()) if buckets is None or k in buckets]
+    return spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
 
 
 def _fold_fragments(state_root: str, n_buckets: int):
     def fold(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         new = batch.withColumn("_bucket", _bucket(batch, n_buckets))
-        rows = new
-        if read_state(spark, state_root) is not None:
-            # at most n_buckets ids: read only those state partitions (partition pruning)
-            touched = [r[0] for r in new.select("_bucket").distinct().collect()]
-            old = spark.read.parquet(state_root).filter(F.col("_bucket").isin(touched))
-            rows = old.unionByName(new, allowMissingColumns=True)
-        merged = merge_final(rows.drop("_bucket"))
+        # at most n_buckets ids: read only those parts of the state
+        touched = [r[0] for r in new.select("_bucket").distinct().collect()]
+        if not touched:
+            return
+        # a replayed epoch must not read what its first try wrote
+        folder = f"{state_root}/epoch={epoch}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        old = read_state(spark, state_root, touched)
+        rows = new.drop("_bucket")
+        if old is not None:
+            rows = old.unionByName(rows, allowMissingColumns=True)
+        merged = merge_final(rows)
         merged = merged.withColumn("_bucket", _bucket(merged, n_buckets))
-        # cut lineage before replacing the partitions this plan reads
-        merged = materialize(merged)
-        (
-            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_bucket").parquet(state_root)
-        )
+        # one file per bucket
+        merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_bucket").parquet(folder)
     return fold
 
 
+def prune_state(spark: SparkSession, state_root: str) -> None:
+    """Delete epoch folders whose buckets have all been written again since."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    needed = set(_buckets(spark, state_root).values())
+    for folder in fs.listStatus(root):
+        name = folder.getPath().getName()
+        if name.startswith("epoch=") and int(name.removeprefix("epoch=")) < max(needed, default=0) \
+                and int(name.removeprefix("epoch=")) not in needed:
+            fs.delete(folder.getPath(), True)
+
+
 def merge_incremental(spark: SparkSession, source_root: str, schema: str, state_root: str, checkpoint: str, n_buckets: int = N_BUCKETS) -> DataFrame:
     """Fold every fragment file that arrived since the last run into the merged state.
 

@@ -23,7 +23,7 @@ def _one(spark, expr, value, schema="x string"):
 @pytest.mark.parametrize("raw,expected", [
     ("新北市市民大道", "民大道"),
     ("台北市士林區中山北路二段", "中山北路2段"),
-    ("士林夜市小吃", "小吃"),
+    ("士林夜市點心", "點心"),
     (None, ""),
     ("臺北市大安區仁愛路四段 1之2號", "仁愛路四段1-2號"),
     ("ＳＴＡＲ　咖啡", "STAR咖啡"),
@@ -98,40 +98,46 @@ def test_partial_ratio_brute_force(a, b):
 
 
 def test_partial_ratio_known_values():
-    assert partial_ratio("路易莎咖啡12", "路易沙咖啡") == pytest.approx(80.0)
+    assert partial_ratio("松林舍咖啡12", "松林社咖啡") == pytest.approx(80.0)
     assert partial_ratio("this is a test", "this is a test!") == 100.0
     assert partial_ratio("", "") == 100.0 and partial_ratio("a", "") == 0.0
 
 
-def _brute_tags(name, dictionary, threshold=80.0):
-    if not name:
-        return ""
-    n = name.lower()
-    out = set()
-    for tag, alias_text in dictionary:
-        v = alias_text.lower()
-        if any(tok in n for tok in v.split()):
-            out.add(tag)
-        elif partial_ratio(n, v) >= threshold:
-            out.add(tag)
-    return ",".join(sorted(out))
+# tags of the fixture's names by hand: its seven stems end in a number that changes nothing
+TAGS = {
+    "藍燈LAMP": "bluelamp", "松林舍咖啡": "coffee,pinewood", "台三葉草": "clovershop", "台灣三葉草": "clovershop",
+    "石橋館": "stonebridge", "點心": "snack", "山海-家": "home", "望海大酒店": "hotel",
+}
 
 
-def test_fuzzy_tags_match_brute_force(spark, sf_dir):
+def test_fuzzy_tags_of_the_fixture(spark, sf_dir):
     import __spark_entry__ as e
-    got = {r.seq: (r.name, r.hidden_tags) for r in e.queries()["synonym_tags_fuzzy"](spark, sf_dir).collect()}
-    assert got
-    for seq, (name, tags) in got.items():
-        assert tags == _brute_tags(name, dims.SYNONYMS), (seq, name)
-    assert any("louisa" in t for _, t in got.values()), "fuzzy-only tag never reached"
+    rows = e.queries()["synonym_tags_fuzzy"](spark, sf_dir).collect()
+    assert rows and {r.name.rstrip("0123456789") for r in rows} <= set(TAGS)
+    for r in rows:
+        assert r.hidden_tags == TAGS[r.name.rstrip("0123456789")], r
+    assert any("pinewood" in r.hidden_tags for r in rows), "fuzzy-only tag never reached"
 
 
 def test_fuzzy_tags_long_and_empty_names(spark):
-    rows = [(1, "路易莎咖啡館旗艦店"), (2, ""), (3, None), (4, "Star 咖啡 家")]
-    df = spark.createDataFrame(rows, "seq bigint, name string")
-    got = {r.seq: r.hidden_tags for r in tagging.synonym_tags(df, dims.synonyms(spark)).collect()}
-    for seq, name in rows:
-        assert got[seq] == _brute_tags(name, dims.SYNONYMS)
+    rows = [(1, "松林舍咖啡館旗艦店", "coffee,pinewood"), (2, "", ""), (3, None, ""), (4, "Lamp 咖啡 家", "bluelamp,coffee,home")]
+    df = spark.createDataFrame(rows, "seq bigint, name string, want string")
+    assert all(r.hidden_tags == r.want for r in tagging.synonym_tags(df, dims.synonyms(spark)).collect())
+
+
+@pytest.mark.parametrize("threshold", [30, 45, 80, 100])
+@pytest.mark.parametrize("method", ["projection", "join"])
+def test_similarity_at_any_threshold(spark, threshold, method):
+    """Against the window-by-window similarity above, which shares no code with the library."""
+    import random
+    rng = random.Random(threshold)
+    names = ["".join(rng.choice("abcdefgh咖啡") for _ in range(rng.randint(1, 12))) for _ in range(60)] + ["abcdeqwrty"]
+    texts = ["abcdefghij"] + ["".join(rng.choice("abcdefgh咖啡") for _ in range(rng.randint(2, 9))) for _ in range(11)]
+    syn = spark.createDataFrame([(f"t{i:02d}", t, ["no alias"]) for i, t in enumerate(texts)], "tag string, alias_text string, aliases array<string>")
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r.name: r.hidden_tags for r in tagging.synonym_tags(df, syn, threshold=threshold, method=method).collect()}
+    for n in names:
+        assert got[n] == ",".join(f"t{i:02d}" for i, t in enumerate(texts) if _brute_partial(n, t) >= threshold), n
 
 
 def test_keep_first_and_last(spark):
@@ -172,6 +178,47 @@ def test_geo_cache_survives_unfinished_version(spark):
     assert v == 2
     got = {r.full_address_key: r.lat for r in geo_cache.read_geo_cache(spark, root).collect()}
     assert got == {"a": 1.0, "b": 2.0}
+    assert geo_cache.compact(spark, root) == 3
+    assert {r.full_address_key: r.lat for r in geo_cache.read_geo_cache(spark, root).collect()} == got
+    geo_cache.write_geo_cache(spark, root, spark.createDataFrame([("a", 7.0, 7.0), ("a", 8.0, 8.0)], schema))
+    assert {r.full_address_key: r.lat for r in geo_cache.read_geo_cache(spark, root).collect()} == {"a": 8.0, "b": 2.0}
+
+
+def test_geo_cache_writers_at_the_same_time(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = tempfile.mkdtemp(prefix="geo-cache-")
+    schema = "full_address_key string, lat double, lng double"
+    frames = [spark.createDataFrame([(f"k{i}", float(i), 0.0), ("all", float(i), 0.0)], schema) for i in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        versions = list(pool.map(lambda df: geo_cache.write_geo_cache(spark, root, df), frames))
+    assert sorted(versions) == sorted(set(versions)) and len(versions) == 6
+    got = {r.full_address_key: r.lat for r in geo_cache.read_geo_cache(spark, root).collect()}
+    assert got == {**{f"k{i}": float(i) for i in range(6)}, "all": float(versions.index(max(versions)))}
+
+
+def test_unreadable_cache_is_an_error_and_the_plan_runs_once(spark):
+    import os
+
+    root = tempfile.mkdtemp(prefix="geo-cache-")
+    os.makedirs(f"{root}/v=0")
+    for name, body in (("_SUCCESS", b""), ("part-0.parquet", b"not parquet")):
+        with open(f"{root}/v=0/{name}", "wb") as f:
+            f.write(body)
+    with pytest.raises(Exception):
+        geo_cache.read_geo_cache(spark, root).collect()
+
+
+def test_replies_with_quotes():
+    from placeflow.sources.delimited import accepted, has_rows, records
+
+    text = 'ID|b\n1|"x|y"|c\n\n   \n2|"two\nlines"|say ""no""\n3|"a ""q"""\n4|"open|c\n'
+    got = records(text)
+    assert [r["fields"] for r in got[:3]] == [["1", "x|y", "c"], ["2", "two\nlines", 'say ""no""'], ["3", 'a "q"']]
+    assert [r["closed"] for r in got] == [True, True, True, False] and got[3]["line"] == '4|"open|c'
+    assert not accepted(got[3], 12) and accepted(got[0], 3) and accepted(got[0], 2) is False
+    assert has_rows("Here:\n```csv\nID |a\n1|b\n```") and not has_rows("sorry, no table") and not has_rows("ID|a\n")
+    assert not has_rows("") and records("") == []
 
 
 def test_resolve_with_function_single_and_bulk(spark):
@@ -189,9 +236,16 @@ def test_resolve_with_function_single_and_bulk(spark):
     def bulk():
         return lambda keys: [None if k == "b" else (1.0, 2.0) for k in keys]
 
-    one = {r.full_address_key for r in geocode.resolve_with_function(pending, single).collect()}
-    many = {r.full_address_key for r in geocode.resolve_with_function(pending, bulk, bulk=True).collect()}
-    assert one == {"a"} and many == {"a", "boom"}
+    def short():
+        return lambda keys: [(1.0, 2.0)] * (len(keys) + 1)
+
+    one = {r.full_address_key: (r.lat, r.error) for r in geocode.resolve_with_function(pending, single).collect()}
+    many = {r.full_address_key: (r.lat, r.error) for r in geocode.resolve_with_function(pending, bulk, bulk=True).collect()}
+    bad = geocode.resolve_with_function(pending.coalesce(1), short, bulk=True).collect()
+    assert one == {"a": (1.0, None), "b": (None, None), "boom": (None, "RuntimeError: service error")}
+    assert many == {"a": (1.0, None), "b": (None, None), "boom": (1.0, None)}
+    assert {r.error for r in bad} == {"4 answers for 3 keys"} and all(r.lat is None for r in bad)
+    assert [r.full_address_key for r in geocode.usable(geocode.resolve_with_function(pending, single)).collect()] == ["a"]
 
 
 def test_tag_methods_agree(spark, sf_dir):
@@ -209,6 +263,20 @@ def test_tag_methods_agree(spark, sf_dir):
     assert a == b
 
 
+def test_repeated_codes_have_one_name(spark, monkeypatch):
+    from placeflow.operators import lookup
+
+    df = spark.createDataFrame([("a",), ("b",)], "code string")
+    rows = [("a", "first"), ("a", "last"), ("b", "only")]
+    for limit in (10_000, 0):
+        monkeypatch.setattr(lookup, "MAX_LITERAL_ROWS", limit)
+        assert sorted(r.n for r in lookup.lookup_name(df, "code", rows, "n").collect()) == ["last", "only"]
+    table = spark.createDataFrame(rows, dims.CODE_SCHEMA)
+    assert sorted(r.n for r in lookup.lookup_name(df, "code", table, "n").collect()) == ["last", "only"]
+    assert [r.n for r in lookup.lookup_name(df, "code", [], "n").collect()] == ["a", "b"]
+    assert dims.dim_city(spark, []).count() == 0
+
+
 def test_large_code_table_falls_back_to_join(spark):
     from placeflow.operators import lookup
 
