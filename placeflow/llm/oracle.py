@@ -2,4 +2,85 @@
 
 from __future__ import annotations
 
+from placeflow.llm import chat, quality_rules
+
 ORACLE: dict[str, str] = {}
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _chat_sql() -> str:
+    """The digests from the rows; lengths from the template's control strings."""
+    t = chat.TEMPLATE
+    special = set("\\.[]{}()*+?^$|/")
+    pattern = "|".join(m[0].replace("[", r"\[") + r"\\*" + "".join("\\" + c if c in special else c for c in m[1:]) for m in t.marks)
+    escaped = lambda x: f"(length({x}) + len(regexp_extract_all({x}, {_q(pattern)})))"
+    known = ", ".join(_q(r) for r in t.roles)
+    size = "CASE role " + " ".join(f"WHEN {_q(n)} THEN {len(r.before) + len(r.after)}" for n, r in t.roles.items())
+    size += f" ELSE {len(t.other.before) + len(t.other.after) + len(t.name_end)} + {escaped('role')} END"
+    allowed = " OR ".join(f"(role = {_q(n)} AND state IN ({', '.join(map(_q, r.follows))}))" for n, r in t.roles.items())
+    loss = ", ".join(_q(n) for n, r in t.roles.items() if r.loss)
+    check = "'</s>[INST] ok [/INST]'"
+    return f"""WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {check} UNION ALL SELECT -1, 1, 'assistant', {check}),
+placed AS (SELECT *, row_number() OVER w - 1 AS place, lag(role) OVER w AS last FROM rows
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+states AS (SELECT *, CASE WHEN place = 0 THEN '' WHEN last IN ({known}) THEN last END AS state FROM placed)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role IN ({loss})), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role IN ({loss})), '')) AS loss_sha256,
+  CAST({len(t.begin) + len(t.end)} + sum({size} + {escaped('text')}) AS BIGINT) AS formatted_chars,
+  bool_and(coalesce({allowed}, false)) AS valid,
+  min(place) FILTER (WHERE NOT coalesce({allowed}, false)) AS bad_turn
+FROM states GROUP BY conv_id"""
+
+
+def _rules_sql(min_share=0.01, max_char=0.3, max_word=0.3, min_chars=200, min_words=100, min_reference=10_000) -> str:
+    space = r"[\x20\x09-\x0D]"
+    names = [*quality_rules.CLASSES, "other"]
+    left, steps = "text", []
+    for name, pattern in quality_rules.CLASSES.items():
+        steps.append((f"length({left})", name))
+        left = f"regexp_replace({left}, '{pattern}+', '', 'g')"
+    sizes = [s for s, _ in steps] + [f"length({left})"]
+    counts = ", ".join(f"CAST({a} - {b} AS BIGINT) AS c_{n}" for n, a, b in zip(names, sizes, sizes[1:])) + f", CAST({sizes[-1]} AS BIGINT) AS c_other"
+    term = lambda p, q: (f"(CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END"
+                         f" + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({q} + {p})) ELSE 0 END)")
+    n_chars = " + ".join(f"d.c_{n}" for n in names)
+    r_chars = " + ".join(f"r.c_{n}" for n in names)
+    char_js = " + ".join(term(f"(d.c_{n} / nullif({n_chars}, 0))", f"(r.c_{n} / nullif({r_chars}, 0))") for n in names)
+    return f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang FROM documents),
+split AS MATERIALIZED (SELECT *, regexp_extract_all(text, '[^{space[1:]}+') AS words,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^{space[1:]}')) AS lines, {counts} FROM docs),
+windows AS (SELECT rid, i, words[i:i + 4] AS w FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM split)),
+twice AS (SELECT rid, unnest(range(i, i + 5)) AS p FROM (
+  SELECT *, count(*) OVER (PARTITION BY rid, w) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT rid, count(DISTINCT p) AS n FROM twice GROUP BY rid),
+word_rows AS MATERIALIZED (SELECT rid, lang, unnest(words) AS word FROM split),
+word_counts AS (SELECT lang AS ref, word, count(*) AS n FROM word_rows GROUP BY ALL
+  UNION ALL SELECT '*', word, count(*) FROM word_rows GROUP BY ALL),
+totals AS (SELECT ref, sum(n) AS total FROM word_counts GROUP BY ref HAVING sum(n) >= {min_reference} OR ref = '*'),
+common AS MATERIALIZED (SELECT w.ref, w.word, w.n, t.total FROM word_counts w JOIN totals t USING (ref) WHERE w.n >= t.total * {min_share}),
+per_lang AS (SELECT lang AS ref, {', '.join(f'sum(c_{n}) AS c_{n}' for n in names)} FROM split GROUP BY lang),
+ref_chars AS (SELECT * FROM per_lang UNION ALL SELECT '*', {', '.join(f'sum(c_{n})' for n in names)} FROM per_lang),
+d AS MATERIALIZED (SELECT s.*, CASE WHEN lang IN (SELECT ref FROM totals WHERE ref <> '*') THEN lang ELSE '*' END AS ref FROM split s),
+own AS MATERIALIZED (SELECT rid, word, count(*) AS k FROM word_rows WHERE word IN (SELECT word FROM common) GROUP BY ALL),
+hits AS (SELECT d.rid, c.word, c.n, c.total, len(d.words) AS size, coalesce(x.k, 0) AS k
+  FROM d JOIN common c USING (ref) LEFT JOIN own x ON x.rid = d.rid AND x.word = c.word WHERE len(d.words) >= {min_words}),
+shares AS (SELECT rid, k / size AS p, n / total AS q FROM hits
+  UNION ALL SELECT rid, (any_value(size) - sum(k)) / any_value(size), (any_value(total) - sum(n)) / any_value(total) FROM hits GROUP BY rid),
+word_js AS (SELECT rid, round(sqrt(greatest(sum({term('p', 'q')}) / 2, 0)), 4) AS js FROM shares GROUP BY rid),
+base AS (SELECT d.rid, d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, {n_chars} - d.c_space AS word_chars, d.c_symbol AS n_symbols,
+  CAST(len(d.lines) - len(list_distinct(d.lines)) AS BIGINT) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words,
+  CASE WHEN {n_chars} >= {min_chars} THEN round(sqrt(greatest(({char_js}) / 2, 0)), 4) END AS char_distance, w.js AS word_distance
+  FROM d JOIN ref_chars r USING (ref) LEFT JOIN covered v USING (rid) LEFT JOIN word_js w USING (rid)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT * EXCLUDE (rid), NOT base_failed AND coalesce(char_distance, 0) <= {max_char} AND coalesce(word_distance, 0) <= {max_word} AS kept
+FROM judged"""
+
+
+ORACLE["op9_chat_format"] = _chat_sql()
+ORACLE["op4_quality_rules"] = _rules_sql()
