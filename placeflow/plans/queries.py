@@ -490,5 +490,4 @@ FLAGSHIP = "merge_fragments"
 def page_kinds(spark, sf_dir):
     """The listing page classifier over the driver's raw web pages, whole."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html")
-    tables = F.size(F.regexp_extract_all(F.coalesce(F.col("html"), F.lit("")), F.lit(ls.TABLE_RE), 1))
-    return ls.classify_pages(pages).select("page_id", tables.cast("bigint").alias("n_tables"), "kind")
+    return ls.classify_pages(pages).select("page_id", "n_tables", "kind")

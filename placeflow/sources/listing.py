@@ -1,10 +1,11 @@
 """Captured listing pages -> merchant rows, and where paging stops.
 
-Extraction is builtin regex work in the JVM: tables, rows and cells are pulled
-with ``regexp_extract_all``; the target is the first table with at least five
-columns whose first cell holds the header word; its first row is the header,
-repeated header rows are dropped, cells 0-3 are kept by position. Only entity
-decoding of cell text runs in Python (one Arrow batch at a time).
+A streaming HTML parser reads each page once, in Arrow batches: tables may be
+nested, end tags of cells and rows may be missing, colspan and rowspan repeat a
+cell. Leading rows of ``<th>`` cells (or a ``<thead>``) are a table's column
+header, not data. The target is the first table with at least five columns
+whose first data cell holds the header word; that row is the header, repeated
+header rows are dropped, cells 0-3 are kept by position.
 
 Paging stops (per batch, pages in order): before the first page that carries
 the "no data" marker, and at the third consecutive page that has tables but
@@ -15,12 +16,12 @@ table at all - neither add nor reset). This runs on a narrow per-page table
 
 from __future__ import annotations
 
-import html as _html
+import re
 from collections.abc import Sequence
+from html.parser import HTMLParser
 
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -37,6 +38,7 @@ MIN_COLUMNS = 5
 EMPTY_PAGES_TO_STOP = 3
 CELL_FIELDS = ["name", "industry_text", "phone", "address"]
 
+# the plain forms of this markup, for the SQL checks
 TABLE_RE = r"(?is)<table[^>]*>(.*?)</table>"
 ROW_RE = r"(?is)<tr[^>]*>(.*?)</tr>"
 CELL_RE = r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"
@@ -46,70 +48,146 @@ WS_RUN_RE = r"[\r\n]+|\s{2,}"
 TRIM_RE = "^" + PY_WHITESPACE + "+|" + PY_WHITESPACE + "+$"
 
 
-@arrow_udf(T.StringType())
-def _unescape(v: pa.Array) -> pa.Array:
-    if len(v) == 0 or not pc.any(pc.match_substring(v, "&")).as_py():
-        return v
-    return pa.array([None if s is None else (_html.unescape(s) if "&" in s else s) for s in v.to_pylist()], type=pa.string())
-
-
-def _cells(row: Column) -> Column:
-    return F.regexp_extract_all(row, F.lit(CELL_RE), 1)
-
-
-def _rows(table: Column) -> Column:
-    return F.regexp_extract_all(table, F.lit(ROW_RE), 1)
-
-
-def cell_text(raw: Column) -> Column:
-    """Cell markup -> text: tags dropped, entities decoded, whitespace runs folded, trimmed."""
-    t = _unescape(F.regexp_replace(raw, TAG_RE, ""))
-    t = F.regexp_replace(t, WS_RUN_RE, " ")
-    return F.regexp_replace(t, TRIM_RE, "")
-
-
-def _first_cell_plain(table: Column) -> Column:
-    first = F.get(_cells(F.get(_rows(table), 0)), 0)
-    return F.regexp_replace(first, TAG_RE, "")
-
-
-def _n_columns(table: Column) -> Column:
-    return F.aggregate(F.transform(_rows(table), lambda r: F.size(_cells(r))), F.lit(0), lambda a, b: F.greatest(a, b))
-
-
-def target_table(html: Column) -> Column:
-    tables = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(TABLE_RE), 1)
-    # the cheap header-word test first: And short-circuits, so columns are counted only for candidates
-    hits = F.filter(tables, lambda t: F.contains(_first_cell_plain(t), F.lit(HEADER_WORD)) & (_n_columns(t) >= MIN_COLUMNS))
-    return F.get(hits, 0)
+MAX_SPAN = 1000  # a span beyond this is a mistake in the markup, as browsers treat it
+
+
+class _Table:
+    def __init__(self):
+        self.rows: list[tuple[bool, list]] = []  # (in thead, cells: [tag, text parts, colspan, rowspan])
+        self.cell = None
+        self.in_head = False
+
+    def open_row(self):
+        self.cell = None
+        self.rows.append((self.in_head, []))
+
+    def open_cell(self, tag, attrs):
+        if not self.rows:
+            self.open_row()
+        spans = [attrs.get(k) or "1" for k in ("colspan", "rowspan")]
+        self.cell = [tag, [], *(min(MAX_SPAN, max(1, int(x))) if x.strip().isdigit() else 1 for x in spans)]
+        self.rows[-1][1].append(self.cell)
+
+    def data(self) -> list[list[str]]:
+        """Cell texts of the data rows, spans filled in."""
+        rows = [(head, cells) for head, cells in self.rows if cells]
+        first = 0
+        while first < len(rows) and (rows[first][0] or all(c[0] == "th" for c in rows[first][1])):
+            first += 1
+        out, below = [], {}  # below: column -> (text, rows still covered)
+        for _, cells in rows[first:]:
+            line, todo, next_below = [], list(cells), {}
+            while todo or any(c >= len(line) for c in below):
+                if len(line) in below:
+                    text, left = below[len(line)]
+                    if left > 1:
+                        next_below[len(line)] = (text, left - 1)
+                    line.append(text)
+                elif todo:
+                    tag, parts, width, height = todo.pop(0)
+                    text = cell_text("".join(parts))
+                    for _ in range(width):
+                        if height > 1:
+                            next_below[len(line)] = (text, height - 1)
+                        line.append(text)
+                else:
+                    line.append("")
+            out.append(line)
+            below = next_below
+        return out
+
+
+class _Tables(HTMLParser):
+    """All tables of a page, in the order they open."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: list[_Table] = []
+        self.open: list[_Table] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            table = _Table()
+            self.found.append(table)
+            self.open.append(table)
+        elif self.open:
+            table = self.open[-1]
+            if tag in ("thead", "tbody", "tfoot"):
+                table.cell, table.in_head = None, tag == "thead"
+            elif tag == "tr":
+                table.open_row()
+            elif tag in ("td", "th"):
+                table.open_cell(tag, dict(attrs))
+
+    def handle_endtag(self, tag):
+        if not self.open:
+            return
+        if tag == "table":
+            self.open.pop()
+        elif tag in ("td", "th", "tr", "thead", "tbody", "tfoot"):
+            self.open[-1].cell = None
+            if tag == "thead":
+                self.open[-1].in_head = False
+
+    def handle_data(self, data):
+        for table in self.open:  # the text of a nested table is text of the cell around it too
+            if table.cell is not None:
+                table.cell[1].append(data)
+
+
+def cell_text(text: str) -> str:
+    """Whitespace runs folded, trimmed."""
+    return re.sub(WS_RUN_RE, " ", text).strip()
+
+
+def page_tables(html: str) -> list[list[list[str]]]:
+    """The data rows of every table of a page."""
+    parser = _Tables()
+    parser.feed(html)
+    parser.close()
+    return [t.data() for t in parser.found]
+
+
+def target_rows(tables: list[list[list[str]]]) -> list[list[str | None]] | None:
+    """Cells 0-3 of the target table's rows, the header row first; None without a target."""
+    for rows in tables:
+        if rows and rows[0] and max(map(len, rows)) >= MIN_COLUMNS and HEADER_WORD in rows[0][0]:
+            return [[*r, *[None] * len(CELL_FIELDS)][:len(CELL_FIELDS)] for r in rows]
+    return None
+
+
+@arrow_udf(T.StructType([T.StructField("n_tables", T.LongType()), T.StructField("target", T.ArrayType(T.ArrayType(T.StringType())))]))
+def _parsed(pages: pa.Array) -> pa.Array:
+    out = []
+    for html in pages.to_pylist():
+        tables = page_tables(html) if html and "<" in html else []
+        out.append({"n_tables": len(tables), "target": target_rows(tables)})
+    return pa.array(out, type=pa.struct([("n_tables", pa.int64()), ("target", pa.list_(pa.list_(pa.string())))]))
 
 
 def classify_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add ``kind``: marker / failed / target / empty (and the target table text)."""
+    """Add ``kind`` (marker / failed / target / empty), ``n_tables`` and ``_target`` (the cells)."""
     h = F.col(html)
     marker = F.lit(False)
     for m in NO_DATA_MARKERS:
         marker = marker | F.contains(h, F.lit(m))
-    has_table = F.lower(h).contains("<table")
+    parsed = pages.withColumn("_page", _parsed(h))
     kind = (
         F.when(h.isNull(), "failed")
         .when(marker, "marker")
-        .when(~has_table, "failed")
-        .when(F.col("_target").isNotNull(), "target")
+        .when(F.col("_page.n_tables") == 0, "failed")
+        .when(F.col("_page.target").isNotNull(), "target")
         .otherwise("empty")
     )
-    # the target table is found once per page and referenced, never re-derived
-    return pages.withColumn("_target", target_table(h)).withColumn("kind", kind)
+    return parsed.withColumns({"n_tables": F.col("_page.n_tables"), "_target": F.col("_page.target"), "kind": kind}).drop("_page")
 
 
 def extract_rows(classified: DataFrame, keep: Sequence[str] = (*BATCH, "page_no")) -> DataFrame:
-    """Rows of each target table: header row dropped, repeated headers skipped, cells 0-3 trimmed."""
-    rows = classified.filter(F.col("kind") == "target").select(
-        *keep, F.posexplode(F.slice(_rows(F.col("_target")), F.lit(2), F.greatest(F.size(_rows(F.col("_target"))) - 1, F.lit(0)))).alias("row_no", "_tr")
-    )
-    cells = rows.withColumn("_c", _cells(F.col("_tr")))
-    texts = [cell_text(F.get(F.col("_c"), i)).alias(name) for i, name in enumerate(CELL_FIELDS)]
-    out = cells.select(*keep, F.col("row_no").cast("bigint").alias("row_no"), *texts)
+    """Rows of each target table: header row dropped, repeated headers skipped."""
+    after = F.slice("_target", F.lit(2), F.greatest(F.size("_target") - 1, F.lit(0)))
+    rows = classified.filter(F.col("kind") == "target").select(*keep, F.posexplode(after).alias("row_no", "_c"))
+    texts = [F.get("_c", i).alias(name) for i, name in enumerate(CELL_FIELDS)]
+    out = rows.select(*keep, F.col("row_no").cast("bigint").alias("row_no"), *texts)
     return out.filter(F.col("name").isNull() | (F.col("name") != HEADER_WORD))
 
 
@@ -150,7 +228,7 @@ def page_cap(page_rows: DataFrame, max_limit: int, batch_cols: Sequence[str] = B
 
 
 def classified_pages(pages: DataFrame, materialize_pages: bool = True) -> DataFrame:
-    """Narrow classified pages (codes, page_no, kind, target table; no page HTML),
+    """Narrow classified pages (codes, page_no, kind, target cells; no page HTML),
     materialised once because the stop rule and the extraction both read them."""
     classified = classify_pages(pages).select(*BATCH, "page_no", "kind", "_target")
     if materialize_pages:
@@ -165,7 +243,7 @@ def listing_merchants(pages: DataFrame, materialize_pages: bool = True, max_rows
 
     The classified pages feed both the stop rule and the extraction; they are
     materialised once in narrow form (codes, page_no, kind, target table - the
-    page HTML is dropped) so the regex work runs once per page.
+    page HTML is dropped) so each page is parsed once.
     """
     classified = classified_pages(pages, materialize_pages)
     kept = page_cutoff(classified).filter("kept").select(*BATCH, "page_no")

@@ -31,6 +31,10 @@ def test_read_legacy_fragments_and_merge(spark):
     merged = {(r.name, r.phone): (r.id, r.district) for r in merge.merge_final(frags).collect()}
     # first wins in (file_name, row_index) order: 103 sorts before 111
     assert merged == {("A", "p1"): ("9", "大同區"), ("B", "p2"): ("2", "士林區")}
+    report = fragments.read_report(spark, root, frags)
+    assert {r.file_name: r.status for r in report.collect()} == {
+        "final_001_111_0009.parquet": "ok", "final_001_103_0008.parquet": "ok", "final_data.parquet": "ok", "final_broken.parquet": "skipped"}
+    assert fragments.whole_files(frags, report).count() == frags.count()
     counts = {r.file_name: r.n_rows for r in merge.fragment_counts(frags).collect()}
     assert counts["final_001_111_0009.parquet"] == 2
 
