@@ -232,6 +232,29 @@ ORACLE["synonym_tags"] = f"""WITH {MERCHANT_CLEAN_CTES}, {SYN_CTES},
 tagged AS ({tags_sql('merchant_clean', 'seq', 'name')})
 SELECT t.seq, m.name, t.hidden_tags FROM tagged t JOIN merchant_clean m USING (seq)"""
 
+# Best-window similarity in SQL: every window of the longer text against the shorter one; the
+# longest common subsequence by the bit-vector recurrence, one character of the window a step.
+ORACLE["synonym_tags_fuzzy"] = f"""WITH RECURSIVE {MERCHANT_CLEAN_CTES}, {SYN_CTES},
+names AS (SELECT DISTINCT lower(name) AS n FROM merchant_clean WHERE lower(name) <> ''),
+pairs AS (SELECT n, tag, CASE WHEN length(n) <= length(alias_text) THEN n ELSE alias_text END AS s,
+    CASE WHEN length(n) <= length(alias_text) THEN alias_text ELSE n END AS t FROM names, syn
+  UNION ALL SELECT n, tag, alias_text, n FROM names, syn WHERE length(n) = length(alias_text)),
+spans AS (SELECT *, unnest(range(2 - length(s), length(t) + 1)) AS a FROM pairs),
+windows AS MATERIALIZED (SELECT row_number() OVER () AS id, n, tag, s, CAST(length(s) AS INT) AS m,
+    substr(t, greatest(a, 1), least(a + length(s) - 1, length(t)) - greatest(a, 1) + 1) AS w FROM spans),
+masks AS MATERIALIZED (SELECT id, k, m, coalesce(list_sum(list_transform(range(1, m + 1),
+    lambda i: CASE WHEN substr(s, i, 1) = substr(w, k, 1) THEN CAST(1 AS BIGINT) << (i - 1) ELSE 0 END)), 0) AS mask
+  FROM (SELECT *, unnest(range(1, CAST(length(w) AS INT) + 1)) AS k FROM windows)),
+steps(id, k, v) AS (SELECT id, CAST(0 AS BIGINT), (CAST(1 AS BIGINT) << m) - 1 FROM windows
+  UNION ALL SELECT p.id, x.k, ((p.v + (p.v & CAST(x.mask AS BIGINT))) | (p.v - (p.v & CAST(x.mask AS BIGINT)))) & ((CAST(1 AS BIGINT) << x.m) - 1)
+  FROM steps p JOIN masks x ON x.id = p.id AND x.k = p.k + 1),
+scored AS (SELECT n, tag, max(200.0 * (m - bit_count(v)) / (m + length(w))) AS score
+  FROM windows x JOIN steps p ON p.id = x.id AND p.k = length(x.w) GROUP BY n, tag),
+hits AS (SELECT n, tag FROM scored WHERE score >= 80
+  UNION SELECT n, a.tag FROM names, alias a WHERE a.alias <> '' AND contains(n, a.alias)),
+tagged AS (SELECT n, string_agg(tag, ',' ORDER BY tag) AS tags FROM hits GROUP BY n)
+SELECT m.seq, m.name, coalesce(t.tags, '') AS hidden_tags FROM merchant_clean m LEFT JOIN tagged t ON t.n = lower(m.name)"""
+
 ORACLE["document_tags"] = f"""WITH {SYN_CTES}
 {tags_sql('documents', 'doc_id', 'text')}"""
 
