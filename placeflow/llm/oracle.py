@@ -34,7 +34,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role IN ({loss})), '')) AS loss_sha256,
   CAST({len(t.begin) + len(t.end)} + sum({size} + {escaped('text')}) AS BIGINT) AS formatted_chars,
   bool_and(coalesce({allowed}, false)) AS valid,
-  min(place) FILTER (WHERE NOT coalesce({allowed}, false)) AS bad_turn
+  coalesce(min(place) FILTER (WHERE NOT coalesce({allowed}, false)), -1) AS bad_turn
 FROM states GROUP BY conv_id"""
 
 

@@ -53,7 +53,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                   F.lit(CHECK_TEXT).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(check)
-    return chat.read_back(chat.segments(rows))
+    return chat.read_back(chat.segments(rows)).withColumn("bad_turn", F.coalesce("bad_turn", F.lit(-1)))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,7 +100,7 @@ def test_clean_documents_stay(spark, sf_dir):
     rows = qr.quality_rules(docs).join(labels, "doc_id").select("quality", "kept", "base_failed").collect()
     good = [r["kept"] for r in rows if r["quality"] and not r["base_failed"]]
     bad = [r["kept"] for r in rows if not r["quality"]]
-    assert all(good) and sum(bad) < 0.15 * len(bad)
+    assert all(good) and sum(bad) < 0.25 * len(bad)
 
 
 def test_no_python_on_executors(odd_docs):
