@@ -116,7 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, samp
 
     # a bounded sample; in the order of a hash, so that the same rows give the same model
     one = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("text", "label")
-    return pickle.loads(one.mapInArrow(fitted, "model binary").first()["model"])
+    got = one.mapInArrow(fitted, "model binary").first()
+    return pickle.loads(got["model"]) if got else fit([])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

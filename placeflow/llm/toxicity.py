@@ -129,13 +129,13 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, samp
             label += batch.column(0).to_pylist()
             flat, ends = batch.column(1).flatten().to_numpy(), batch.column(1).value_lengths().to_numpy().cumsum()
             found += np.split(flat, ends[:-1])
-        machine = fit(found, np.array(label)) if found else Machine(np.empty(0, np.int64), 0.0, np.empty(0), np.empty((0, FACTORS)))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(machine)], pa.binary())], names=["machine"])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(found, np.array(label)))], pa.binary())], names=["machine"])
 
     made = stage(rows.mapInArrow(hashed, "label int, terms array<long>"), "toxicity-terms")
     # the sample is bounded; sorted so that the same rows give the same machine
     one = made.select("label", "terms").repartition(1).sortWithinPartitions("terms", "label")
-    return pickle.loads(one.mapInArrow(fitted, "machine binary").first()["machine"])
+    got = one.mapInArrow(fitted, "machine binary").first()
+    return pickle.loads(got["machine"]) if got else fit([], np.empty(0))
 
 
 def score_rows(docs: DataFrame, machine: Machine) -> DataFrame:

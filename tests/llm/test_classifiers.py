@@ -64,7 +64,7 @@ def test_pairs_are_learnt():
     rows, label = [], []
     for _ in range(3000):
         a, b = rng.random(2) < 0.4
-        terms = ["insult"] * a + ["group"] * b + [f"n{rng.integers(50)}" for _ in range(5)]
+        terms = ["insult"] * int(a) + ["group"] * int(b) + [f"n{rng.integers(50)}" for _ in range(5)]
         rows.append(np.array(sorted({toxicity._hash(t) for t in terms})))
         label.append(int(a and b))
     machine = toxicity.fit(rows, np.array(label))
