@@ -12,6 +12,8 @@ from placeflow.session import scratch_dir
 
 # most rows a table may have to be marked for broadcast (narrow rows: under 20 MB)
 MAX_BROADCAST_ROWS = 400_000
+# most array elements, where a row holds an array of numbers or pairs of them
+MAX_BROADCAST_ELEMENTS = 1_500_000
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -47,11 +49,11 @@ def in_chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
                  weight: Column | None = None) -> DataFrame:
-    """Join with a staged ``right`` side, broadcast only when its counted rows (or the sum of
-    ``weight``, where a row holds an array) are within MAX_BROADCAST_ROWS; larger tables take
+    """Join with a staged ``right`` side, broadcast only when its counted rows (and the sum of
+    ``weight``, where a row holds an array) are within the bounds above; larger tables take
     Spark's shuffled join."""
-    size = right.agg(F.coalesce(F.sum(weight), F.lit(0)) if weight is not None else F.count("*")).first()[0]
-    small = size <= MAX_BROADCAST_ROWS
+    rows, elements = right.agg(F.count("*"), F.coalesce(F.sum(weight if weight is not None else F.lit(0)), F.lit(0))).first()
+    small = rows <= MAX_BROADCAST_ROWS and elements <= MAX_BROADCAST_ELEMENTS
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
@@ -97,7 +99,8 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
     ones among (x, y) pairs of ids. No link is lost and no large bucket is paired up whole:
 
     * buckets of up to ``small`` members give all their pairs;
-    * in larger ones every member is compared with a few pivots of its bucket. A bucket whose
+    * in larger ones every member is compared with a few pivots of its bucket (chosen by a hash
+      of ``f``, so buckets with the same members have the same pivots). A bucket whose
       members are then all in one component is done; in any other the members outside its
       largest component are compared with the members of other components.
     """
@@ -119,7 +122,7 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
     many = members.where(F.col("n") > small).select("b", "m")
     has_many = not many.isEmpty()
     if has_many:
-        picks = many.groupBy("b").agg(*[F.min(F.struct(F.xxhash64("m.id", F.lit(r)), "m"))["m"].alias(f"p{r}")
+        picks = many.groupBy("b").agg(*[F.min(F.struct(F.xxhash64("m.f", F.lit(r)), "m"))["m"].alias(f"p{r}")
                                         for r in range(PIVOTS)])
         picks = stage(picks.select("b", F.explode(F.array_distinct(F.array(*[f"p{r}" for r in range(PIVOTS)]))).alias("y")),
                       f"{name}-pivots")
