@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from placeflow.session import scratch_dir
 
-# most rows a table may have to be marked for broadcast (narrow rows: under 20 MB)
+# most rows a table may have to be marked for broadcast (narrow rows: under 60 MB)
 MAX_BROADCAST_ROWS = 400_000
 # most array elements, where a row holds an array of numbers or pairs of them
 MAX_BROADCAST_ELEMENTS = 1_500_000
