@@ -14,6 +14,15 @@ def sentence(rng, n, vocab=2000):
     return " ".join(f"w{rng.randrange(vocab)}" for _ in range(n))
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """The tables here are tiny; many tasks would only cost time."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 @pytest.fixture(scope="session")
 def odd_rows():
     """Rows with nulls in every column, empty and very long texts, ties and repeats."""
