@@ -91,12 +91,13 @@ PIVOTS = 2
 
 
 def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Column, Column], Column], name: str,
-                 verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, small: int = 32) -> DataFrame:
+                 verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, small: int = 32, by: str = "id") -> DataFrame:
     """(node, root) of the graph that links rows sharing a bucket when they are near.
 
     ``keyed`` has ``b`` (bucket) and ``id`` (longs); ``attrs`` gives every ``id`` its ``f``
     (None: the id itself); ``close`` decides a pair by its ``f``; ``verify`` keeps the true
-    ones among (x, y) pairs of ids. No link is lost and no large bucket is paired up whole:
+    ones among (x, y) pairs of ids. With ``by="f"`` the nodes are the ``f`` (longs), and
+    ``verify`` returns pairs of them. No link is lost and no large bucket is paired up whole:
 
     * buckets of up to ``small`` members give all their pairs;
     * in larger ones every member is compared with a few pivots of its bucket (chosen by a hash
@@ -127,11 +128,11 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
         picks = stage(picks.select("b", F.explode(F.array_distinct(F.array(*[f"p{r}" for r in range(PIVOTS)]))).alias("y")),
                       f"{name}-pivots")
         found = found.unionByName(near(join_checked(many.withColumnRenamed("m", "x"), picks, ["b"])))
-    links = stage(verify(stage(found.distinct(), f"{name}-close")), f"{name}-links")
+    links = stage(verify(stage(found.distinct(), f"{name}-close")).distinct(), f"{name}-links")
     roots = stage(components(links.toDF("a", "b"), f"{name}-cc"), f"{name}-roots")
     if not has_many:
         return roots
-    named = stage(many.select("b", "m", F.col("m.id").alias("node")).join(roots, "node", "left")
+    named = stage(many.select("b", "m", F.col(f"m.{by}").alias("node")).join(roots, "node", "left")
                   .select("b", "m", F.coalesce("root", "node").alias("root")), f"{name}-named")
     per = named.groupBy("b", "root").agg(F.count("*").alias("c"))
     main = per.groupBy("b").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.count("*").alias("k")).where("k > 1")
@@ -141,7 +142,7 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
     still = stage(join_checked(named, main, ["b"]), f"{name}-still")
     rest = still.where("root <> main").select("b", F.col("m").alias("x"), F.col("root").alias("own"))
     cross = rest.join(still.select("b", F.col("m").alias("y"), "root"), "b").where("own <> root").select("x", "y")
-    more = stage(verify(stage(near(cross).distinct(), f"{name}-close")), f"{name}-links")
+    more = stage(verify(stage(near(cross).distinct(), f"{name}-close")).distinct(), f"{name}-links")
     return stage(components(links.unionByName(more).toDF("a", "b"), f"{name}-cc"), f"{name}-roots")
 
 
