@@ -94,8 +94,8 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
                  verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, small: int = 32, by: str = "id") -> DataFrame:
     """(node, root) of the graph that links rows sharing a bucket when they are near.
 
-    ``keyed`` has ``b`` (bucket) and ``id`` (longs); ``attrs`` gives every ``id`` its ``f``
-    (None: the id itself); ``close`` decides a pair by its ``f``; ``verify`` keeps the true
+    ``keyed`` has ``b`` (bucket) and ``id`` (longs), and may have ``f``; else ``attrs`` gives
+    every ``id`` its ``f`` (None: the id itself); ``close`` decides a pair by its ``f``; ``verify`` keeps the true
     ones among (x, y) pairs of ids. With ``by="f"`` the nodes are the ``f`` (longs), and
     ``verify`` returns pairs of them. No link is lost and no large bucket is paired up whole:
 
@@ -107,19 +107,24 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
     """
     size = stage(keyed.groupBy("b").agg(F.count("*").alias("n"), F.min("id").alias("x"), F.max("id").alias("y"))
                  .where("n > 1"), f"{name}-buckets")
-    wide = stage(size.where("n > 2").select("b", "n"), f"{name}-wide")
-    members = _with_f(join_checked(keyed, wide, ["b"]).select("b", "n", "id"), attrs, ["id"], name)
-    members = stage(members.select("b", "n", F.col("id").alias("m")), f"{name}-members")
+    carried = "f" in keyed.columns
+    wide = stage(size.where("n > 1" if carried else "n > 2").select("b", "n"), f"{name}-wide")
+    members = join_checked(keyed, wide, ["b"])
+    if carried:
+        members = members.select("b", "n", F.struct("id", "f").alias("m"))
+    else:
+        members = _with_f(members.select("b", "n", "id"), attrs, ["id"], name).select("b", "n", F.col("id").alias("m"))
+    members = stage(members, f"{name}-members")
 
     def near(pairs):  # (x, y) structs of id and f
         return (pairs.where((F.col("x.id") != F.col("y.id")) & close(F.col("x.f"), F.col("y.f")))
                 .select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")))
 
-    twos = near(_with_f(size.where("n = 2").select("x", "y").distinct(), attrs, ["x", "y"], name))
     few = members.where(F.col("n") <= small).select("b", "m")
-    found = twos.unionByName(
-        near(few.select("b", F.col("m").alias("x")).join(few.select("b", F.col("m").alias("y")), "b")
-             .where("x.id < y.id").select("x", "y")))
+    found = near(few.select("b", F.col("m").alias("x")).join(few.select("b", F.col("m").alias("y")), "b")
+                 .where("x.id < y.id").select("x", "y"))
+    if not carried:  # the two members are known already
+        found = found.unionByName(near(_with_f(size.where("n = 2").select("x", "y").distinct(), attrs, ["x", "y"], name)))
     many = members.where(F.col("n") > small).select("b", "m")
     has_many = not many.isEmpty()
     if has_many:
