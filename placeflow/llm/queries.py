@@ -32,7 +32,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("other")
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), radius=None).drop("other")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
