@@ -6,7 +6,8 @@ benchmark items are joined with those at every position of the documents; each h
 alignment of document and item, and along it every stretch of ``overlap`` tokens (the whole
 item if shorter) is compared: a document is contaminated by an item when some stretch has at
 least ``similarity`` of its tokens equal. The two masks meet every stretch of 13 tokens with
-up to two substitutions, so at the default parameters no such stretch is missed.
+up to two substitutions, and with the two of ``SHORT`` also every item of 10 to 12 tokens with
+two and of 9 tokens with one, so at the default parameters nothing is missed.
 
 Tokens are runs of letters and digits, lower-cased. Only document tokens that the benchmark
 has too can match, so documents are mapped to the benchmark's vocabulary; its index goes to
@@ -34,6 +35,8 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from placeflow.llm.common import in_chunks, stage, texts
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
+WHOLE = 13  # tokens from which on the masks above meet every stretch with two substitutions
+SHORT = ((0, 1, 3, 4, 5), (0, 1, 2, 5, 6))  # for items of fewer tokens, beside the others
 TOKEN = re.compile(r"[^\W_]+")
 CHUNK = 1 << 20  # document characters compared at once
 PAIRS = 1 << 20  # hits expanded at once
@@ -71,11 +74,16 @@ class Index:
         self.items = [np.array(ids, np.int64) for ids in owners]
         self.owners = list(owners.values())
         span = max(m[-1] for m in MASKS) + 1
-        self.seeds = list(MASKS) + [tuple(range(n)) for n in sorted({len(x) for x in self.items if len(x) < span})]
+        # (mask, least and most tokens of the items it is for)
+        made = [(m, span, None) for m in MASKS]
+        if any(span <= len(x) < WHOLE for x in self.items):
+            made += [(m, span, WHOLE - 1) for m in SHORT]
+        made += [(tuple(range(n)), n, n) for n in sorted({len(x) for x in self.items if len(x) < span})]
+        self.seeds = [m for m, _, _ in made]
         keys, at = [], []
         for k, x in enumerate(self.items):
-            for s, mask in enumerate(self.seeds):
-                if len(x) >= span if s < len(MASKS) else len(x) == len(mask):
+            for s, (mask, low, high) in enumerate(made):
+                if low <= len(x) and (high is None or len(x) <= high):
                     key, _ = _key(x, mask, s)
                     keys.append(key)
                     at.append(np.stack([np.full(len(key), k), np.arange(len(key))], axis=1))

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from placeflow.llm import decontam
@@ -32,6 +33,29 @@ def test_masks_meet_every_stretch_with_two_substitutions():
         assert any(not set(wrong) & {o + a for a in m} for m in decontam.MASKS for o in range(13 - m[-1]))
 
 
+@pytest.mark.parametrize("n", [9, 10, 11, 12])
+def test_masks_meet_every_short_item(n):
+    for wrong in itertools.combinations(range(n), int(n * 0.2 + 1e-9)):
+        item = list(range(1, n + 1))
+        index = decontam.Index([(1, " ".join(map(str, item)))], 13, 0.8, 5)
+        ids = np.array([0, 0, *(0 if i in wrong else x for i, x in enumerate(item)), 0])
+        assert index.match(ids) == {0: n - len(wrong)}, wrong
+
+
+def test_short_items_equal_every_alignment(spark):
+    rng = random.Random(19)
+    items = [(i, sentence(rng, 9 + i % 4, 500)) for i in range(40)]
+    rows = []
+    for d in range(300):
+        words, t = sentence(rng, rng.randint(0, 40), 500).split(), rng.choice(items)[1].split()
+        for at in rng.sample(range(len(t)), rng.randint(0, 3)):
+            t[at] = "other"
+        at = rng.randint(0, len(words))
+        rows.append((d, " ".join(words[:at] + t + words[at:]), "en", "s", 0))
+    got = decontam.contamination(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [r["doc_id"] for r in got if set(r["items"]) != plain(rows[r["doc_id"]][1], items)] == []
+
+
 def cases():
     rng = random.Random(11)
     items = [(i, sentence(rng, rng.choice([3, 6, 8, 20, 35]), 500)) for i in range(25)]
