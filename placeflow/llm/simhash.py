@@ -48,16 +48,16 @@ def fingerprint_of(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp long): the fingerprint as a signed 64-bit number."""
+    """(doc_id, th, fp; longs): hash of the text and its fingerprint as a signed 64-bit number."""
     def run(batches):
         for batch in batches:
             ids, text = batch.column(0), batch.column(1)
             fps = np.empty(len(text), np.uint64)
             for a, b in in_chunks([1] * len(text), 64):  # few Python strings at a time
                 fps[a:b] = [fingerprint_of(t, shingle) for t in text.slice(a, b - a).to_pylist()]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([ids, batch.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "th", "fp"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return texts(docs).withColumn("th", F.xxhash64("text")).mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def masks(radius: int) -> list[int]:
@@ -79,28 +79,39 @@ def fingerprint_groups(fps: DataFrame, radius: int = 4) -> DataFrame:
     return bucket_links(keyed, None, lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= radius, "simhash")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
+def components_of(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """doc_id, th (hash of the text), fp, root (names the component) and component_id of every row."""
     marked = stage(fingerprints(docs, shingle), "simhash-fps")
     distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = fingerprint_groups(distinct.select("fp"), radius)
     classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classes.join(names, "root").select("fp", "component_id")
-    return marked.join(classes, "fp").select(
+    classes = classes.join(names, "root").select("fp", "root", "component_id")
+    return marked.join(classes, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
+    return components_of(docs, shingle, radius).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id. Rows
-    with null doc_id, which nothing names, stay; of rows with one doc_id the smallest stays."""
-    found = stage(near_duplicates(docs, shingle, radius), "simhash-found")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = join_checked(docs, stage(gone, "simhash-gone"), ["doc_id"], "left_anti")
-    twice = stage(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"),
-                  "simhash-twice")
-    if twice.isEmpty():
-        return kept
-    names = docs.columns
-    again = join_checked(kept, twice, ["doc_id"], "left_semi").groupBy("doc_id").agg(F.min(F.struct(*names)).alias("row"))
-    return join_checked(kept, twice, ["doc_id"], "left_anti").unionByName(again.select("row.*").select(*names))
+    """``docs`` with one document of each component: the one with the smallest doc_id, of rows
+    with that id the smallest. A row is known by doc_id and text, so that an id may stand for
+    texts of several components. Rows with null doc_id, which nothing names, stay."""
+    found = stage(components_of(docs, shingle, radius), "simhash-found")
+    key = ["id", "th"]
+    named = found.select(F.col("doc_id").alias("id"), "th", "root", "component_id")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").cast("long").alias("id"),
+                       F.xxhash64(F.coalesce(F.col("row.text"), F.lit(""))).alias("th"))
+    gone = stage(named.where("id <> component_id").select(*key).distinct(), "simhash-gone")
+    kept = join_checked(rows, gone, key, "left_anti")
+    first = named.where("id = component_id")
+    several = stage(first.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root"), "simhash-several")
+    if several.isEmpty():
+        return kept.select("row.*")
+    twice = stage(join_checked(first.select(*key, "root").distinct(), several, ["root"]), "simhash-twice")
+    again = join_checked(kept, twice, key).groupBy("root").agg(F.min("row").alias("row"))
+    return join_checked(kept, twice.select(*key), key, "left_anti").select("row").unionByName(again.select("row")).select("row.*")

@@ -100,3 +100,10 @@ def test_one_of_each(odd_docs, no_docs):
     assert simhash.one_of_each(no_docs).count() == 0
     only_null = odd_docs.where(F.col("doc_id").isNull())
     assert simhash.one_of_each(only_null).count() == 2
+
+
+def test_one_of_each_where_an_id_has_several_texts(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(80)) for x in "abcd")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, d), (8, d), (7, d)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, a), (5, b), (7, c), (7, d)]
