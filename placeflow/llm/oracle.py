@@ -84,3 +84,51 @@ FROM judged"""
 
 ORACLE["op9_chat_format"] = _chat_sql()
 ORACLE["op4_quality_rules"] = _rules_sql()
+
+ORACLE["op11_phrase_collocations"] = r"""WITH docs AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, (SELECT unnest(range(1, 5)) AS k))),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, n AS a FROM f WHERE k > 1 AND n >= 30),
+cuts AS (SELECT *, unnest(range(1, k)) AS c FROM cand),
+scores AS (SELECT cuts.lang, cuts.phrase, c, a, x.n AS l, y.n AS r,
+    CAST(2000000::HUGEINT * a // (x.n::HUGEINT + y.n) AS BIGINT) AS score FROM cuts
+  JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[1:c], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[c + 1:], ' ')),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_ AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, a AS longer FROM (
+  SELECT *, unnest(range(1, k - m + 2)) AS i FROM cand JOIN (SELECT unnest(range(2, 4)) AS m) ON m < k)),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100::HUGEINT * longer >= 80::HUGEINT * a)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT p.lang, rank, phrase, a, l, r, t.n, score FROM placed p JOIN totals t USING (lang) WHERE rank <= 2000"""
+
+ORACLE["op12_exact_topk"] = """WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+placed AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM placed WHERE rank <= 5"""
+
+ORACLE["op13_spelling_variants"] = """WITH RECURSIVE runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+hex AS (SELECT *, hex(encode(doc_id || ':' || run)) AS x FROM runs WHERE length(run) >= 7),
+crc AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(range(len(x) // 2),
+    lambda i: [CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END)) AS h FROM hex),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM crc),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+gaps AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.head || g.tail
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.head || g.tail),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS most, arg_min(other, (-other_n, other)) AS other FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * w.n THEN other END AS form,
+  CASE WHEN most >= 10 * w.n THEN most END AS form_n FROM words w LEFT JOIN best b USING (word)),
+steps AS (SELECT word, word AS last, 0 AS depth FROM forms
+  UNION ALL SELECT s.word, f.form, s.depth + 1 FROM steps s JOIN forms f ON f.word = s.last WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(last, depth) AS root FROM steps GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)"""

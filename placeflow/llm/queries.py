@@ -1,4 +1,4 @@
-"""The registered queries op1 .. op10 over the whole tables, with production parameters."""
+"""The registered queries op1 .. op13 over the whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from placeflow.llm import (bpe, chat, decontam, line_dedup, quality_rules, quality_zstd, simhash, substring_dedup,
-                           token_counts, toxicity)
+from placeflow.llm import (bpe, chat, collocations, decontam, line_dedup, quality_rules, quality_zstd, simhash, spelling,
+                           substring_dedup, token_counts, toxicity, vector_topk)
 from placeflow.llm.common import table
 from pyspark.sql import functions as F
 
@@ -60,7 +60,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, overlap=80, most=2000)
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), factor=10, shortest=7, every=31, least=2)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe_round_trip, op2_simhash_groups, op3_quality_classifier, op4_quality_rules,
                             op5_line_dedup, op6_substring_dedup, op7_token_counts, op8_toxicity, op9_chat_format,
-                            op10_decontamination)}
+                            op10_decontamination, op11_phrase_collocations, op12_exact_topk, op13_spelling_variants)}
