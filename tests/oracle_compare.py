@@ -7,6 +7,7 @@ import hashlib
 import math
 
 import duckdb
+import pandas as pd
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -21,7 +22,7 @@ def duck_con(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
