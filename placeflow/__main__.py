@@ -87,9 +87,9 @@ def main(argv=None) -> int:
     elif args.cmd == "merge":
         pipeline.merge_and_publish(spark, args.out)
     elif args.cmd == "export":
-        from placeflow.sources import exchange
+        from placeflow.sources import exchange, fragments
 
-        frames = {"final": spark.read.parquet(f"{args.out}/final_data"), "raw": spark.read.parquet(f"{args.out}/raw_data")}
+        frames = {name: fragments.read_published(spark, f"{args.out}/{name}_data") for name in ("final", "raw")}
         if args.cache:
             from placeflow.sources import geo_cache
 

@@ -102,10 +102,8 @@ def run(
     ``use_raw`` resumes from the saved raw table instead of the pages; ``partitions`` is the
     number of tasks that call the resolver and the model at once.
     """
-    # batch codes such as 0009 must come back from partition paths as strings
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     done = finished_batches(spark, out_root)
-    known = spark.read.parquet(f"{out_root}/raw") if use_raw else pages
+    known = fragments.read_batches(spark, f"{out_root}/raw") if use_raw else pages
     if config is not None:
         items = wi.expand_run_config(config).filter(F.col("zip_code").isNotNull()).select(*BATCH).distinct()
         known = known.join(items, BATCH, "left_semi")
@@ -128,17 +126,17 @@ def run(
             geo_cache.write_geo_cache(spark, cache_root, new_cache)
 
     # enrichment starts from the saved raw table, limited to this run's batches
-    saved = spark.read.parquet(f"{out_root}/raw").join(pending, BATCH, "left_semi")
+    saved = fragments.read_batches(spark, f"{out_root}/raw").drop("file_name", "row_index").join(pending, BATCH, "left_semi")
     asked = enrich.call_enrichment(enrich.enrichment_prompts(enrich.enrichment_batches(saved)), client_factory, partitions=partitions)
     fragments.write_batches(asked, f"{out_root}/calls")  # a batch that is run again replaces its calls
-    all_calls = spark.read.schema(CALL_COLUMNS).parquet(f"{out_root}/calls")
+    all_calls = fragments.read_batches(spark, f"{out_root}/calls", CALL_COLUMNS).drop("file_name", "row_index")
     final, _, _ = finalize_calls(saved, all_calls.join(pending, BATCH, "left_semi"))
     fragments.write_batches(final, f"{out_root}/final")
     _, rejects, ledger = finalize_calls(saved, all_calls)
     rejects.write.mode("overwrite").parquet(f"{out_root}/rejects")
     ledger.write.mode("overwrite").parquet(f"{out_root}/ledger")
 
-    batch_rows = wi.batch_row_counts(spark.read.parquet(f"{out_root}/raw"))
+    batch_rows = wi.batch_row_counts(fragments.read_batches(spark, f"{out_root}/raw"))
     return wi.attach_status(all_batches, batch_rows, finished_batches(spark, out_root))
 
 
@@ -146,7 +144,5 @@ def merge_and_publish(spark: SparkSession, out_root: str) -> DataFrame:
     """Merge all final batches (global first-wins dedupe) and the raw batches; publish both."""
     final = merge_final(fragments.read_batches(spark, f"{out_root}/final", FINAL_SCHEMA), MERGE_ORDER)
     fragments.publish(final.select(*fin.FINAL_COLUMNS), f"{out_root}/final_data")
-    raw = spark.read.parquet(f"{out_root}/raw")
-    raw = raw.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
-    fragments.publish(merge_raw(raw), f"{out_root}/raw_data")
-    return spark.read.parquet(f"{out_root}/final_data")
+    fragments.publish(merge_raw(fragments.read_batches(spark, f"{out_root}/raw")), f"{out_root}/raw_data")
+    return fragments.read_published(spark, f"{out_root}/final_data")

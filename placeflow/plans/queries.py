@@ -358,7 +358,7 @@ def merge_fragment_files(spark, sf_dir):
     fragments.write_batches(final, f"{root}/final")
     frags = fragments.read_batches(spark, f"{root}/final", pipeline.FINAL_SCHEMA)
     fragments.publish(mg.merge_final(frags, pipeline.MERGE_ORDER).select(*fin.FINAL_COLUMNS), f"{root}/final_data")
-    return spark.read.parquet(f"{root}/final_data")
+    return fragments.read_published(spark, f"{root}/final_data")
 
 
 @query

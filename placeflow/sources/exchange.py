@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.functions.text import fill_string, to_double_strict
+from placeflow.functions.text import fill_string, tab_name, to_double_strict
+from placeflow.sources import versions
 
 NUMERIC = ("lat", "lng")
 # cells keep their outer spaces, quotes and newlines both ways
@@ -21,10 +22,11 @@ def export_rows(df: DataFrame) -> DataFrame:
 
 
 def export_exchange(df: DataFrame, path: str) -> None:
-    """Replace the tab (a CSV directory) with ``df``; an empty input leaves it alone."""
+    """Replace the tab (a CSV directory) with ``df``; an empty input leaves it alone, and readers
+    keep the old tab until the new one is whole."""
     if df.isEmpty():
         return
-    export_rows(df).write.mode("overwrite").options(**CSV).csv(path)
+    versions.replace_table(export_rows(df), path, "csv", CSV)
 
 
 def export_targets(frames: dict[str, DataFrame], root: str) -> None:
@@ -33,11 +35,27 @@ def export_targets(frames: dict[str, DataFrame], root: str) -> None:
         export_exchange(df, f"{root}/{name}")
 
 
+def fragment_tabs(frags: DataFrame, limit: int = 50) -> DataFrame:
+    """The rows of each tab: of fragments whose names are cut to the same tab name, the last in
+    file-name order holds the tab."""
+    named = frags.withColumn("tab", tab_name("file_name", limit))
+    last = named.groupBy("tab").agg(F.max("file_name").alias("file_name"))
+    return named.join(last, ["tab", "file_name"])
+
+
 def export_fragment_tabs(frags: DataFrame, root: str, limit: int = 50) -> None:
     """Each fragment to its own tab, named by the first ``limit`` characters of its stem."""
-    from placeflow.functions.text import tab_name
-    rows = export_rows(frags.drop("row_index")).withColumn("tab", tab_name("file_name", limit)).drop("file_name")
-    rows.write.mode("overwrite").options(**CSV).partitionBy("tab").csv(root)
+    rows = fragment_tabs(frags, limit).drop("row_index", "file_name")
+    versions.replace_parts(export_rows(rows), root, ["tab"], "csv", CSV)
+
+
+def read_fragment_tabs(spark: SparkSession, root: str, columns: Sequence[str]) -> DataFrame:
+    """All current tabs with their names, every cell a string."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    paths = versions.part_paths(spark, root)
+    if not paths:
+        return spark.createDataFrame([], f"{schema}, tab string")
+    return spark.read.options(**CSV).schema(f"{schema}, tab string").option("basePath", root).csv(paths).drop("commit")
 
 
 def import_rows(df: DataFrame, numeric: Sequence[str] = NUMERIC) -> DataFrame:
@@ -48,7 +66,7 @@ def import_rows(df: DataFrame, numeric: Sequence[str] = NUMERIC) -> DataFrame:
 def import_exchange(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Read a tab with its header, all columns as strings, and type it."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    raw = spark.read.options(**CSV).schema(schema).csv(path)
+    raw = spark.read.options(**CSV).schema(schema).csv(versions.table_path(spark, path))
     return import_rows(raw)
 
 
@@ -57,5 +75,5 @@ def write_back(spark: SparkSession, tab: str, columns: Sequence[str], path: str)
     rows = import_exchange(spark, tab, columns)
     if rows.isEmpty():
         return False
-    rows.write.mode("overwrite").parquet(path)
+    versions.replace_table(rows, path)
     return True

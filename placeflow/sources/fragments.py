@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeflow.sources import versions
+
 BATCH = ["city_code", "zip_code", "ind_code"]
 
 
@@ -46,30 +48,34 @@ def whole_files(frags: DataFrame, report: DataFrame) -> DataFrame:
     return frags.join(report.filter(F.col("status") != "ok").select("file_name"), "file_name", "left_anti").select(*frags.columns)
 
 
-def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """Our own layout ``root/city_code=/zip_code=/ind_code=``; the schema keeps the codes strings."""
-    return (
-        spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(root)
-        .select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
-    )
+def read_batches(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame:
+    """The current rows of our own layout ``root/city_code=/zip_code=/ind_code=/commit=``; the
+    schema keeps the codes strings. A file that cannot be read is an error (``batch_report``
+    names it)."""
+    paths = versions.part_paths(spark, root)
+    # codes such as 0009 must come back from partition paths as strings
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+    if paths == []:
+        return spark.createDataFrame([], schema or ", ".join(f"{c} string" for c in BATCH)).select("*", F.lit("").alias("file_name"), F.lit(0).cast("long").alias("row_index"))
+    rows = reader.parquet(root) if paths is None else reader.option("basePath", root).parquet(*paths)
+    return rows.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index")).drop("commit")
 
 
 def write_batches(df: DataFrame, root: str, batch_cols: Sequence[str] = BATCH) -> None:
-    """Replace exactly the batches present in ``df`` (dynamic partition overwrite);
-    the output committer makes each batch appear all at once or not at all.
+    """Replace exactly the batches present in ``df``, all at once: their rows are written to new
+    folders and become the current ones when the list of folders is switched.
 
-    ``rebalance`` (not ``repartition``) groups rows by batch for few files per
-    batch while AQE splits a hot batch over several tasks and merges small ones.
+    The ``rebalance`` hint groups rows by batch for few files per batch while AQE splits a hot
+    batch over several tasks and merges small ones.
     """
-    (
-        df.hint("rebalance", *batch_cols)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*batch_cols)
-        .parquet(root)
-    )
+    versions.replace_parts(df, root, batch_cols)
 
 
 def publish(df: DataFrame, path: str) -> None:
-    """Write a merged dataset (many part files, one directory)."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace a merged dataset: readers see the old rows until all new ones are there."""
+    versions.replace_table(df, path)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(versions.table_path(spark, path))

@@ -1,32 +1,32 @@
 """Versioned geocode cache: ``root/v=<n>/`` holds the rows that writer n added.
 
-A writer claims its number by creating ``root/_claims/<n>`` (the file system creates a file
-once only), then writes its own rows, and nothing that anyone reads is ever replaced. Readers
-take the committed folders (``_SUCCESS`` present) and the row of the highest version for each
-key, so writers at the same time lose nothing, whoever ends first, and a crashed one leaves
-only a folder that nobody reads. ``compact`` folds the committed versions into one.
+A writer claims its number by creating ``root/_claims/<n>``, which one caller only can do
+(``versions.create_exclusive``), then writes its own rows, and nothing that anyone reads is ever
+replaced. Readers take the committed folders (``_SUCCESS`` present) and the row of the highest
+version for each key, so writers at the same time lose nothing, whoever ends first, and a
+crashed one leaves only a folder that nobody reads. ``compact`` folds the committed versions into
+one whose rows keep the version they came from: a slower writer with a lower number may still
+commit, and its rows lose to later ones and win over earlier ones as before. A claim is a lease:
+``vacuum`` ends those older than its hours and deletes what their writers left.
 """
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.operators.dedupe import keep_first
+from placeflow.sources.versions import create_exclusive, hadoop, read_small
 
 CACHE_SCHEMA = "full_address_key string, lat double, lng double, gen bigint, seq bigint"
 RESOLVED_SCHEMA = "full_address_key string, lat double, lng double"
 
 
-def _fs(spark: SparkSession, root: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
-
-
 def _versions(spark: SparkSession, root: str, committed_only: bool) -> list[int]:
-    fs, path, jvm = _fs(spark, root)
+    fs, path, jvm = hadoop(spark, root)
     if not fs.exists(path):
         return []
     out = []
@@ -52,57 +52,64 @@ def all_versions(spark: SparkSession, root: str) -> list[int]:
 
 def _includes(spark: SparkSession, root: str, version: int) -> list[int]:
     """Versions that a compacted folder replaces."""
-    fs, _, jvm = _fs(spark, root)
+    fs, _, jvm = hadoop(spark, root)
     path = jvm.org.apache.hadoop.fs.Path(f"{root}/_includes/{version}")
     if not fs.exists(path):
         return []
-    text = spark.read.text(str(path.toString()), wholetext=True).first()[0]
-    return [int(x) for x in text.split()]
+    return [int(x) for x in read_small(spark, f"{root}/_includes/{version}").split()]
 
 
 def _live(spark: SparkSession, root: str) -> list[int]:
     done = committed_versions(spark, root)
-    fs, _, jvm = _fs(spark, root)
+    fs, _, jvm = hadoop(spark, root)
     if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/_includes")):
         return done
     gone = {x for v in done for x in _includes(spark, root, v)}
     return [v for v in done if v not in gone]
 
 
+def _rows(spark: SparkSession, root: str, versions: list[int]) -> DataFrame:
+    """Rows of some versions with the version ``v`` they were added by."""
+    rows = (spark.read.schema(f"{CACHE_SCHEMA}, origin bigint, v bigint").option("basePath", root)
+            .parquet(*[f"{root}/v={v}" for v in versions]))
+    return rows.withColumn("v", F.coalesce("origin", "v")).drop("origin")
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    return keep_first(rows, ["full_address_key"], ["v", "gen", "seq"], last=True)
+
+
 def read_geo_cache(spark: SparkSession, root: str) -> DataFrame:
     """One row per key, the latest; a cache that does not exist is empty, one that cannot be
     read is an error."""
     live = _live(spark, root)
     if not live:
         return spark.createDataFrame([], CACHE_SCHEMA)
-    rows = spark.read.schema(f"{CACHE_SCHEMA}, v bigint").option("basePath", root).parquet(*[f"{root}/v={v}" for v in live])
-    return keep_first(rows, ["full_address_key"], ["v", "gen", "seq"], last=True).drop("v")
+    return _latest(_rows(spark, root, live)).drop("v")
 
 
-def _claim(spark: SparkSession, root: str) -> int:
+def claim(spark: SparkSession, root: str) -> int:
     """The next free version number, ours alone."""
-    fs, path, jvm = _fs(spark, root)
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{root}/_claims"))
     n = max(all_versions(spark, root), default=-1) + 1
-    while True:
-        claim = jvm.org.apache.hadoop.fs.Path(f"{root}/_claims/{n}")
-        try:
-            if fs.createNewFile(claim):
-                return n
-        except Py4JJavaError as e:  # some file systems say so this way
-            if "FileAlreadyExists" not in str(e.java_exception):
-                raise
+    while not create_exclusive(spark, f"{root}/_claims/{n}", uuid.uuid4().hex):
         n += 1
+    return n
+
+
+def _commit(spark: SparkSession, root: str, n: int, rows: DataFrame) -> int:
+    rows.write.mode("error").parquet(f"{root}/v={n}")
+    fs, path, jvm = hadoop(spark, f"{root}/_claims/{n}")
+    if not fs.exists(path):
+        raise RuntimeError(f"the claim of version {n} was ended before its rows were written")
+    return n
 
 
 def write_geo_cache(spark: SparkSession, root: str, new_rows: DataFrame) -> int:
     """Add ``new_rows`` (key, lat, lng); of a key with several rows the last wins. Returns the
     version written. Errors of the rows' own plan are raised as they are."""
-    n = _claim(spark, root)
+    n = claim(spark, root)
     fresh = new_rows.select("full_address_key", "lat", "lng").withColumn("gen", F.lit(n).cast("bigint")).withColumn("seq", F.lit(0).cast("bigint"))
-    fresh = keep_first(fresh, ["full_address_key"], ["gen", "seq"], last=True)
-    fresh.write.mode("overwrite").parquet(f"{root}/v={n}")  # the number is ours: only our own leftovers can be there
-    return n
+    return _commit(spark, root, n, keep_first(fresh, ["full_address_key"], ["gen", "seq"], last=True))
 
 
 def compact(spark: SparkSession, root: str) -> int | None:
@@ -110,19 +117,26 @@ def compact(spark: SparkSession, root: str) -> int | None:
     live = _live(spark, root)
     if len(live) < 2:
         return None
-    rows = spark.read.schema(f"{CACHE_SCHEMA}, v bigint").option("basePath", root).parquet(*[f"{root}/v={v}" for v in live])
-    merged = keep_first(rows, ["full_address_key"], ["v", "gen", "seq"], last=True).drop("v")
-    fs, _, jvm = _fs(spark, root)
-    n = _claim(spark, root)
-    # a writer with a lower number may still be running: its rows must win over these
-    lower = [v for v in range(n) if v not in committed_versions(spark, root)
-             and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/_claims/{v}"))]
-    if lower:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/_claims/{n}"), False)
-        return None
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{root}/_includes"))
-    out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/_includes/{n}"), True)
-    out.write(bytearray(" ".join(map(str, live)), "ascii"))
-    out.close()
-    merged.write.mode("overwrite").parquet(f"{root}/v={n}")
-    return n
+    n = claim(spark, root)
+    create_exclusive(spark, f"{root}/_includes/{n}", " ".join(map(str, live)))
+    return _commit(spark, root, n, _latest(_rows(spark, root, live)).withColumnRenamed("v", "origin"))
+
+
+def vacuum(spark: SparkSession, root: str, hours: float = 24) -> list[int]:
+    """End claims older than ``hours`` that have no committed version, and delete their folders
+    and those of replaced versions of that age; returns the version numbers."""
+    fs, _, jvm = hadoop(spark, root)
+    before = (time.time() - 3600 * hours) * 1000
+    path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    done, live, gone = set(committed_versions(spark, root)), set(_live(spark, root)), []
+    claimed = [int(st.getPath().getName()) for st in fs.listStatus(path("_claims")) if st.getPath().getName().isdigit()] \
+        if fs.exists(path("_claims")) else []
+    for n in sorted({*claimed, *all_versions(spark, root)} - live):
+        held = path(f"_claims/{n}") if n in claimed else path(f"v={n}")
+        if fs.getFileStatus(held).getModificationTime() >= before:
+            continue
+        if n not in done:  # the writer finds its claim gone
+            fs.delete(path(f"_claims/{n}"), False)
+        if fs.delete(path(f"v={n}"), True) or n not in done:
+            gone.append(n)
+    return gone

@@ -4,106 +4,88 @@ Both jobs read new files with a file source (``trigger(availableNow=True)``:
 take what arrived, then stop) and fold each micro-batch into a state table.
 
 * ``merge_incremental``: survivors + new fragment rows -> first-wins per key in
-  (file_name, row_index) order. The state is partitioned by a hash bucket of the
-  de-duplication key. A micro-batch reads the buckets its rows touch and writes their
-  next version to a folder of its own, ``epoch=<n>``; a bucket's rows are those of its
-  highest finished epoch. Nothing that is read is replaced, so a crash at any point leaves
-  the state before it, and the replayed epoch writes its folder again. Each survivor keeps
-  its own position, so the result equals the batch merge of everything seen (fragments are
-  immutable: a rewritten file under an old name is not picked up again). ``prune_state``
-  drops folders that no bucket needs any more.
+  (file_name, row_index) order. The state is a log of segments: a micro-batch writes one
+  segment with its own winners, so what an epoch writes follows the batch and not the state.
+  The first of a key is a minimum, so readers take the first row of each key over all
+  segments, and the order, number and repetition of segments do not matter: a replayed epoch
+  adds rows that change nothing. ``fan`` segments of one level are folded into one of the next,
+  so a row is written again once a level, and a reader finds few segments. The list of segments
+  is switched as a whole (``versions``), so a crash at any point leaves the state before it.
+  The result equals the batch merge of everything seen (fragments are immutable: a rewritten
+  file under an old name is not picked up again). ``prune_state`` deletes folded segments.
 * ``cache_upsert_stream``: new resolver answers -> last-wins into the cache.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from placeflow.operators.merge import dedupe_keys, merge_final
-from placeflow.sources import geo_cache
+from placeflow.operators.dedupe import keep_first
+from placeflow.operators.merge import ORDER, dedupe_keys, merge_final
+from placeflow.sources import geo_cache, versions
 
+FAN = 8
 
-N_BUCKETS = 64
 
+def _rows(spark: SparkSession, state_root: str, segments: list[dict]) -> DataFrame:
+    """The first row of each key over some segments (they may differ in columns)."""
+    rows = spark.read.option("mergeSchema", "true").parquet(*[f"{state_root}/{e['folder']}" for e in segments])
+    keys = dedupe_keys(rows.columns)
+    if keys:
+        return rows if len(segments) == 1 else keep_first(rows, keys, ORDER)
+    return rows.dropDuplicates(list(ORDER))
 
-def _bucket(df: DataFrame, n_buckets: int):
-    keys = dedupe_keys(df.columns) or ["file_name", "row_index"]
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets))
 
+def read_state(spark: SparkSession, state_root: str) -> DataFrame | None:
+    """All survivors; None where nothing was merged yet."""
+    segments = versions.entries(spark, state_root)
+    return _rows(spark, state_root, segments) if segments else None
 
-def _buckets(spark: SparkSession, state_root: str) -> dict[int, int]:
-    """Bucket -> its highest finished epoch."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(state_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found: dict[int, int] = {}
-    if not fs.exists(root):
-        return found
-    for folder in fs.listStatus(root):
-        name = folder.getPath().getName()
-        if not name.startswith("epoch=") or not fs.exists(jvm.org.apache.hadoop.fs.Path(folder.getPath(), "_SUCCESS")):
-            continue
-        epoch = int(name.removeprefix("epoch="))
-        for bucket in fs.listStatus(folder.getPath()):
-            part = bucket.getPath().getName()
-            if part.startswith("_bucket="):
-                k = int(part.removeprefix("_bucket="))
-                found[k] = max(found.get(k, -1), epoch)
-    return found
 
+def _add_segment(rows: DataFrame, state_root: str, level: int, remove: list[str]) -> None:
+    folder = versions.new_folder("segment")
+    rows.write.parquet(f"{state_root}/{folder}")
+    versions.append(rows.sparkSession, state_root, [{"folder": folder, "level": level}], remove)
 
-def read_state(spark: SparkSession, state_root: str, buckets: list[int] | None = None) -> DataFrame | None:
-    """Survivors of the given buckets (default all); None where nothing was merged yet."""
-    found = _buckets(spark, state_root)
-    paths = [f"{state_root}/epoch={e}/_bucket={k}" for k, e in sorted(found.items()) if buckets is None or k in buckets]
-    return spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
 
+def fold_segments(spark: SparkSession, state_root: str, fan: int = FAN) -> int:
+    """Fold full levels into the next ones; returns the number of folds."""
+    done = 0
+    while True:
+        levels: dict[int, list[dict]] = {}
+        for e in versions.entries(spark, state_root):
+            levels.setdefault(e["level"], []).append(e)
+        full = min((level for level, some in levels.items() if len(some) >= fan), default=None)
+        if full is None:
+            return done
+        _add_segment(_rows(spark, state_root, levels[full]), state_root, full + 1, [e["folder"] for e in levels[full]])
+        done += 1
 
-def _fold_fragments(state_root: str, n_buckets: int):
+
+def _fold_fragments(state_root: str, fan: int = FAN):
     def fold(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        new = batch.withColumn("_bucket", _bucket(batch, n_buckets))
-        # at most n_buckets ids: read only those parts of the state
-        touched = [r[0] for r in new.select("_bucket").distinct().collect()]
-        if not touched:
+        versions.begin(spark, state_root)
+        if batch.isEmpty():
             return
-        # a replayed epoch must not read what its first try wrote
-        folder = f"{state_root}/epoch={epoch}"
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        old = read_state(spark, state_root, touched)
-        rows = new.drop("_bucket")
-        if old is not None:
-            rows = old.unionByName(rows, allowMissingColumns=True)
-        merged = merge_final(rows)
-        merged = merged.withColumn("_bucket", _bucket(merged, n_buckets))
-        # one file per bucket
-        merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_bucket").parquet(folder)
+        _add_segment(merge_final(batch), state_root, 0, [])
+        fold_segments(spark, state_root, fan)
     return fold
 
 
-def prune_state(spark: SparkSession, state_root: str) -> None:
-    """Delete epoch folders whose buckets have all been written again since."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(state_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    needed = set(_buckets(spark, state_root).values())
-    for folder in fs.listStatus(root):
-        name = folder.getPath().getName()
-        if name.startswith("epoch=") and int(name.removeprefix("epoch=")) < max(needed, default=0) \
-                and int(name.removeprefix("epoch=")) not in needed:
-            fs.delete(folder.getPath(), True)
+def prune_state(spark: SparkSession, state_root: str, hours: float = 24) -> int:
+    """Delete segments that were folded, or never listed, more than ``hours`` ago."""
+    return versions.vacuum(spark, state_root, hours)
 
 
-def merge_incremental(spark: SparkSession, source_root: str, schema: str, state_root: str, checkpoint: str, n_buckets: int = N_BUCKETS) -> DataFrame:
+def merge_incremental(spark: SparkSession, source_root: str, schema: str, state_root: str, checkpoint: str, fan: int = FAN) -> DataFrame:
     """Fold every fragment file that arrived since the last run into the merged state.
 
     Fragment rows must carry ``file_name`` and ``row_index`` (as the batch reader adds them).
     """
     stream = spark.readStream.schema(schema).parquet(source_root)
     q = (
-        stream.writeStream.foreachBatch(_fold_fragments(state_root, n_buckets))
+        stream.writeStream.foreachBatch(_fold_fragments(state_root, fan))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
