@@ -56,6 +56,7 @@ def main(argv=None) -> int:
     r.add_argument("--partitions", type=int, help="tasks that call the resolver and the model at once")
     m = sub.add_parser("merge")
     m.add_argument("--out", required=True)
+    m.add_argument("--allow-incomplete", action="store_true", help="publish without batches whose files are damaged")
     e = sub.add_parser("export")
     e.add_argument("--out", required=True)
     e.add_argument("--tabs", required=True)
@@ -85,7 +86,7 @@ def main(argv=None) -> int:
                               use_raw=args.use_raw, partitions=args.partitions)
         ledger.groupBy("status").agg(F.count(F.lit(1)).alias("items")).show()
     elif args.cmd == "merge":
-        pipeline.merge_and_publish(spark, args.out)
+        pipeline.merge_and_publish(spark, args.out, args.allow_incomplete)
     elif args.cmd == "export":
         from placeflow.sources import exchange, fragments
 

@@ -497,3 +497,17 @@ SELECT {_FINAL_SEL} FROM ranked WHERE rn = 1"""
 ORACLE["exchange_files"] = f"""WITH {MERGE_CTES}
 SELECT {', '.join("' \"a\"' || chr(10) || ', ' || review_summary || chr(13) || chr(10) || '|  ' AS review_summary" if c == 'review_summary' else c for c in _FINAL_SEL.split(', '))}
 FROM merged"""
+
+_FINAL_ALL = _FINAL_SEL + ", chunk_no, line_no, city_code, zip_code, ind_code"
+ORACLE["replaced_batches"] = f"""WITH {FINAL_CTES}
+SELECT {_FINAL_ALL} FROM (SELECT * REPLACE (CASE WHEN CAST(zip_code AS INTEGER) % 2 = 1 THEN name || '*' ELSE name END AS name) FROM final
+  WHERE CAST(zip_code AS INTEGER) % 2 = 0 OR line_no % 3 > 0
+  OR (city_code, zip_code, ind_code) NOT IN (SELECT (city_code, zip_code, ind_code) FROM final WHERE line_no % 3 > 0))"""
+ORACLE["mixed_fragments"] = f"""WITH {FINAL_CTES}
+SELECT id, name, CASE WHEN line_no % 3 < 2 THEN floor END AS floor, lat, lng, CAST(chunk_no AS BIGINT) AS chunk_no,
+  CAST(line_no AS BIGINT) AS line_no FROM final"""
+_CELLS = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in _FINAL_SEL.split(", "))
+ORACLE["tab_files"] = f"""WITH {MERGE_CTES},
+named AS (SELECT * REPLACE (replace(file_name, '.parquet', '') || '_' || repeat('x', 40) || (row_index % 3) || '.parquet' AS file_name) FROM fragments),
+tabs AS (SELECT *, substr(replace(file_name, '.parquet', ''), 1, 50) AS tab FROM named)
+SELECT tab, {_CELLS} FROM tabs WHERE file_name = (SELECT max(file_name) FROM tabs t WHERE t.tab = tabs.tab)"""

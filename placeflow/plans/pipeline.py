@@ -140,8 +140,20 @@ def run(
     return wi.attach_status(all_batches, batch_rows, finished_batches(spark, out_root))
 
 
-def merge_and_publish(spark: SparkSession, out_root: str) -> DataFrame:
-    """Merge all final batches (global first-wins dedupe) and the raw batches; publish both."""
+def merge_and_publish(spark: SparkSession, out_root: str, allow_incomplete: bool = False) -> DataFrame:
+    """Merge all final batches (global first-wins dedupe) and the raw batches; publish both.
+
+    A batch file that cannot be read stops the merge and nothing is published. With
+    ``allow_incomplete`` every batch file is checked first: the report is published as
+    ``merge_report``, batches with a damaged file become pending again (the next run makes
+    them anew) and the merge goes on without them."""
+    if allow_incomplete:
+        reports = []
+        for kind in ("final", "raw"):
+            report = materialize(fragments.batch_report(spark, f"{out_root}/{kind}").withColumn("kind", F.lit(kind)))
+            fragments.quarantine(spark, f"{out_root}/{kind}", report)
+            reports.append(report)
+        fragments.publish(reports[0].unionByName(reports[1]), f"{out_root}/merge_report")
     final = merge_final(fragments.read_batches(spark, f"{out_root}/final", FINAL_SCHEMA), MERGE_ORDER)
     fragments.publish(final.select(*fin.FINAL_COLUMNS), f"{out_root}/final_data")
     fragments.publish(merge_raw(fragments.read_batches(spark, f"{out_root}/raw")), f"{out_root}/raw_data")

@@ -361,6 +361,44 @@ def merge_fragment_files(spark, sf_dir):
     return fragments.read_published(spark, f"{root}/final_data")
 
 
+@query
+def replaced_batches(spark, sf_dir):
+    """All batches written, then those of odd district codes again with other rows; what is
+    current is read back."""
+    final, _ = _final_with_order(spark, sf_dir)
+    root = scratch_dir(spark, "replaced-batches")
+    fragments.write_batches(final, root)
+    again = final.where(F.col("zip_code").cast("int") % 2 == 1).where(F.col("line_no") % 3 > 0)
+    fragments.write_batches(again.withColumn("name", F.concat("name", F.lit("*"))), root)
+    return fragments.read_batches(spark, root, pipeline.FINAL_SCHEMA).drop("file_name", "row_index")
+
+
+@query
+def mixed_fragments(spark, sf_dir):
+    """Fragment files that disagree: coordinates as numbers or text, a column some lack, whole
+    numbers of two sizes."""
+    final, _ = _final_with_order(spark, sf_dir)
+    rows = final.select("id", "name", "floor", "lat", "lng", "chunk_no", "line_no")
+    root = scratch_dir(spark, "mixed-fragments")
+    part = [rows.where(F.col("line_no") % 3 == i) for i in range(3)]
+    part[1] = part[1].withColumns({"lat": F.col("lat").cast("string"), "lng": F.coalesce(F.col("lng").cast("string"), F.lit("n/a"))})
+    part[2] = part[2].drop("floor").withColumn("chunk_no", F.col("chunk_no").cast("int"))
+    for i, df in enumerate(part):
+        df.write.parquet(f"{root}/final_{i}.parquet")
+    schema = "id string, name string, floor string, lat double, lng double, chunk_no bigint, line_no bigint"
+    return fragments.read_fragments(spark, root, schema=schema).drop("file_name", "row_index")
+
+
+@query
+def tab_files(spark, sf_dir):
+    """Fragments written as CSV tabs and read back; long names are cut to the same tab."""
+    stem = F.concat(F.replace("file_name", F.lit(".parquet"), F.lit("")), F.lit("_" + "x" * 40), F.col("row_index") % 3, F.lit(".parquet"))
+    frags = materialize(_fragments(spark, sf_dir).withColumn("file_name", stem))
+    root = scratch_dir(spark, "tab-files")
+    ex.export_fragment_tabs(frags.select(*fin.FINAL_COLUMNS, "file_name", "row_index"), root)
+    return ex.read_fragment_tabs(spark, root, fin.FINAL_COLUMNS)
+
+
 @query
 def exchange_files(spark, sf_dir):
     """The merged dataset as a CSV tab (with quotes, newlines and outer spaces) and back."""

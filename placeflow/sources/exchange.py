@@ -55,7 +55,8 @@ def read_fragment_tabs(spark: SparkSession, root: str, columns: Sequence[str]) -
     paths = versions.part_paths(spark, root)
     if not paths:
         return spark.createDataFrame([], f"{schema}, tab string")
-    return spark.read.options(**CSV).schema(f"{schema}, tab string").option("basePath", root).csv(paths).drop("commit")
+    cells = spark.read.options(**CSV).schema(f"{schema}, tab string").option("basePath", root).csv(paths)
+    return cells.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns], "tab")
 
 
 def import_rows(df: DataFrame, numeric: Sequence[str] = NUMERIC) -> DataFrame:

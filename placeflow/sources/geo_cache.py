@@ -88,12 +88,18 @@ def read_geo_cache(spark: SparkSession, root: str) -> DataFrame:
     return _latest(_rows(spark, root, live)).drop("v")
 
 
+def _claimed(spark: SparkSession, root: str) -> list[int]:
+    fs, path, _ = hadoop(spark, f"{root}/_claims")
+    names = [st.getPath().getName() for st in fs.listStatus(path)] if fs.exists(path) else []
+    return [int(x) for x in names if x.isdigit()]
+
+
 def claim(spark: SparkSession, root: str) -> int:
     """The next free version number, ours alone."""
-    n = max(all_versions(spark, root), default=-1) + 1
-    while not create_exclusive(spark, f"{root}/_claims/{n}", uuid.uuid4().hex):
-        n += 1
-    return n
+    while True:
+        n = max([*all_versions(spark, root), *_claimed(spark, root)], default=-1) + 1
+        if create_exclusive(spark, f"{root}/_claims/{n}", uuid.uuid4().hex):
+            return n
 
 
 def _commit(spark: SparkSession, root: str, n: int, rows: DataFrame) -> int:
@@ -129,8 +135,7 @@ def vacuum(spark: SparkSession, root: str, hours: float = 24) -> list[int]:
     before = (time.time() - 3600 * hours) * 1000
     path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
     done, live, gone = set(committed_versions(spark, root)), set(_live(spark, root)), []
-    claimed = [int(st.getPath().getName()) for st in fs.listStatus(path("_claims")) if st.getPath().getName().isdigit()] \
-        if fs.exists(path("_claims")) else []
+    claimed = _claimed(spark, root)
     for n in sorted({*claimed, *all_versions(spark, root)} - live):
         held = path(f"_claims/{n}") if n in claimed else path(f"v={n}")
         if fs.getFileStatus(held).getModificationTime() >= before:

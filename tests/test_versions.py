@@ -1,9 +1,7 @@
 """Tables that are replaced all at once, claims of which each has one holder, and the merge log."""
 
 import os
-import shutil
 import tempfile
-import time
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -36,7 +34,7 @@ def killed_before_switch(monkeypatch, act):
 
 def test_one_holder_of_each_claim(spark, root):
     with ThreadPoolExecutor(16) as pool:
-        for i in range(50):
+        for i in range(20):
             at = f"{root}/{i}"
             got = list(pool.map(lambda _: geo_cache.claim(spark, at), range(16)))
             assert sorted(got) == list(range(16))
@@ -187,5 +185,3 @@ def test_log_equals_batch_merge(spark, root):
     assert incremental.prune_state(spark, state, hours=-1) > 0
     assert sorted(map(tuple, incremental.read_state(spark, state).select("id", "file_name").collect())) == want
     assert incremental.read_state(spark, f"{root}/none") is None
-    time.sleep(0)
-    shutil.rmtree(root, ignore_errors=True)
