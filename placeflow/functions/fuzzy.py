@@ -77,6 +77,27 @@ def partial_ratio_udf(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([partial_ratio(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], type=pa.float64())
 
 
+def similar_udf(threshold: float):
+    """Arrow-batched function: whether two texts score ``threshold`` or more; only those that
+    share enough characters for it are scored."""
+    t = min(threshold, 100.0) / 100
+
+    @arrow_udf(T.BooleanType())
+    def similar(a: pa.Array, b: pa.Array) -> pa.Array:
+        counted: dict[str, Counter] = {}
+        out = []
+        for x, y in zip(a.to_pylist(), b.to_pylist()):
+            for z in (x, y):
+                if z not in counted:
+                    counted[z] = Counter(z)
+            shared = sum((counted[x] & counted[y]).values())
+            enough = shared * (2 - t) + 1e-9 >= min(len(x), len(y)) * t
+            out.append(enough and partial_ratio(x, y) >= threshold)
+        return pa.array(out, type=pa.bool_())
+
+    return similar
+
+
 def similar_tags_udf(dictionary: list[tuple[str, str]], threshold: float):
     """Arrow-batched function: name -> tags whose alias text scores ``threshold`` or more.
 

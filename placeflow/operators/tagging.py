@@ -9,25 +9,31 @@ Plan, the same tags either way:
 * a dictionary of up to ``COMPILED_ALIASES`` aliases is compiled into the plan: exact hits
   are one ``contains`` per alias in a projection, and the similarity of each *distinct*
   name to every tag is one Arrow-batched function with the dictionary in its closure;
-* a larger one is matched exactly by an equi-join of each distinct name's substrings (only
-  of lengths some alias has) with the alias table, and by similarity through an equi-join
-  on shared characters.
+* a larger one is matched exactly by automata over the aliases (``ALIASES_AT_ONCE`` to each,
+  broadcast one after the other; a text is read once by each, in memory linear in the text),
+  and by similarity through an equi-join on rare characters.
 
 Both similarity paths first test a necessary condition: with t = threshold / 100, a window
 of length w <= m (the shorter length) scores t only if 2 * LCS >= t * (m + w), and w >= LCS,
-so LCS, and with it the shared multiset of characters, is at least m * t / (2 - t).
+so LCS, and with it the shared multiset of characters, is at least c = m * t / (2 - t). With
+the k-th of equal characters as a character of its own, any m - c + 1 characters of the
+shorter text include one of the longer text: the join is on those that the other side has least.
 Results are joined back by name (AQE splits a hot name).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeflow.functions.fuzzy import partial_ratio_udf, similar_tags_udf
+from placeflow.functions.fuzzy import similar_tags_udf, similar_udf
 
 # larger dictionaries are joined: more terms in one projection make no usable plan
 COMPILED_ALIASES = 300
+# aliases of one automaton: bounds what the driver and a task hold
+ALIASES_AT_ONCE = 100_000
 
 
 def load_dictionary(syn: DataFrame) -> list[tuple[str, str, list[str]]] | None:
@@ -40,21 +46,36 @@ def load_dictionary(syn: DataFrame) -> list[tuple[str, str, list[str]]] | None:
 
 
 def exact_tags_by_join(names: DataFrame, syn: DataFrame) -> DataFrame:
-    """(lname, tag) for any dictionary size: an equi-join of each distinct name's
-    substrings - only of lengths some alias has - with the alias table."""
-    aliases = syn.select("tag", F.explode("aliases").alias("alias")).filter(F.col("alias") != "").distinct()
-    # distinct alias lengths: at most the longest alias, a small bounded set
-    lengths = sorted(r[0] for r in aliases.select(F.length("alias")).distinct().collect())
-    if not lengths:
-        return names.select("lname", F.lit(None).cast("string").alias("tag")).limit(0)
-    lens = F.array(*[F.lit(n) for n in lengths])
-    n = F.length("lname")
-    subs = F.flatten(F.transform(
-        F.filter(lens, lambda L: L <= n),
-        lambda L: F.transform(F.sequence(F.lit(1), n - L + 1), lambda i: F.substring("lname", i, L)),
-    ))
-    pieces = names.select("lname", F.explode(F.array_distinct(subs)).alias("alias"))
-    return pieces.join(aliases, "alias").select("lname", "tag").distinct()
+    """(lname, tag) for any dictionary size: every tag with an alias in the distinct name."""
+    aliases = syn.select("tag", F.explode("aliases").alias("alias")).filter((F.col("alias") != "") & F.col("tag").isNotNull()).distinct()
+    shards = max(1, -(-aliases.count() // ALIASES_AT_ONCE))
+    found = names.select("lname", F.lit(None).cast("string").alias("tag")).limit(0)
+    for shard in range(shards):
+        some = aliases.filter(F.pmod(F.xxhash64("alias", "tag"), F.lit(shards)) == shard).collect()
+        found = found.unionByName(_hits(names, [(r.tag, r.alias) for r in some]))
+    return found.distinct()
+
+
+def _hits(names: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(lname, tag) of the aliases in a bounded list of (tag, alias)."""
+    shared = names.sparkSession.sparkContext.broadcast(pairs)
+
+    def find(batches):
+        automaton, tags = ahocorasick.Automaton(), {}
+        for tag, alias in shared.value:
+            tags.setdefault(alias, []).append(tag)
+        for alias, some in tags.items():
+            automaton.add_word(alias, some)
+        if tags:
+            automaton.make_automaton()
+        for batch in batches:
+            for name in batch.column(0).to_pylist() if tags else []:
+                hits = {tag for _, some in automaton.iter(name) for tag in some}
+                if hits:
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(hits), pa.string()), pa.array(sorted(hits), pa.string())],
+                                                     names=["lname", "tag"])
+
+    return names.select("lname").mapInArrow(find, "lname string, tag string")
 
 
 def exact_tags(lname: Column, dictionary) -> Column:
@@ -90,24 +111,38 @@ def fuzzy_tags(names: DataFrame, syn: DataFrame, threshold: float = 80.0, dictio
         pairs = [(tag, text) for tag, text, _ in dictionary if text]
         similar = similar_tags_udf(pairs, threshold)
         return names.select("lname", F.explode(similar(F.col("lname"))).alias("tag"))
-    nchars = (
-        names.select("lname", F.explode(_chars(F.col("lname"))).alias("ch"))
-        .groupBy("lname", "ch").agg(F.count(F.lit(1)).alias("n_cnt"))
-    )
-    achars = (
-        syn.select("tag", "alias_text", F.explode(_chars(F.col("alias_text"))).alias("ch"))
-        .groupBy("tag", "alias_text", "ch").agg(F.count(F.lit(1)).alias("a_cnt"))
-    )
-    shared = (
-        nchars.join(achars, "ch")
-        .groupBy("lname", "tag", "alias_text")
-        .agg(F.sum(F.least("n_cnt", "a_cnt")).alias("shared"))
-    )
-    m = F.least(F.length("lname"), F.length("alias_text"))
+    texts = syn.select("tag", "alias_text").filter(F.col("alias_text") != "").distinct()
+    cands = similar_candidates(names, texts.select("alias_text").distinct(), threshold)
+    similar = cands.filter(similar_udf(threshold)(F.col("lname"), F.col("alias_text")))
+    return similar.join(texts, "alias_text").select("lname", "tag").distinct()
+
+
+def _characters(df: DataFrame, text: str) -> DataFrame:
+    """(text, size, ch, k): the k-th occurrence of each character of the distinct texts."""
+    counts = df.select(text, F.length(text).alias("size"), F.explode(_chars(F.col(text))).alias("ch")).groupBy(text, "size", "ch").count()
+    return counts.select(text, "size", "ch", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("k"))
+
+
+def _rarest(chars: DataFrame, text: str, other: DataFrame, least: float) -> DataFrame:
+    """Of each text the characters that ``other`` has least: as many as must include a shared
+    one if ``least`` of the text's characters are shared."""
+    seen = other.groupBy("ch", "k").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy(text).orderBy(F.coalesce("n", F.lit(0)), "ch", "k")
+    ranked = chars.join(seen, ["ch", "k"], "left").withColumn("rank", F.row_number().over(order))
+    needed = F.greatest(F.ceil(F.col("size") * least - 1e-9), F.lit(1))
+    return ranked.filter(F.col("n").isNotNull() & (F.col("rank") <= F.col("size") - needed + 1)).select(text, "size", "ch", "k")
+
+
+def similar_candidates(names: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(lname, alias_text): every pair that can reach ``threshold``, without the pairs that share
+    only common characters."""
     t = min(threshold, 100.0) / 100
-    cands = shared.filter(F.col("shared") * (2 - t) + 1e-9 >= m * t)
-    scored = cands.withColumn("score", partial_ratio_udf(F.col("lname"), F.col("alias_text")))
-    return scored.filter(F.col("score") >= threshold).select("lname", "tag")
+    n, a = _characters(names, "lname"), _characters(texts, "alias_text")
+    short_n = _rarest(n, "lname", a, t / (2 - t)).withColumnRenamed("size", "own")
+    short_a = _rarest(a, "alias_text", n, t / (2 - t)).withColumnRenamed("size", "own")
+    first = short_n.join(a, ["ch", "k"]).filter("own <= size").select("lname", "alias_text")
+    second = short_a.join(n, ["ch", "k"]).filter("own < size").select("lname", "alias_text")
+    return first.unionByName(second).distinct()
 
 
 def synonym_tags(df: DataFrame, syn: DataFrame, name: str = "name", out: str = "hidden_tags", fuzzy: bool = True,

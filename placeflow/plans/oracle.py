@@ -511,3 +511,8 @@ ORACLE["tab_files"] = f"""WITH {MERGE_CTES},
 named AS (SELECT * REPLACE (replace(file_name, '.parquet', '') || '_' || repeat('x', 40) || (row_index % 3) || '.parquet' AS file_name) FROM fragments),
 tabs AS (SELECT *, substr(replace(file_name, '.parquet', ''), 1, 50) AS tab FROM named)
 SELECT tab, {_CELLS} FROM tabs WHERE file_name = (SELECT max(file_name) FROM tabs t WHERE t.tab = tabs.tab)"""
+
+ORACLE["alias_tags"] = """WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS alias FROM benchmark),
+hits AS (SELECT doc_id, string_agg(DISTINCT substr(alias, 1, 2), ',' ORDER BY substr(alias, 1, 2)) AS tags
+  FROM documents JOIN w ON contains(lower(text), alias) GROUP BY doc_id)
+SELECT doc_id, coalesce(tags, '') AS tags FROM documents LEFT JOIN hits USING (doc_id)"""

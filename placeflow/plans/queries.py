@@ -361,6 +361,18 @@ def merge_fragment_files(spark, sf_dir):
     return fragments.read_published(spark, f"{root}/final_data")
 
 
+@query
+def alias_tags(spark, sf_dir):
+    """A large dictionary (the words of the benchmark, tagged by their first letters) over the
+    whole texts of all documents."""
+    words = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), 0)).alias("w")).distinct()
+    syn = words.groupBy(F.substring("w", 1, 2).alias("tag")).agg(F.array_sort(F.collect_list("w")).alias("aliases"))
+    syn = syn.withColumn("alias_text", F.array_join("aliases", " "))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return tagging.synonym_tags(docs, syn, name="text", out="tags", fuzzy=False).select("doc_id", "tags")
+
+
 @query
 def replaced_batches(spark, sf_dir):
     """All batches written, then those of odd district codes again with other rows; what is
