@@ -3,7 +3,9 @@ Arrow batches, size-checked joins, connected components and links inside buckets
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +18,62 @@ MAX_BROADCAST_ROWS = 400_000
 MAX_BROADCAST_ELEMENTS = 1_500_000
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back: cuts the
     lineage, survives lost executors and keeps parquet statistics."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["_staged"] = path
+    if _SCOPES:
+        _SCOPES[-1].append(out)
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete staged tables whose successors are written. Nothing may read them any more, also
+    not to make up for a lost executor: what came from them is a written table itself."""
+    for df in tables:
+        path = df.__dict__.pop("_staged", None)
+        if path:
+            target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def held(df: DataFrame) -> DataFrame:
+    """A staged table that no block of ``kept`` deletes."""
+    df.__dict__["_held"] = True
+    return df
+
+
+@contextmanager
+def kept() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """At the end of the block the tables staged in it are deleted, but for those that went through
+    the function it gives."""
+    mine: list[DataFrame] = []
+    stay: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        stay.append(df)
+        return df
+
+    _SCOPES.append(mine)
+    try:
+        yield keep
+    finally:
+        _SCOPES.pop()
+    stay += [df for df in mine if df.__dict__.get("_held")]
+    drop(*[df for df in mine if not any(df is x for x in stay)])
+    if _SCOPES:
+        _SCOPES[-1].extend(stay)
+    # the files of finished shuffles go when the driver's unused plans do
+    gc.collect()
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,8 +130,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionByName(low.withColumnRenamed("m", "v")).distinct()
-        e = stage(small, name)
+        last, e = e, stage(small, name)
         after = mark(e)
+        drop(last)
         if after == before:
             break
         before = after
@@ -115,6 +168,7 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
     else:
         members = _with_f(members.select("b", "n", "id"), attrs, ["id"], name).select("b", "n", F.col("id").alias("m"))
     members = stage(members, f"{name}-members")
+    drop(wide)
 
     def near(pairs):  # (x, y) structs of id and f
         return (pairs.where((F.col("x.id") != F.col("y.id")) & close(F.col("x.f"), F.col("y.f")))
@@ -127,41 +181,43 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
         found = found.unionByName(near(_with_f(size.where("n = 2").select("x", "y").distinct(), attrs, ["x", "y"], name)))
     many = members.where(F.col("n") > small).select("b", "m")
     has_many = not many.isEmpty()
+
+    def grouped(links):
+        with kept() as keep:
+            return keep(stage(components(links.toDF("a", "b"), f"{name}-cc"), f"{name}-roots"))
+
     if has_many:
         picks = many.groupBy("b").agg(*[F.min(F.struct(F.xxhash64("m.f", F.lit(r)), "m"))["m"].alias(f"p{r}")
                                         for r in range(PIVOTS)])
         picks = stage(picks.select("b", F.explode(F.array_distinct(F.array(*[f"p{r}" for r in range(PIVOTS)]))).alias("y")),
                       f"{name}-pivots")
         found = found.unionByName(near(join_checked(many.withColumnRenamed("m", "x"), picks, ["b"])))
-    links = stage(verify(stage(found.distinct(), f"{name}-close")).distinct(), f"{name}-links")
-    roots = stage(components(links.toDF("a", "b"), f"{name}-cc"), f"{name}-roots")
+    with kept() as keep:
+        links = keep(stage(verify(stage(found.distinct(), f"{name}-close")).distinct(), f"{name}-links"))
+    drop(size, *([picks] if has_many else [members]))
+    roots = grouped(links)
     if not has_many:
+        drop(links)
         return roots
     named = stage(many.select("b", "m", F.col(f"m.{by}").alias("node")).join(roots, "node", "left")
                   .select("b", "m", F.coalesce("root", "node").alias("root")), f"{name}-named")
     per = named.groupBy("b", "root").agg(F.count("*").alias("c"))
     main = per.groupBy("b").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.count("*").alias("k")).where("k > 1")
     main = stage(main.select("b", "main"), f"{name}-open")
+    drop(members)
     if main.isEmpty():
+        drop(named, main, links)
         return roots
     still = stage(join_checked(named, main, ["b"]), f"{name}-still")
+    drop(named, main)
     rest = still.where("root <> main").select("b", F.col("m").alias("x"), F.col("root").alias("own"))
     cross = rest.join(still.select("b", F.col("m").alias("y"), "root"), "b").where("own <> root").select("x", "y")
-    more = stage(verify(stage(near(cross).distinct(), f"{name}-close")).distinct(), f"{name}-links")
-    return stage(components(links.unionByName(more).toDF("a", "b"), f"{name}-cc"), f"{name}-roots")
-
-
-def _with_f(df: DataFrame, attrs: DataFrame | None, ids: list[str], name: str) -> DataFrame:
-    """Turns each id column into a struct of id and its ``f``."""
-    if attrs is None:
-        return df.withColumns({c: F.struct(F.col(c).alias("id"), F.col(c).alias("f")) for c in ids})
-    df = stage(df, f"{name}-ids")
-    wanted = df.select(F.explode(F.array(*ids)).alias("id")).distinct()
-    known = stage(join_checked(attrs.select("id", "f"), stage(wanted, f"{name}-wanted"), ["id"]), f"{name}-attrs")
-    for c in ids:
-        df = join_checked(df, known.select(F.col("id").alias(c), F.struct("id", "f").alias("_pair")), [c])
-        df = df.withColumn(c, F.col("_pair")).drop("_pair")
-    return df
+    with kept() as keep:
+        more = keep(stage(verify(stage(near(cross).distinct(), f"{name}-close")).distinct(), f"{name}-links"))
+    drop(still, roots)
+    roots = grouped(links.unionByName(more))
+    drop(links, more)
+    return roots
 
 
 def _with_f(df: DataFrame, attrs: DataFrame | None, ids: list[str], name: str) -> DataFrame:
