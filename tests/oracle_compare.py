@@ -27,7 +27,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        # pandas turns whole numbers into floats where a column has a null
+        return int(v) if v.is_integer() else round(v, 9)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
