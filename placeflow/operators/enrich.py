@@ -10,6 +10,8 @@
 * ``call_enrichment``: the user's client runs in ``mapInPandas``, made once
   per partition, up to 3 tries per chunk; failures stay in the output with
   their error instead of vanishing.
+* ``ask_model``: the same through a journal, so that a chunk whose reply is known
+  is never sent again and one without a reply is sent again by the next run.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 
 from placeflow.functions.text import temp_id
 from placeflow.operators.prefix import exclusive_prefix_sum, null_safe_join
+from placeflow.session import materialize
+from placeflow.sources import journal
 from placeflow.sources.delimited import has_rows
 
 CHUNK_SIZE = 30
@@ -111,29 +115,70 @@ def call_enrichment(prompts: DataFrame, make_client: Callable[[], Callable[[str]
     A reply that is not ``usable`` (by default: no acceptable record in it) counts as a
     failed try, as an exception does. After ``max_tries`` the chunk keeps
     ``response = NULL`` and the last error. Calls run in ``partitions`` tasks at once.
-    Write the result before using it twice: every evaluation calls the client again.
+    Write the result before using it twice: every evaluation calls the client again. After
+    ``journal.StopAsking`` a task calls no more: its other chunks have no attempts. A column
+    ``fingerprint`` of the prompts is handed on.
     """
+    carried = ["fingerprint"] if "fingerprint" in prompts.columns else []
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = make_client()
+        call, stopped = make_client(), None
         for pdf in it:
             out = []
             for r in pdf.itertuples(index=False):
-                reply, err, tries = None, None, 0
-                for tries in range(1, max_tries + 1):
+                reply, err, tries = None, stopped, 0
+                for tries in range(1, 0 if stopped else max_tries + 1):
                     try:
                         text = call(r.prompt) or ""
                         if usable(text):
                             reply, err = text, None
                             break
                         err = "reply without rows" if text.strip() else "empty reply"
-                    except Exception as e:  # the client owns its own back-off
+                    except BaseException as e:  # the client owns its own back-off
                         err = f"{type(e).__name__}: {e}"
-                out.append((r.city_code, r.zip_code, r.ind_code, r.chunk_no, reply, tries, err))
-            yield pd.DataFrame(out, columns=["city_code", "zip_code", "ind_code", "chunk_no", "response", "attempts", "error"])
+                        if journal.ends_run(e):
+                            err = stopped = journal.STOPPED + err
+                            tries -= 1  # the service refused: no try of this chunk
+                            break
+                        if not isinstance(e, Exception):
+                            raise
+                out.append((r.city_code, r.zip_code, r.ind_code, r.chunk_no, reply, tries, err, *[getattr(r, c) for c in carried]))
+            yield pd.DataFrame(out, columns=["city_code", "zip_code", "ind_code", "chunk_no", "response", "attempts", "error", *carried])
+
+    todo = prompts.select(*BATCH, "chunk_no", *carried, "prompt")
+    schema = ", ".join([CALL_SCHEMA, *[f"{c} string" for c in carried]])
+    return (todo.repartition(partitions) if partitions else todo).mapInPandas(run, schema)
+
+
+def with_fingerprint(prompts: DataFrame) -> DataFrame:
+    """Add ``fingerprint``: the identity of a chunk and of all that is said about it."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*BATCH, "chunk_no", "prompt"]]
+    return prompts.withColumn("fingerprint", F.sha2(F.concat_ws("\n", *parts), 256))
+
+
+def read_calls(spark: SparkSession, root: str) -> DataFrame:
+    """The state of every chunk in the journal: fingerprint, response, error, answered, attempts."""
+    calls = journal.read_journal(spark, root, f"{CALL_SCHEMA}, fingerprint string")
+    return journal.state(calls, ["fingerprint"], [*BATCH, "chunk_no", "response", "error"], F.col("response").isNotNull())
+
+
+def ask_model(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]], root: str, max_tries: int = 3,
+              max_attempts: int = journal.MAX_ATTEMPTS, partitions: int | None = None, per_round: int = journal.PER_ROUND) -> DataFrame:
+    """Ask for every chunk of ``prompts`` (with fingerprints) that the journal at ``root`` has no
+    reply for and tries left; returns the chunks that were asked."""
+    spark = prompts.sparkSession
+    todo = materialize(journal.still_open(prompts, read_calls(spark, root), ["fingerprint"], max_attempts))
+    n_tasks = partitions or spark.sparkContext.defaultParallelism
+    journal.ask_in_rounds(todo, ["fingerprint"], lambda rows: call_enrichment(rows, make_client, max_tries, partitions=n_tasks),
+                          root, per_round)
+    return todo
+
 
-    todo = prompts.select(*BATCH, "chunk_no", "prompt")
-    return (todo.repartition(partitions) if partitions else todo).mapInPandas(run, CALL_SCHEMA)
+def saved_calls(chunks: DataFrame, root: str) -> DataFrame:
+    """``chunks`` (BATCH, chunk_no, fingerprint) with what the journal knows of each."""
+    known = read_calls(chunks.sparkSession, root).select("fingerprint", "response", "attempts", "error")
+    return chunks.select(*BATCH, "chunk_no", "fingerprint").join(known, "fingerprint", "left").select(
+        *BATCH, "chunk_no", "response", F.coalesce("attempts", F.lit(0)).alias("attempts"), "error")
 
 
 def enrichment_ledger(calls: DataFrame, rows: DataFrame, rejects: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.functions.text import full_address
 from placeflow.operators.dedupe import keep_first
+from placeflow.session import materialize
+from placeflow.sources import journal
 
 KEY = "full_address_key"
 RESOLVED_SCHEMA = "full_address_key string, lat double, lng double"
@@ -63,31 +65,39 @@ def resolve_with_function(pending: DataFrame, make_resolver: Callable[[], Callab
     (lat, lng) | None``, or with ``bulk=True`` ``resolve(keys) -> [(lat, lng) |
     None, ...]`` for one Arrow batch of keys at a time. Every key gives one row: failures
     (exceptions, or a bulk answer of another length) leave lat and lng NULL with the reason
-    in ``error``; a plain None has no error. Calls run in ``partitions`` tasks at once.
+    in ``error``; a plain None has no error. Calls run in ``partitions`` tasks at once. After
+    ``journal.StopAsking`` a task asks no more; its other keys hold that error.
     """
 
+    def told(e: BaseException) -> str:  # the caller's own service: reported, not hidden
+        if not isinstance(e, Exception) and not journal.ends_run(e):
+            raise e
+        return (journal.STOPPED if journal.ends_run(e) else "") + f"{type(e).__name__}: {e}"
+
     def answers(resolve, keys: list[str]) -> list[tuple]:
         if bulk:
             try:
                 got = list(resolve(keys))
-            except Exception as e:  # the caller's own service: reported, not hidden
-                return [(None, f"{type(e).__name__}: {e}")] * len(keys)
+            except BaseException as e:
+                return [(None, told(e))] * len(keys)
             if len(got) != len(keys):
                 return [(None, f"{len(got)} answers for {len(keys)} keys")] * len(keys)
             return [(hit, None) for hit in got]
-        out = []
+        out, stopped = [], None
         for k in keys:
             try:
-                out.append((resolve(k), None))
-            except Exception as e:
-                out.append((None, f"{type(e).__name__}: {e}"))
+                out.append((None, stopped) if stopped else (resolve(k), None))
+            except BaseException as e:
+                out.append((None, told(e)))
+                stopped = out[-1][1] if journal.ends_run(e) else None
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        resolve = make_resolver()
+        resolve, stopped = make_resolver(), None
         for pdf in batches:
             keys = list(pdf[KEY])
-            got = answers(resolve, keys)
+            got = [(None, stopped)] * len(keys) if stopped else answers(resolve, keys)
+            stopped = stopped or next((e for _, e in got[-1:] if e and e.startswith(journal.STOPPED)), None)
             yield pd.DataFrame({
                 KEY: pd.Series(keys, dtype=object),
                 "lat": pd.Series([None if hit is None else float(hit[0]) for hit, _ in got], dtype="float64"),
@@ -121,19 +131,46 @@ def resolve(pending: DataFrame, resolver: DataFrame | Callable | None, bulk: boo
     return resolve_with_function(pending, resolver, bulk, partitions)
 
 
+def read_answers(spark: SparkSession, root: str) -> DataFrame:
+    """The state of every key in the journal: lat, lng, error, answered, attempts (one for each
+    time the key was asked). A plain None is an answer: the service does not know the key."""
+    asked = journal.read_journal(spark, root, f"{RESOLVED_SCHEMA}, error string")
+    asked = asked.withColumn("attempts", F.when(F.startswith("error", F.lit(journal.STOPPED)), 0).otherwise(1))
+    return journal.state(asked, [KEY], ["lat", "lng", "error"], F.col("error").isNull())
+
+
+def resolve_with_journal(pending: DataFrame, make_resolver: Callable[[], Callable], root: str, bulk: bool = False,
+                         partitions: int | None = None, max_attempts: int = journal.MAX_ATTEMPTS,
+                         per_round: int = journal.PER_ROUND) -> DataFrame:
+    """``resolve_with_function`` for the keys that the journal at ``root`` has no answer for;
+    returns (key, lat, lng, error, attempts) of all pending keys from the journal."""
+    spark = pending.sparkSession
+    pending = materialize(pending)
+    todo = journal.still_open(pending, read_answers(spark, root), [KEY], max_attempts)
+    n_tasks = partitions or spark.sparkContext.defaultParallelism
+    journal.ask_in_rounds(todo, [KEY], lambda keys: resolve_with_function(keys, make_resolver, bulk, n_tasks), root, per_round)
+    return pending.join(read_answers(spark, root), KEY).select(KEY, "lat", "lng", "error", "attempts")
+
+
 def usable(resolved: DataFrame) -> DataFrame:
     """The answers that hold both coordinates: what the cache may keep."""
     return resolved.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(KEY, "lat", "lng")
 
 
 def geocode(rows: DataFrame, cache: DataFrame, resolver: DataFrame | Callable | None = None, bulk: bool = False,
-            partitions: int | None = None, save: Callable[[DataFrame], DataFrame] = lambda answers: answers) -> tuple[DataFrame, DataFrame]:
+            partitions: int | None = None, save: Callable[[DataFrame], DataFrame] = lambda answers: answers,
+            answers_root: str | None = None, per_round: int = journal.PER_ROUND) -> tuple[DataFrame, DataFrame]:
     """Full step: (rows with lat/lng, new cache rows to upsert).
 
-    Both results read the answers: ``save`` should write them and return the written table,
-    so that the resolver is asked once for each key.
+    Both results read the answers: with ``answers_root`` those of a resolver function are kept
+    in a journal there; otherwise ``save`` should write them and return the written table, so
+    that the resolver is asked once for each key.
     """
     keyed = add_full_address_key(rows) if KEY not in rows.columns else rows
     joined = geocode_join(keyed, dedupe_cache(cache))
-    resolved = usable(save(resolve(pending_keys(joined), resolver, bulk, partitions)))
+    pending = pending_keys(joined)
+    if answers_root and callable(resolver) and not isinstance(resolver, DataFrame):
+        resolved = usable(resolve_with_journal(pending, resolver, answers_root, bulk, partitions, per_round=per_round))
+    else:
+        resolved = usable(save(resolve(pending, resolver, bulk, partitions)))
     return apply_resolved(joined, resolved), resolved
