@@ -516,3 +516,23 @@ ORACLE["alias_tags"] = """WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(l
 hits AS (SELECT doc_id, string_agg(DISTINCT substr(alias, 1, 2), ',' ORDER BY substr(alias, 1, 2)) AS tags
   FROM documents JOIN w ON contains(lower(text), alias) GROUP BY doc_id)
 SELECT doc_id, coalesce(tags, '') AS tags FROM documents LEFT JOIN hits USING (doc_id)"""
+
+ORACLE["enrichment_resume"] = f"""WITH {ENRICH_CTES}
+SELECT city_code, zip_code, ind_code, chunk_no, CASE {_KIND} WHEN 4 THEN 9 WHEN 2 THEN 4 ELSE 1 END AS attempts,
+  CASE {_KIND} WHEN 4 THEN 0 ELSE count(*) END AS n_rows, 0 AS n_rejects,
+  CASE {_KIND} WHEN 4 THEN 'reply without rows' END AS error, CASE {_KIND} WHEN 4 THEN 3 WHEN 2 THEN 2 ELSE 1 END AS n_asked
+FROM batches GROUP BY city_code, zip_code, ind_code, chunk_no"""
+
+ORACLE["resolver_calls"] = f"""WITH {GEO_CTES},
+kinds AS (SELECT full_address_key, length(full_address_key) AS n, n % 7 = 0 AS unknown, n % 7 > 0 AND n % 11 = 0 AS failing FROM pending)
+SELECT full_address_key, CASE WHEN NOT unknown AND NOT failing THEN CAST(n AS DOUBLE) END AS lat,
+  CASE WHEN NOT unknown AND NOT failing THEN CAST(length(regexp_replace(full_address_key, '[^0-9]', '', 'g')) AS DOUBLE) END AS lng,
+  CASE WHEN failing THEN 'ValueError: busy' END AS error,
+  CASE WHEN failing OR NOT unknown AND n % 3 = 0 THEN 2 ELSE 1 END AS attempts FROM kinds"""
+
+_ECHOED = {c: f"coalesce({_echo_field(c)}, '')" for c in ("temp_id", "name", "city", "district", "address", "phone")}
+ORACLE["resume_from_raw"] = f"""WITH {ENRICH_CTES}
+SELECT {_ECHOED['temp_id']} AS id, {_ECHOED['name']} AS name, industry AS ind, {_ECHOED['city']} AS city, {_ECHOED['district']} AS district,
+  {_ECHOED['address']} AS address, '' AS floor, lat, lng, {_ECHOED['phone']} AS phone, '' AS review_summary, '' AS rating,
+  '' AS price_level, hidden_tags, chunk_no, CAST(idx - chunk_no * {_en.CHUNK_SIZE} AS BIGINT) AS line_no, city_code, zip_code, ind_code
+FROM batches"""
