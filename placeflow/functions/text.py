@@ -1,20 +1,13 @@
 """Column expressions for the place cleaners.
 
-Everything is a builtin Catalyst expression except Unicode NFKC, which Spark
-does not ship; it runs as one Arrow-batched function (pure-ASCII batches and
-already-normal strings pass through without a copy).
+Everything is a builtin Catalyst expression. Unicode NFKC, which Spark has no function for,
+is done in the JVM by the ICU library that Spark itself ships and uses for collations.
 """
 
 from __future__ import annotations
 
-import unicodedata
-
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import arrow_udf
 
 # ---- fixed values that define the cleaned text (must match the source pipeline) ----
 # characters deleted after NFKC: ASCII space and the ideographic space U+3000
@@ -34,22 +27,18 @@ JAVA_DOT_AS_PYTHON = "(?d)"
 NON_DIGIT = r"\P{Nd}"
 
 
-@arrow_udf(T.StringType())
-def _nfkc(v: pa.Array) -> pa.Array:
-    # pyarrow's utf8_normalize does not compose (NFKC('ä') comes back as a + U+0308),
-    # so use the stdlib; ASCII batches and already-normal strings are passed through.
-    if len(v) == 0 or pc.all(pc.string_is_ascii(v)).as_py() in (True, None):
-        return v
-    norm, is_norm = unicodedata.normalize, unicodedata.is_normalized
-    return pa.array(
-        [s if s is None or s.isascii() or is_norm("NFKC", s) else norm("NFKC", s) for s in v.to_pylist()],
-        type=pa.string(),
-    )
+NON_ASCII = r"[^\x00-\x7F]"
 
 
 def nfkc(c: Column | str) -> Column:
-    """Unicode NFKC normal form (null stays null)."""
-    return _nfkc(F.col(c) if isinstance(c, str) else c)
+    """Unicode NFKC normal form (null stays null), by the Unicode version of Spark's ICU.
+
+    Plain ASCII passes through; other strings are composed by ``Normalizer.compose(text, true)``.
+    Spark takes such a call for non-deterministic: it is not copied by plan rules, and a filter
+    on its result stays above it."""
+    t = _col(c)
+    composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), t, F.lit(True))
+    return F.when(t.rlike(NON_ASCII), composed).otherwise(t)
 
 
 def _col(c: Column | str) -> Column:

@@ -76,3 +76,24 @@ def test_dedupe_unchanged_under_repartitioning_and_keys_unique(spark, sf_dir):
     assert rows_a == rows_b
     keyed = a.withColumn("k", dedupe_key("phone", "address"))
     assert keyed.groupBy("city_code", "zip_code", "ind_code", "k").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_nfkc_is_that_of_the_standard_library(spark):
+    """All code points that the standard library's Unicode version knows, alone and between
+    others, and random strings of letters, marks and compatibility forms."""
+    import random
+    import unicodedata
+
+    from placeflow.functions.text import nfkc
+
+    known = [chr(c) for c in range(1, 0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    rng = random.Random(7)
+    marks = [c for c in known if unicodedata.combining(c)] + [chr(c) for c in (0x3099, 0x309A, 0xFF9E, 0xFF9F, 0x1161, 0x11A8)]
+    forms = [c for c in known if unicodedata.normalize("NFKC", c) != c]
+    plain = [c for c in known if c.isalpha()][:3000] + [chr(c) for c in range(0xFF66, 0xFF9E)] + [chr(c) for c in range(0x1100, 0x1113)]
+    texts = known + [f"a{c}́" for c in known]
+    texts += ["".join(rng.choice(rng.choice((marks, forms, plain))) for _ in range(rng.randint(1, 12))) for _ in range(50_000)]
+    got = spark.createDataFrame(list(enumerate(texts)) + [(-1, None), (-2, "")], "i int, s string").select("i", nfkc("s").alias("n"))
+    assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
+    for r in got.collect():
+        assert r.n == ({-1: None, -2: ""}[r.i] if r.i < 0 else unicodedata.normalize("NFKC", texts[r.i])), r.i
