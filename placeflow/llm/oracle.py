@@ -38,7 +38,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM states GROUP BY conv_id"""
 
 
-def _rules_sql(min_share=0.01, max_char=0.3, max_word=0.3, min_chars=200, min_words=100, min_reference=10_000) -> str:
+def _rules_sql(min_share=0.001, max_char=0.3, max_word=0.9, min_chars=200, min_words=100, min_reference=10_000, max_languages=200) -> str:
     space = r"[\x20\x09-\x0D]"
     names = [*quality_rules.CLASSES, "other"]
     left, steps = "text", []
@@ -62,7 +62,8 @@ covered AS (SELECT rid, count(DISTINCT p) AS n FROM twice GROUP BY rid),
 word_rows AS MATERIALIZED (SELECT rid, lang, unnest(words) AS word FROM split),
 word_counts AS (SELECT lang AS ref, word, count(*) AS n FROM word_rows GROUP BY ALL
   UNION ALL SELECT '*', word, count(*) FROM word_rows GROUP BY ALL),
-totals AS (SELECT ref, sum(n) AS total FROM word_counts GROUP BY ref HAVING sum(n) >= {min_reference} OR ref = '*'),
+totals AS (SELECT * FROM (SELECT ref, sum(n) AS total FROM word_counts GROUP BY ref HAVING sum(n) >= {min_reference} AND ref <> '*'
+  ORDER BY total DESC, ref LIMIT {max_languages}) UNION ALL SELECT ref, sum(n) FROM word_counts WHERE ref = '*' GROUP BY ref),
 common AS MATERIALIZED (SELECT w.ref, w.word, w.n, t.total FROM word_counts w JOIN totals t USING (ref) WHERE w.n >= t.total * {min_share}),
 per_lang AS (SELECT lang AS ref, {', '.join(f'sum(c_{n}) AS c_{n}' for n in names)} FROM split GROUP BY lang),
 ref_chars AS (SELECT * FROM per_lang UNION ALL SELECT '*', {', '.join(f'sum(c_{n})' for n in names)} FROM per_lang),
@@ -72,13 +73,14 @@ hits AS (SELECT d.rid, c.word, c.n, c.total, len(d.words) AS size, coalesce(x.k,
   FROM d JOIN common c USING (ref) LEFT JOIN own x ON x.rid = d.rid AND x.word = c.word WHERE len(d.words) >= {min_words}),
 shares AS (SELECT rid, k / size AS p, n / total AS q FROM hits
   UNION ALL SELECT rid, (any_value(size) - sum(k)) / any_value(size), (any_value(total) - sum(n)) / any_value(total) FROM hits GROUP BY rid),
+absent AS (SELECT ref, sqrt((sum(n / total) + {term('1.0', '(1 - sum(n / total))')}) / 2) AS js FROM common GROUP BY ref),
 word_js AS (SELECT rid, round(sqrt(greatest(sum({term('p', 'q')}) / 2, 0)), 4) AS js FROM shares GROUP BY rid),
 base AS (SELECT d.rid, d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, {n_chars} - d.c_space AS word_chars, d.c_symbol AS n_symbols,
   CAST(len(d.lines) - len(list_distinct(d.lines)) AS BIGINT) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words,
-  CASE WHEN {n_chars} >= {min_chars} THEN round(sqrt(greatest(({char_js}) / 2, 0)), 4) END AS char_distance, w.js AS word_distance
-  FROM d JOIN ref_chars r USING (ref) LEFT JOIN covered v USING (rid) LEFT JOIN word_js w USING (rid)),
+  CASE WHEN {n_chars} >= {min_chars} THEN round(sqrt(greatest(({char_js}) / 2, 0)), 4) END AS char_distance, w.js AS word_distance, a.js AS absent
+  FROM d JOIN ref_chars r USING (ref) LEFT JOIN covered v USING (rid) LEFT JOIN word_js w USING (rid) LEFT JOIN absent a USING (ref)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
-SELECT * EXCLUDE (rid), NOT base_failed AND coalesce(char_distance, 0) <= {max_char} AND coalesce(word_distance, 0) <= {max_word} AS kept
+SELECT * EXCLUDE (rid, absent), NOT base_failed AND coalesce(char_distance, 0) <= {max_char} AND coalesce(word_distance, 0) <= {max_word} * coalesce(absent, 1) AS kept
 FROM judged"""
 
 

@@ -43,7 +43,7 @@ def shares(x):
     return [v / sum(x) for v in x] if sum(x) else [0.0] * len(x)
 
 
-def plain(rows, min_share=0.01, max_char=0.3, max_word=0.3, min_chars=200, min_words=100, min_reference=10_000):
+def plain(rows, min_share=0.001, max_char=0.3, max_word=0.9, min_chars=200, min_words=100, min_reference=10_000):
     names = [*qr.CLASSES, "other"]
     counts, chars = defaultdict(Counter), defaultdict(Counter)
     for _, text, lang in rows:
@@ -61,6 +61,7 @@ def plain(rows, min_share=0.01, max_char=0.3, max_word=0.3, min_chars=200, min_w
         ref = lang if lang in common else "*"
         b = base(text)
         cd = wd = None
+        limit = 1
         if len(text) >= min_chars:
             own = Counter(map(char_class, text))
             cd = distance(shares([own[n] for n in names]), shares([chars[ref][n] for n in names]))
@@ -68,7 +69,8 @@ def plain(rows, min_share=0.01, max_char=0.3, max_word=0.3, min_chars=200, min_w
             own, (some, c, total) = Counter(words(text)), common[ref]
             mine, theirs = [own[w] for w in some], [c[w] for w in some]
             wd = distance(shares([*mine, b[0] - sum(mine)]), shares([*theirs, total - sum(theirs)]))
-        kept = not b[5] and (cd or 0) <= max_char and (wd or 0) <= max_word
+            limit = max_word * distance([*[0] * len(some), 1], shares([*theirs, total - sum(theirs)]))
+        kept = not b[5] and (cd or 0) <= max_char and (wd or 0) <= limit
         out.append((doc_id, *b, kept, cd, wd))
     return out
 
@@ -106,3 +108,31 @@ def test_clean_documents_stay(spark, sf_dir):
 def test_no_python_on_executors(odd_docs):
     plan = qr.quality_rules(odd_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_salad_and_wrong_languages_go(spark, sf_dir):
+    """Random letters always fail; most texts under another language's label do. Expectations of
+    their own, none from the operator's constants."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    good = {r["doc_id"]: r for r in docs.join(spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1"), "doc_id").collect()
+            if len(words(r["text"] or "")) >= 100}
+    langs = sorted({r["lang"] for r in good.values()})
+    salad = [(-i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(rng.choice((100, 200, 900)))),
+              langs[i % len(langs)]) for i in range(1, 41)]
+    moved = [(10**9 + k, r["text"], langs[(langs.index(r["lang"]) + 1) % len(langs)]) for k, r in list(sorted(good.items()))[:60]]
+    all_docs = docs.unionByName(spark.createDataFrame(salad + moved, "doc_id long, text string, lang string"))
+    kept = {r["doc_id"]: r["kept"] for r in qr.quality_rules(all_docs).select("doc_id", "kept").collect()}
+    assert not any(kept[d] for d, _, _ in salad)
+    assert sum(kept[d] for d, _, _ in moved) <= 0.25 * len(moved)
+
+
+def test_many_languages(spark):
+    """More languages than have references of their own: the smaller ones use that of all."""
+    rows = [(i, f"w{i % 7} same words here and there " * 25, f"l{i:03d}") for i in range(300)]
+    got = qr.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), min_reference=1, max_languages=5).collect()
+    assert len(got) == 300 and all(r["word_distance"] is not None for r in got)
