@@ -3,7 +3,7 @@
     run     --pages PATH --out DIR --cache DIR --client MOD:FACTORY
             [--resolver PATH | --resolver-fn MOD:FACTORY]
             [--city 001] [--zip 111,103] [--industry 0009,0008]
-            [--use-raw] [--partitions N]
+            [--use-raw] [--partitions N] [--per-round N]
     merge   --out DIR
     export  --out DIR --tabs DIR [--cache DIR]
     import  --tabs DIR --out DIR 
@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 
 from placeflow import dims
 from placeflow.session import DEFAULT_CONF, ensure_checkpoint_dir, ship_package
+from placeflow.sources.journal import PER_ROUND
 
 
 def _load(ref: str):
@@ -54,6 +55,7 @@ def main(argv=None) -> int:
     r.add_argument("--industry", default=",".join(dims.DEFAULT_INDUSTRIES))
     r.add_argument("--use-raw", action="store_true", help="resume from the saved raw table")
     r.add_argument("--partitions", type=int, help="tasks that call the resolver and the model at once")
+    r.add_argument("--per-round", type=int, default=PER_ROUND, help="chunks or keys whose answers are written at once")
     m = sub.add_parser("merge")
     m.add_argument("--out", required=True)
     m.add_argument("--allow-incomplete", action="store_true", help="publish without batches whose files are damaged")
@@ -83,7 +85,7 @@ def main(argv=None) -> int:
             resolver = _load(args.resolver_fn)
         pages = spark.read.parquet(args.pages)
         ledger = pipeline.run(spark, pages, args.out, args.cache, _load(args.client), resolver=resolver, config=config,
-                              use_raw=args.use_raw, partitions=args.partitions)
+                              use_raw=args.use_raw, partitions=args.partitions, per_round=args.per_round)
         ledger.groupBy("status").agg(F.count(F.lit(1)).alias("items")).show()
     elif args.cmd == "merge":
         pipeline.merge_and_publish(spark, args.out, args.allow_incomplete)
