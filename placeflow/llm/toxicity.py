@@ -4,9 +4,19 @@ Terms of a text: its distinct words (letters and digits, lower-cased) and the fi
 ``PREFIX`` letters of each, hashed to 62 bits. The machine has a weight and a short vector
 per term; a text scores w0 + sum of weights + sum over term pairs of the product of their
 vectors, so that pairs which are toxic only together are learnt as well as single terms.
-It is fitted (log loss, Adam) on a bounded sample of labelled rows in one task; terms enter
-when their frequencies in the two classes differ by at least ``MIN_Z`` standard errors, the
-``MAX_TERMS`` clearest ones at most, so the model that is broadcast has a fixed size.
+It is fitted (log loss) on a bounded sample of labelled rows in one task. Every term of
+``MIN_DOCS`` texts or more can enter; three steps settle which ones do:
+
+* weights of all of them together with an L1 penalty of ``LASSO`` times the noise of a term
+  that says nothing, so terms without a say get zero;
+* what these weights leave unexplained is looked at pair by pair, for the ``PAIR_TERMS`` terms
+  of most toxic texts. Pairs that stand out by ``MIN_PAIR_Z`` standard errors start with vectors
+  that reproduce them (leading eigenvectors of the matrix of such pairs), whether or not
+  either term means anything alone;
+* weights and vectors of the terms of both kinds are fitted together (Adam).
+
+Texts with equal terms and label count once. The model that is broadcast has at most
+``MAX_TERMS`` terms.
 
 Defined results: null text counts as empty and gets the score of no terms; without labels of
 both classes every score is the share of toxic rows (0.5 without any labels); a null doc_id
@@ -30,8 +40,10 @@ from placeflow.llm.labelled import held_out, training_rows
 
 WORD = re.compile(r"[^\W_]+")
 PREFIX = 4
-MIN_Z = 8.0
 MIN_DOCS = 6
+LASSO, LASSO_STEPS = 2.5, 150
+PAIR_TERMS, MIN_PAIR_Z = 2048, 7.0
+PAIR_START = 0.5  # largest component of a vector that a pair starts with
 MAX_TERMS = 1 << 15
 SAMPLE = 16_384
 FACTORS = 8
@@ -65,31 +77,104 @@ class Machine:
         return float(self.w0 + self.w[rows].sum() + 0.5 * ((s * s).sum() - (v * v).sum()))
 
 
+def probability(margin):
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+
+
+def sparse_weights(owner: np.ndarray, code: np.ndarray, label: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+    """Weights of ``k`` terms and the constant of a logistic regression with an L1 penalty
+    (accelerated proximal gradient). A term counts by 1 / sqrt(its texts), so that the noise in
+    its gradient, and with it the penalty, is the same for rare and frequent ones."""
+    n = len(label)
+    scale = 1 / np.sqrt(np.bincount(code, minlength=k))
+    x = scale[code]
+    v = np.ones(k)
+    for _ in range(15):  # largest eigenvalue, for the step
+        v = np.bincount(code, x * np.bincount(owner, x * v[code], n)[owner], k)
+        size = np.linalg.norm(v)
+        v /= size
+    step = 1 / (0.275 * size)
+    share = label.mean()
+    bound = LASSO * np.sqrt(share * (1 - share)) * step
+    w0, w, ahead, t = np.log(share / (1 - share)), np.zeros(k), np.zeros(k), 1.0
+    for _ in range(LASSO_STEPS):
+        margin = np.bincount(owner, x * ahead[code], n)
+        for _ in range(2):
+            p = probability(margin + w0)
+            w0 -= (p - label).sum() / max(1e-9, (p * (1 - p)).sum())
+        moved = ahead - step * np.bincount(code, x * (probability(margin + w0) - label)[owner], k)
+        new = np.sign(moved) * np.maximum(np.abs(moved) - bound, 0)
+        later = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead, w, t = new + (t - 1) / later * (new - w), new, later
+    return w * scale, float(w0)
+
+
+def pair_vectors(owner: np.ndarray, code: np.ndarray, label: np.ndarray, expected: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of the pairs that the ``expected`` probabilities fail to explain, and vectors whose
+    products follow those pairs."""
+    n = len(label)
+    top = np.sort(np.argsort(-np.bincount(code, label[owner], k), kind="stable")[:PAIR_TERMS])
+    at = np.full(k, -1)
+    at[top] = np.arange(len(top))
+    inside = at[code] >= 0
+    owner, code = owner[inside], at[code[inside]]
+    error, spread = (label - expected).astype("f4"), (expected * (1 - expected)).astype("f4")
+    summed, variance = np.zeros((2, len(top), len(top)), "f4")
+    for a in range(0, n, 1024):
+        lo, hi = np.searchsorted(owner, [a, a + 1024])
+        block = np.zeros((min(1024, n - a), len(top)), "f4")
+        block[owner[lo:hi] - a, code[lo:hi]] = 1
+        summed += block.T @ (block * error[a:a + 1024, None])
+        variance += block.T @ (block * spread[a:a + 1024, None])
+    z = summed / np.sqrt(variance + 0.25)  # a quarter: few expected texts tell little
+    np.fill_diagonal(z, 0)
+    z[np.abs(z) < MIN_PAIR_Z] = 0
+    hit = np.flatnonzero(z.any(axis=1))
+    if not len(hit):
+        return top[hit], np.empty((0, FACTORS))
+    value, vector = np.linalg.eigh(z[np.ix_(hit, hit)].astype("f8"))
+    value, vector = value[::-1][:FACTORS], vector[:, ::-1][:, :FACTORS]
+    found = np.zeros((len(hit), FACTORS))
+    found[:, :len(value)] = vector * np.sqrt(np.maximum(value, 0))
+    return top[hit], PAIR_START * found / np.abs(found).max()
+
+
 def fit(rows: list[np.ndarray], label: np.ndarray, seed: int = 5) -> Machine:
     """Fit on the terms of each text and 0/1 labels."""
+    once = list({(r.tobytes(), y): i for i, (r, y) in enumerate(zip(rows, label.tolist()))}.values())
+    rows, label = [rows[i] for i in once], label[once].astype("f8") if once else np.empty(0)
     n, toxic = len(rows), int(label.sum())
     share = (toxic + 0.5) / (n + 1)
     empty = Machine(np.empty(0, np.int64), float(np.log(share / (1 - share))), np.empty(0), np.empty((0, FACTORS)))
     if not toxic or toxic == n:
         return empty
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
+    owner = np.repeat(np.arange(n, dtype="i4"), [len(r) for r in rows])
     keys, code = np.unique(np.concatenate(rows), return_inverse=True)
-    here = np.bincount(code, label[owner], len(keys))
-    all_ = np.bincount(code, minlength=len(keys))
-    p, q, both = here / toxic, (all_ - here) / (n - toxic), all_ / n
-    z = np.abs(p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / toxic + 1 / (n - toxic)))
-    chosen = np.flatnonzero((z >= MIN_Z) & (all_ >= MIN_DOCS))
-    chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:MAX_TERMS]])
+
+    def narrowed(chosen, owner, code):
+        new = np.full(int(code.max(initial=-1)) + 1, -1, "i4")
+        new[chosen] = np.arange(len(chosen))
+        kept = new[code] >= 0
+        return owner[kept], new[code[kept]]
+
+    chosen = np.flatnonzero(np.bincount(code) >= MIN_DOCS)
+    if not len(chosen):
+        return empty
+    owner, code = narrowed(chosen, owner, code)
+    keys, k = keys[chosen], len(chosen)
+    w, w0 = sparse_weights(owner, code, label, k)
+    paired, starts = pair_vectors(owner, code, label, probability(np.bincount(owner, w[code], n) + w0), k)
+    strength = np.abs(w)
+    strength[paired] += strength.max() + 1
+    chosen = np.sort(np.argsort(-strength, kind="stable")[:min(MAX_TERMS, np.count_nonzero(strength))])
     if not len(chosen):
         return empty
-    new = np.full(len(keys), -1)
-    new[chosen] = np.arange(len(chosen))
-    kept = new[code] >= 0
-    owner, code = owner[kept], new[code][kept]
+    owner, code = narrowed(chosen, owner, code)
     start = np.searchsorted(owner, np.arange(n + 1))
     rng = np.random.default_rng(seed)
     k = len(chosen)
-    p = {"w0": np.array([empty.w0]), "w": np.zeros(k), "v": rng.normal(0, 0.01, (k, FACTORS))}
+    p = {"w0": np.array([w0]), "w": w[chosen], "v": rng.normal(0, 0.01, (k, FACTORS))}
+    p["v"][np.searchsorted(chosen, paired)] += starts
     m, s = ({x: np.zeros_like(y) for x, y in p.items()} for _ in range(2))
     step = 0
     for _ in range(EPOCHS):
@@ -103,8 +188,8 @@ def fit(rows: list[np.ndarray], label: np.ndarray, seed: int = 5) -> Machine:
             np.add.at(total, row, v)
             squares = np.bincount(row, (v * v).sum(axis=1), len(batch))
             margin = p["w0"][0] + np.bincount(row, p["w"][term], len(batch)) + 0.5 * ((total * total).sum(axis=1) - squares)
-            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label[batch]) / len(batch)
-            grad = {"w0": np.array([error.sum()]), "w": np.bincount(term, error[row], k) + 1e-4 * p["w"], "v": 1e-2 * p["v"]}
+            error = (probability(margin) - label[batch]) / len(batch)
+            grad = {"w0": np.array([error.sum()]), "w": np.bincount(term, error[row], k) + 1e-5 * p["w"], "v": 1e-2 * p["v"]}
             np.add.at(grad["v"], term, error[row][:, None] * (total[row] - v))
             for x in p:
                 m[x] = 0.9 * m[x] + 0.1 * grad[x]
@@ -163,7 +248,7 @@ def score_rows(docs: DataFrame, machine: Machine) -> DataFrame:
                             here.update(known)
                     made.append(machine.margin(sorted(here)) if here else machine.w0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(1 / (1 + np.exp(-np.clip(made, -30, 30))), pa.float64())],
+                    [batch.column(0).slice(a, b - a), pa.array(probability(np.array(made)), pa.float64())],
                     names=["row", "score"])
 
     return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))

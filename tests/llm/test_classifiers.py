@@ -75,6 +75,45 @@ def test_pairs_are_learnt():
     assert margin("insult", "group") > 0 > max(margin("insult"), margin("group"), machine.w0)
 
 
+@pytest.mark.parametrize("together", [True, False])
+def test_words_harmless_alone(spark, together):
+    """Neither word tells the classes apart: each stands in half of either. Toxic is both or neither,
+    or just one of them; the machine learns it from texts with a vocabulary of their own."""
+    rng = np.random.default_rng(4)
+    docs, labels = [], []
+    for i in range(1500):
+        words = [f"w{rng.integers(3000)}" for _ in range(60)]
+        a, b = rng.random(2) < 0.5
+        docs.append((i, " ".join(words + ["alpha"] * int(a) + ["omega"] * int(b))))
+        labels.append((i, int((a == b) == together)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    toxic, clean, n = held_out_accuracy(toxicity.toxicity(docs, labels), labels, "toxic")
+    assert n > 200 and toxic > 0.97 and clean > 0.97
+
+
+def test_margin_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(2)
+    keys = np.arange(40)
+    machine = toxicity.Machine(keys, 0.3, rng.normal(size=40), rng.normal(size=(40, toxicity.FACTORS)))
+    for n in (0, 1, 2, 17, 40):
+        rows = sorted(rng.permutation(40)[:n].tolist())
+        plain = 0.3 + sum(machine.w[i] for i in rows)
+        for x, i in enumerate(rows):
+            for j in rows[:x]:
+                plain += sum(machine.v[i][f] * machine.v[j][f] for f in range(toxicity.FACTORS))
+        assert machine.margin(rows) == pytest.approx(plain)
+
+
+def test_copies_of_a_text_count_once():
+    rng = np.random.default_rng(6)
+    rows = [np.array(sorted({toxicity._hash(f"n{rng.integers(200)}") for _ in range(8)} | ({toxicity._hash("bad")} if i % 5 == 0 else set())))
+            for i in range(600)]
+    label = np.array([int(i % 5 == 0) for i in range(600)])
+    one, many = toxicity.fit(rows, label), toxicity.fit(rows + rows[:1] * 2000, np.append(label, label[:1].repeat(2000)))
+    assert one.rows == many.rows and np.allclose(sorted(one.w), sorted(many.w), atol=0.5)
+
+
 def test_calibration_is_increasing():
     d = np.array([0.1, 0.2, 0.3, 0.4, 0.5, 0.6])
     edges, shares = quality_zstd.calibrate(d, np.array([0, 1, 0, 0, 1, 1.0]))
