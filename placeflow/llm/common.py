@@ -69,7 +69,11 @@ def kept() -> Iterator[Callable[[DataFrame], DataFrame]]:
     drop(*[df for df in mine if not any(df is x for x in stay)])
     if _SCOPES:
         _SCOPES[-1].extend(stay)
-    # the files of finished shuffles go when the driver's unused plans do
+    release()
+
+
+def release() -> None:
+    """The files of finished shuffles go when the driver's unused plans do."""
     gc.collect()
     spark = SparkSession.getActiveSession()
     if spark is not None:
@@ -193,8 +197,13 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
                       f"{name}-pivots")
         found = found.unionByName(near(join_checked(many.withColumnRenamed("m", "x"), picks, ["b"])))
     with kept() as keep:
-        links = keep(stage(verify(stage(found.distinct(), f"{name}-close")).distinct(), f"{name}-links"))
-    drop(size, *([picks] if has_many else [members]))
+        near_ones = stage(found.distinct(), f"{name}-close")
+        if has_many:  # only members of large buckets are looked at again
+            many = keep(stage(many, f"{name}-many"))
+        drop(size, members, *([picks] if has_many else []))
+        del found, few
+        release()
+        links = keep(stage(verify(near_ones).distinct(), f"{name}-links"))
     roots = grouped(links)
     if not has_many:
         drop(links)
@@ -204,7 +213,7 @@ def bucket_links(keyed: DataFrame, attrs: DataFrame | None, close: Callable[[Col
     per = named.groupBy("b", "root").agg(F.count("*").alias("c"))
     main = per.groupBy("b").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.count("*").alias("k")).where("k > 1")
     main = stage(main.select("b", "main"), f"{name}-open")
-    drop(members)
+    drop(many)
     if main.isEmpty():
         drop(named, main, links)
         return roots
