@@ -10,23 +10,27 @@ Plan, the same tags either way:
   are one ``contains`` per alias in a projection, and the similarity of each *distinct*
   name to every tag is one Arrow-batched function with the dictionary in its closure;
 * a larger one is matched exactly by automata over the aliases (``ALIASES_AT_ONCE`` to each,
-  broadcast one after the other; a text is read once by each, in memory linear in the text),
-  and by similarity through an equi-join on rare characters.
+  broadcast one after the other; a text is read once by each where it lies, in memory linear
+  in the text), and by similarity through an equi-join on rare characters.
 
 Both similarity paths first test a necessary condition: with t = threshold / 100, a window
 of length w <= m (the shorter length) scores t only if 2 * LCS >= t * (m + w), and w >= LCS,
 so LCS, and with it the shared multiset of characters, is at least c = m * t / (2 - t). With
 the k-th of equal characters as a character of its own, any m - c + 1 characters of the
 shorter text include one of the longer text: the join is on those that the other side has least.
-Results are joined back by name (AQE splits a hot name).
+Similar tags, and exact ones of several automata, are joined back by name (AQE splits a hot name).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from placeflow.functions.fuzzy import similar_tags_udf, similar_udf
 
@@ -47,20 +51,39 @@ def load_dictionary(syn: DataFrame) -> list[tuple[str, str, list[str]]] | None:
 
 def exact_tags_by_join(names: DataFrame, syn: DataFrame) -> DataFrame:
     """(lname, tag) for any dictionary size: every tag with an alias in the distinct name."""
+    return with_exact_tags(names.select("lname"), "lname", syn, "_tags").select("lname", F.explode("_tags").alias("tag"))
+
+
+def with_exact_tags(df: DataFrame, text: str, syn: DataFrame, out: str) -> DataFrame:
+    """Adds ``out``: the distinct tags with an alias in ``text``, for any dictionary size. Found in
+    place by one automaton; what several find meets by a digest of the text, so a text is
+    neither repeated for its tags nor moved for them more than once."""
     aliases = syn.select("tag", F.explode("aliases").alias("alias")).filter((F.col("alias") != "") & F.col("tag").isNotNull()).distinct()
     shards = max(1, -(-aliases.count() // ALIASES_AT_ONCE))
-    found = names.select("lname", F.lit(None).cast("string").alias("tag")).limit(0)
+    finders = []
     for shard in range(shards):
         some = aliases.filter(F.pmod(F.xxhash64("alias", "tag"), F.lit(shards)) == shard).collect()
-        found = found.unionByName(_hits(names, [(r.tag, r.alias) for r in some]))
-    return found.distinct()
-
-
-def _hits(names: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(lname, tag) of the aliases in a bounded list of (tag, alias)."""
-    shared = names.sparkSession.sparkContext.broadcast(pairs)
-
-    def find(batches):
+        finders.append(_finder(df.sparkSession, [(r.tag, r.alias) for r in some]))
+    if shards == 1:
+        return df.withColumn(out, finders[0](F.col(text)))
+    digest = F.unhex(F.sha2(F.col(text), 256))
+    found = [df.select(digest.alias("_digest"), F.lit(i).alias("shard"), f(F.col(text)).alias("tags")) for i, f in enumerate(finders)]
+    hits = found[0]
+    for more in found[1:]:
+        hits = hits.unionByName(more)
+    # of a text that occurs often one row leaves each task
+    hits = hits.groupBy("_digest", "shard").agg(F.any_value("tags").alias("tags")).filter(F.size("tags") > 0)
+    hits = hits.groupBy("_digest").agg(F.array_distinct(F.flatten(F.collect_list("tags"))).alias(out))
+    joined = df.withColumn("_digest", digest).join(hits, "_digest", "left").drop("_digest")
+    return joined.withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>")))
+
+
+def _finder(spark: SparkSession, pairs: list[tuple[str, str]]):
+    """Arrow-batched function: text -> distinct tags of the aliases in a bounded list of (tag, alias)."""
+    shared = spark.sparkContext.broadcast(pairs)
+
+    @arrow_udf(T.ArrayType(T.StringType()))
+    def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton, tags = ahocorasick.Automaton(), {}
         for tag, alias in shared.value:
             tags.setdefault(alias, []).append(tag)
@@ -68,14 +91,11 @@ def _hits(names: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
             automaton.add_word(alias, some)
         if tags:
             automaton.make_automaton()
-        for batch in batches:
-            for name in batch.column(0).to_pylist() if tags else []:
-                hits = {tag for _, some in automaton.iter(name) for tag in some}
-                if hits:
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(hits), pa.string()), pa.array(sorted(hits), pa.string())],
-                                                     names=["lname", "tag"])
+        for batch in texts:
+            hits = ({tag for _, some in automaton.iter(x) for tag in some} if tags and x else () for x in batch.to_pylist())
+            yield pa.array([sorted(h) for h in hits], pa.list_(pa.string()))
 
-    return names.select("lname").mapInArrow(find, "lname string, tag string")
+    return find
 
 
 def exact_tags(lname: Column, dictionary) -> Column:
@@ -157,14 +177,11 @@ def synonym_tags(df: DataFrame, syn: DataFrame, name: str = "name", out: str = "
     if dictionary is not None:
         with_exact = base.withColumn("_exact", exact_tags(F.col("_lname"), dictionary))
     else:
-        names = base.filter(F.col("_lname") != "").select(F.col("_lname").alias("lname")).distinct()
-        hits = exact_tags_by_join(names, syn).groupBy("lname").agg(F.collect_set("tag").alias("_exact"))
-        with_exact = base.join(hits.withColumnRenamed("lname", "_x_lname"), F.col("_lname") == F.col("_x_lname"), "left").drop("_x_lname")
-        with_exact = with_exact.withColumn("_exact", F.coalesce(F.col("_exact"), F.array().cast("array<string>")))
+        with_exact = with_exact_tags(base, "_lname", syn, "_exact")
     if not fuzzy:
         tags = F.array_sort(F.col("_exact"))
         return with_exact.withColumn(out, F.when(F.col("_lname") == "", "").otherwise(F.concat_ws(",", tags))).drop("_lname", "_exact")
-    names = with_exact.filter(F.col("_lname") != "").select(F.col("_lname").alias("lname")).distinct()
+    names = base.filter(F.col("_lname") != "").select(F.col("_lname").alias("lname")).distinct()
     fz = fuzzy_tags(names, syn, threshold, dictionary).groupBy("lname").agg(F.collect_set("tag").alias("_fuzzy"))
     j = with_exact.join(fz, with_exact["_lname"] == fz["lname"], "left")
     tags = F.array_sort(F.array_union(F.col("_exact"), F.coalesce(F.col("_fuzzy"), F.array().cast("array<string>"))))

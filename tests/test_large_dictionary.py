@@ -63,3 +63,19 @@ def test_odd_dictionaries(spark):
     assert {tuple(r) for r in tagging.exact_tags_by_join(names, syn).collect()} == {("ab", "u"), ("b\x00c", "u")}
     assert tagging.exact_tags_by_join(names, syn.where(F.lit(False))).count() == 0
     assert tagging.fuzzy_tags(names, syn.where(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("at_once", [100_000, 150])
+def test_texts_stay_where_they_are(spark, monkeypatch, at_once):
+    monkeypatch.setattr(tagging, "ALIASES_AT_ONCE", at_once)
+    aliases = [f"w{i:03d}x" for i in range(400)]
+    syn = spark.createDataFrame([(f"t{i % 90:02d}", a, [a, None, ""]) for i, a in enumerate(aliases)], "tag string, alias_text string, aliases array<string>")
+    texts = [None, "", "none", *([" ".join(aliases[:200]).upper()] * 3), *(f"{a} {b}" for a, b in zip(aliases, aliases[7:]))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    tagged = tagging.synonym_tags(df, syn, name="text", out="tags", fuzzy=False)
+    got = {r.id: r.tags for r in tagged.collect()}
+    assert got == {i: ",".join(sorted({f"t{k % 90:02d}" for k, a in enumerate(aliases) if a in (t or "").lower()})) for i, t in enumerate(texts)}
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan  # no text is repeated for each of its tags
+    if at_once > len(aliases):
+        assert "Join" not in plan and "Aggregate" not in plan
