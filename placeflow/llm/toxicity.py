@@ -27,9 +27,11 @@ from __future__ import annotations
 
 import pickle
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +52,8 @@ FACTORS = 8
 EPOCHS = 40
 CACHE = 300_000
 CHUNK = 1 << 20
+TEXTS = 256  # texts whose terms are Python objects at once
+SPAN = 1 << 17  # terms gone through at once in the fit
 
 
 def _hash(term: str) -> int:
@@ -81,16 +85,35 @@ def probability(margin):
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
+def spans(n: int, size: int = SPAN) -> Iterator[slice]:
+    return (slice(i, i + size) for i in range(0, n, size))
+
+
+def sums_by(at: np.ndarray, values: Callable[[slice], np.ndarray], k: int) -> np.ndarray:
+    """Sums of ``values`` by ``at``, in the same order as one ``bincount`` but a span at a time,
+    so that no second array as long as the terms of all texts is held."""
+    total = np.zeros(k)
+    for part in spans(len(at)):
+        np.add.at(total, at[part].astype(np.intp), values(part))
+    return total
+
+
 def sparse_weights(owner: np.ndarray, code: np.ndarray, label: np.ndarray, k: int) -> tuple[np.ndarray, float]:
     """Weights of ``k`` terms and the constant of a logistic regression with an L1 penalty
     (accelerated proximal gradient). A term counts by 1 / sqrt(its texts), so that the noise in
     its gradient, and with it the penalty, is the same for rare and frequent ones."""
     n = len(label)
     scale = 1 / np.sqrt(np.bincount(code, minlength=k))
-    x = scale[code]
+
+    def by_text(v):
+        return sums_by(owner, lambda part: scale[code[part]] * v[code[part]], n)
+
+    def by_term(u):
+        return sums_by(code, lambda part: scale[code[part]] * u[owner[part]], k)
+
     v = np.ones(k)
     for _ in range(15):  # largest eigenvalue, for the step
-        v = np.bincount(code, x * np.bincount(owner, x * v[code], n)[owner], k)
+        v = by_term(by_text(v))
         size = np.linalg.norm(v)
         v /= size
     step = 1 / (0.275 * size)
@@ -98,11 +121,11 @@ def sparse_weights(owner: np.ndarray, code: np.ndarray, label: np.ndarray, k: in
     bound = LASSO * np.sqrt(share * (1 - share)) * step
     w0, w, ahead, t = np.log(share / (1 - share)), np.zeros(k), np.zeros(k), 1.0
     for _ in range(LASSO_STEPS):
-        margin = np.bincount(owner, x * ahead[code], n)
+        margin = by_text(ahead)
         for _ in range(2):
             p = probability(margin + w0)
             w0 -= (p - label).sum() / max(1e-9, (p * (1 - p)).sum())
-        moved = ahead - step * np.bincount(code, x * (probability(margin + w0) - label)[owner], k)
+        moved = ahead - step * by_term(probability(margin + w0) - label)
         new = np.sign(moved) * np.maximum(np.abs(moved) - bound, 0)
         later = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, w, t = new + (t - 1) / later * (new - w), new, later
@@ -113,8 +136,9 @@ def pair_vectors(owner: np.ndarray, code: np.ndarray, label: np.ndarray, expecte
     """Terms of the pairs that the ``expected`` probabilities fail to explain, and vectors whose
     products follow those pairs."""
     n = len(label)
-    top = np.sort(np.argsort(-np.bincount(code, label[owner], k), kind="stable")[:PAIR_TERMS])
-    at = np.full(k, -1)
+    toxic = sums_by(code, lambda part: label[owner[part]], k)
+    top = np.sort(np.argsort(-toxic, kind="stable")[:PAIR_TERMS])
+    at = np.full(k, -1, "i4")
     at[top] = np.arange(len(top))
     inside = at[code] >= 0
     owner, code = owner[inside], at[code[inside]]
@@ -126,9 +150,12 @@ def pair_vectors(owner: np.ndarray, code: np.ndarray, label: np.ndarray, expecte
         block[owner[lo:hi] - a, code[lo:hi]] = 1
         summed += block.T @ (block * error[a:a + 1024, None])
         variance += block.T @ (block * spread[a:a + 1024, None])
-    z = summed / np.sqrt(variance + 0.25)  # a quarter: few expected texts tell little
+    variance += 0.25  # few expected texts tell little
+    np.sqrt(variance, out=variance)
+    z = np.divide(summed, variance, out=summed)
+    del variance
     np.fill_diagonal(z, 0)
-    z[np.abs(z) < MIN_PAIR_Z] = 0
+    z[(z > -MIN_PAIR_Z) & (z < MIN_PAIR_Z)] = 0
     hit = np.flatnonzero(z.any(axis=1))
     if not len(hit):
         return top[hit], np.empty((0, FACTORS))
@@ -140,16 +167,32 @@ def pair_vectors(owner: np.ndarray, code: np.ndarray, label: np.ndarray, expecte
 
 
 def fit(rows: list[np.ndarray], label: np.ndarray, seed: int = 5) -> Machine:
-    """Fit on the terms of each text and 0/1 labels."""
-    once = list({(r.tobytes(), y): i for i, (r, y) in enumerate(zip(rows, label.tolist()))}.values())
-    rows, label = [rows[i] for i in once], label[once].astype("f8") if once else np.empty(0)
-    n, toxic = len(rows), int(label.sum())
+    """Fit on the terms of each text (distinct ones) and 0/1 labels."""
+    once = list({(xxhash.xxh3_128_digest(r.tobytes()), y): i for i, (r, y) in enumerate(zip(rows, label.tolist()))}.values())
+    sizes, label = np.array([len(rows[i]) for i in once], np.int64), label[once].astype("f8") if once else np.empty(0)
+    n, toxic = len(once), int(label.sum())
     share = (toxic + 0.5) / (n + 1)
     empty = Machine(np.empty(0, np.int64), float(np.log(share / (1 - share))), np.empty(0), np.empty((0, FACTORS)))
     if not toxic or toxic == n:
         return empty
-    owner = np.repeat(np.arange(n, dtype="i4"), [len(r) for r in rows])
-    keys, code = np.unique(np.concatenate(rows), return_inverse=True)
+
+    # the terms of enough texts: equal ones stand together once all are sorted
+    every = np.concatenate([rows[i] for i in once])
+    every.sort()
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, np.int64)
+    keys = every[first[np.diff(np.append(first, len(every))) >= MIN_DOCS]]
+    del every, first
+    if not len(keys):
+        return empty
+    k = len(keys)
+    owner, code = np.empty(sizes.sum(), "i4"), np.empty(sizes.sum(), "i4")
+    end = 0
+    for i, r in enumerate(once):
+        at = np.minimum(np.searchsorted(keys, rows[r]), k - 1)
+        at = at[keys[at] == rows[r]]
+        owner[end:end + len(at)], code[end:end + len(at)] = i, at
+        end += len(at)
+    owner, code = owner[:end], code[:end]
 
     def narrowed(chosen, owner, code):
         new = np.full(int(code.max(initial=-1)) + 1, -1, "i4")
@@ -157,13 +200,8 @@ def fit(rows: list[np.ndarray], label: np.ndarray, seed: int = 5) -> Machine:
         kept = new[code] >= 0
         return owner[kept], new[code[kept]]
 
-    chosen = np.flatnonzero(np.bincount(code) >= MIN_DOCS)
-    if not len(chosen):
-        return empty
-    owner, code = narrowed(chosen, owner, code)
-    keys, k = keys[chosen], len(chosen)
     w, w0 = sparse_weights(owner, code, label, k)
-    paired, starts = pair_vectors(owner, code, label, probability(np.bincount(owner, w[code], n) + w0), k)
+    paired, starts = pair_vectors(owner, code, label, probability(sums_by(owner, lambda part: w[code[part]], n) + w0), k)
     strength = np.abs(w)
     strength[paired] += strength.max() + 1
     chosen = np.sort(np.argsort(-strength, kind="stable")[:min(MAX_TERMS, np.count_nonzero(strength))])
@@ -204,9 +242,11 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, samp
 
     def hashed(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array([sorted(terms(t)) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))],
-                names=["label", "terms"])
+            for a, b in in_chunks([1] * len(batch), TEXTS):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(2).slice(a, b - a),
+                     pa.array([sorted(terms(t)) for t in batch.column(1).slice(a, b - a).to_pylist()], pa.list_(pa.int64()))],
+                    names=["label", "terms"])
 
     def fitted(batches):
         found, label = [], []
@@ -227,18 +267,18 @@ def score_rows(docs: DataFrame, machine: Machine) -> DataFrame:
     """The rows of ``docs`` as they are (column ``row``) with the score (0 to 1) of the text."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    rows = rows.select("row", F.coalesce(F.col("row.text"), F.lit("")).alias("text"))
+    place = [c.lower() for c in docs.columns].index("text")  # a batch holds each text once, in its row
 
     def run(batches):
         machine, cache = shared.value, {}
         known_rows = machine.rows.get
         for batch in batches:
-            sizes = [len(s) for s in batch.column(1).cast(pa.binary()).to_pylist()] if len(batch) else []
-            for a, b in in_chunks(sizes, CHUNK):
+            texts_ = pc.struct_field(batch.column(0), [place]).cast(pa.string()).fill_null("")
+            for a, b in in_chunks(pc.binary_length(texts_).to_pylist(), CHUNK):
                 if len(cache) > CACHE:
                     cache = {}
                 made = []
-                for text in batch.column(1).slice(a, b - a).to_pylist():
+                for text in texts_.slice(a, b - a).to_pylist():
                     here: set[int] = set()
                     for word in set(WORD.findall(text.lower())):
                         known = cache.get(word)

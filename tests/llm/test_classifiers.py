@@ -118,3 +118,30 @@ def test_calibration_is_increasing():
     d = np.array([0.1, 0.2, 0.3, 0.4, 0.5, 0.6])
     edges, shares = quality_zstd.calibrate(d, np.array([0, 1, 0, 0, 1, 1.0]))
     assert edges == sorted(edges) and shares == sorted(shares)
+
+
+def test_fit_holds_few_copies_of_the_terms(monkeypatch):
+    """The fit runs beside a grown JVM: it must not hold many arrays as long as all terms."""
+    import tracemalloc
+    for name, value in (("LASSO_STEPS", 3), ("EPOCHS", 1), ("PAIR_TERMS", 16)):
+        monkeypatch.setattr(toxicity, name, value)
+    rng = np.random.default_rng(8)
+    known = rng.integers(1 << 60, size=20_000)
+    rows = [np.sort(known[rng.permutation(20_000)[:1500]]) for _ in range(2000)]
+    label = (rng.random(2000) < 0.3).astype(int)
+    tracemalloc.start()
+    try:
+        toxicity.fit(rows, label)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 3 * sum(r.nbytes for r in rows)
+
+
+def test_rows_pass_the_score_as_they_are(spark, odd_docs):
+    """The text is read out of the row, wherever it stands and whatever its name's case."""
+    machine = toxicity.fit([], np.empty(0))
+    docs = odd_docs.withColumnRenamed("text", "Text").select("words", "Text", "doc_id")
+    got = toxicity.score_rows(docs, machine).select("row.*", "score").collect()
+    assert sorted(map(repr, (tuple(r)[:-1] for r in got))) == sorted(map(repr, map(tuple, docs.collect())))
+    assert {r["score"] for r in got} == {0.5}
