@@ -107,3 +107,33 @@ def test_one_of_each_where_an_id_has_several_texts(spark):
     rows = [(1, a), (5, a), (5, b), (7, c), (7, d), (8, d), (7, d)]
     kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(tuple(r) for r in kept.collect()) == [(1, a), (5, b), (7, c), (7, d)]
+
+
+def test_rounds_of_few_links_take_few_tasks(spark, monkeypatch):
+    """However many shuffle partitions there are: a round is written by a task a core at most."""
+    from placeflow.llm import common
+    rng = random.Random(9)
+    edges = [(rng.randrange(500), rng.randrange(500)) for _ in range(400)] + [(i, i + 1) for i in range(1000, 1040)]
+    files, plain = [], common.stage
+
+    def counted(df, name, codec=None):
+        out = plain(df, name, codec)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(common, "stage", counted)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(old, ("64", "false")):
+            spark.conf.set(k, v)
+        rows = common.components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    root = {}
+    for a, b in edges:
+        a, b = root.setdefault(a, a), root.setdefault(b, b)
+        root = {x: min(a, b) if r in (a, b) else r for x, r in root.items()}
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert {r["node"]: r["root"] for r in rows} == {x: root[x] for x in linked}
+    assert len(files) > 2 and max(files[1:]) <= spark.sparkContext.defaultParallelism
