@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from placeflow.llm.common import in_chunks, stage, texts
+from placeflow.llm.common import given_back, in_chunks, stage, texts
 from placeflow.llm.labelled import held_out, training_rows
 
 WORD = re.compile(r"[^\W_]+")
@@ -256,10 +256,10 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, samp
             found += np.split(flat, ends[:-1])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(found, np.array(label)))], pa.binary())], names=["machine"])
 
-    made = stage(rows.mapInArrow(hashed, "label int, terms array<long>"), "toxicity-terms")
+    made = stage(rows.mapInArrow(given_back(hashed), "label int, terms array<long>"), "toxicity-terms")
     # the sample is bounded; sorted so that the same rows give the same machine
     one = made.select("label", "terms").repartition(1).sortWithinPartitions("terms", "label")
-    got = one.mapInArrow(fitted, "machine binary").first()
+    got = one.mapInArrow(given_back(fitted), "machine binary").first()
     return pickle.loads(got["machine"]) if got else fit([], np.empty(0))
 
 
@@ -291,7 +291,7 @@ def score_rows(docs: DataFrame, machine: Machine) -> DataFrame:
                     [batch.column(0).slice(a, b - a), pa.array(probability(np.array(made)), pa.float64())],
                     names=["row", "score"])
 
-    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
+    return rows.mapInArrow(given_back(run), StructType([rows.schema["row"], StructField("score", DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, sample: int = SAMPLE,
